@@ -38,3 +38,52 @@ silver AS (
               WHEN 'NC-17' THEN 'Adults Only' ELSE 'Not Rated' END AS rating_category,
          CAST(year(TRY_CAST(release_date AS DATE)) AS INTEGER) AS release_year
   FROM films_dedup)"""
+
+POSTINGS_CTE = """
+ev AS (
+  SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+flat AS (
+  SELECT CASE WHEN k = 0 THEN NULL ELSE 'J' || event_id END AS job_id,
+         CASE WHEN k = 1 THEN NULL ELSE event_type END AS job_title,
+         CASE WHEN k IN (5, 6) THEN NULL ELSE 'City ' || (user_id % 10) END AS job_location,
+         'Company ' || user_id AS job_company,
+         event_type AS job_category,
+         props AS job_description,
+         'https://jobs.example/' || event_id AS job_url,
+         CASE WHEN k = 2 THEN 'not a timestamp' WHEN k = 4 THEN NULL
+              WHEN k = 3 THEN strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '+02:00'
+              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END AS job_created
+  FROM ev),
+clean AS (
+  SELECT 'J' || event_id AS job_id, event_type AS job_title,
+         CASE WHEN k IN (5, 6) THEN NULL ELSE 'City ' || (user_id % 10) END AS job_location,
+         'Company ' || user_id AS job_company, event_type AS job_category,
+         props AS job_description, 'https://jobs.example/' || event_id AS job_url,
+         ts AS job_created
+  FROM ev WHERE k NOT IN (0, 1, 2, 4)),
+slice_a AS (
+  SELECT * FROM clean WHERE job_created < TIMESTAMP '2024-01-15 12:00:00'),
+slice_b AS (
+  SELECT job_id,
+         CASE WHEN job_created < TIMESTAMP '2024-01-15 12:00:00' THEN job_title || ' (updated)'
+              ELSE job_title END AS job_title,
+         job_location, job_company, job_category, job_description, job_url,
+         CASE WHEN job_created < TIMESTAMP '2024-01-15 12:00:00' THEN job_created + INTERVAL 30 MINUTE
+              ELSE job_created END AS job_created,
+         CAST(length(job_description) AS DOUBLE) * 1000 AS job_salary
+  FROM clean WHERE job_created >= TIMESTAMP '2024-01-15 00:00:00')"""
+
+STATE_CTE = """
+runs AS (
+  SELECT state_id, run_day, rows_processed, last_extraction_time,
+         CAST(dense_rank() OVER (PARTITION BY state_id ORDER BY run_day) AS BIGINT) AS version
+  FROM (SELECT 'jobs_' || event_type AS state_id, CAST(ts AS DATE) AS run_day,
+               count(*) AS rows_processed, max(ts) AS last_extraction_time
+        FROM events GROUP BY 1, 2)),
+state AS (
+  SELECT state_id, version, last_extraction_time,
+         CAST(sum(rows_processed) OVER (PARTITION BY state_id ORDER BY version
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_jobs_extracted,
+         min(last_extraction_time) OVER (PARTITION BY state_id) AS created_at,
+         last_extraction_time AS updated_at
+  FROM runs)"""

@@ -37,3 +37,87 @@ def films(lineitem: DataFrame) -> DataFrame:
         F.col("l_shipdate").alias("ingested_at"),
         F.col("l_partkey").alias("seq"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Job postings from events.  k = props.k (0..99) injects the fixture cases:
+# 0 null id, 1 null title, 2 junk created, 3 created with +02:00 offset,
+# 4 null created, 5 missing location, 6 location without a name.
+# ---------------------------------------------------------------------------
+OVERLAP_T1 = "2024-01-15 00:00:00"      # slice B starts here
+OVERLAP_T2 = "2024-01-15 12:00:00"      # slice A ends here (12 h overlap)
+
+
+def postings(events: DataFrame) -> DataFrame:
+    """One nested posting per event, plus ``page_no`` (pages of 50)."""
+    k = F.from_json("props", "k INT").getField("k")
+    ts = F.col("ts")
+    created_utc = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    created_sast = F.concat(F.date_format(ts + F.expr("INTERVAL 2 HOURS"),
+                                          "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00"))
+    location = (F.when(k == 5, F.lit(None))
+                 .when(k == 6, F.struct(F.lit(None).cast("string").alias("display_name")))
+                 .otherwise(F.struct(F.concat(F.lit("City "), (F.col("user_id") % 10).cast("string"))
+                                     .alias("display_name"))))
+    return events.select(
+        F.floor(F.col("event_id") / 50).alias("page_no"),
+        F.when(k == 0, F.lit(None)).otherwise(F.concat(F.lit("J"), F.col("event_id").cast("string"))).alias("id"),
+        F.when(k == 1, F.lit(None)).otherwise(F.col("event_type")).alias("title"),
+        F.col("props").alias("description"),
+        F.concat(F.lit("https://jobs.example/"), F.col("event_id").cast("string")).alias("redirect_url"),
+        F.when(k == 2, F.lit("not a timestamp")).when(k == 4, F.lit(None))
+         .when(k == 3, created_sast).otherwise(created_utc).alias("created"),
+        location.alias("location"),
+        F.struct(F.concat(F.lit("Company "), F.col("user_id").cast("string")).alias("display_name")).alias("company"),
+        F.struct(F.col("event_type").alias("label")).alias("category"),
+    )
+
+
+def job_pages(events: DataFrame) -> DataFrame:
+    """API pages: ``{"results": [<=50 postings]}`` per page number.  Each
+    collected group is bounded by the page size."""
+    p = postings(events)
+    body = F.struct(*[c for c in p.columns if c != "page_no"])
+    return (p.groupBy("page_no")
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("id").alias("_o"), body.alias("b"))))
+                 .alias("items"))
+            .select("page_no", F.col("items.b").alias("results")))
+
+
+def overlap_slices(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two extraction windows sharing 12 h.  Slice B re-fetches the overlap
+    with a later ``job_created`` and an edited title, and carries an extra
+    column (``job_salary``) slice A lacks."""
+    created = F.col("job_created")
+    a = clean.where(created < F.lit(OVERLAP_T2).cast("timestamp_ntz"))
+    in_overlap = created < F.lit(OVERLAP_T2).cast("timestamp_ntz")
+    b = (clean.where(created >= F.lit(OVERLAP_T1).cast("timestamp_ntz"))
+         .withColumn("job_title", F.when(in_overlap, F.concat("job_title", F.lit(" (updated)")))
+                     .otherwise(F.col("job_title")))
+         .withColumn("job_created", F.when(in_overlap, created + F.expr("INTERVAL 30 MINUTES"))
+                     .otherwise(created))
+         .withColumn("job_salary", F.length("job_description").cast("double") * 1000))
+    return a, b
+
+
+# ---------------------------------------------------------------------------
+# Pipeline runs and control table from events: one pipeline per event type,
+# one run per day; version = run number.
+# ---------------------------------------------------------------------------
+def pipeline_runs(events: DataFrame) -> DataFrame:
+    from pyspark.sql import Window
+    runs = (events.groupBy(F.concat(F.lit("jobs_"), F.col("event_type")).alias("state_id"),
+                           F.to_date("ts").alias("run_day"))
+            .agg(F.count(F.lit(1)).alias("rows_processed"),
+                 F.max("ts").alias("last_extraction_time")))
+    w = Window.partitionBy("state_id").orderBy("run_day")
+    return runs.withColumn("version", F.dense_rank().over(w).cast("long"))
+
+
+def control_table(events: DataFrame) -> DataFrame:
+    from pyspark.sql import Window
+    from ..operators.state import run_totals
+    runs = run_totals(pipeline_runs(events))
+    first = F.min("last_extraction_time").over(Window.partitionBy("state_id"))
+    return runs.select("state_id", "version", "last_extraction_time", "total_jobs_extracted",
+                       first.alias("created_at"), F.col("last_extraction_time").alias("updated_at"))

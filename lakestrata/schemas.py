@@ -46,10 +46,10 @@ JOBS_FLAT_COLUMNS = [
 PIPELINE_STATE = T.StructType([
     T.StructField("state_id", T.StringType(), False),
     T.StructField("version", T.LongType(), False),
-    T.StructField("last_extraction_time", T.TimestampType()),
+    T.StructField("last_extraction_time", T.TimestampNTZType()),
     T.StructField("total_jobs_extracted", T.LongType()),
-    T.StructField("created_at", T.TimestampType()),
-    T.StructField("updated_at", T.TimestampType()),
+    T.StructField("created_at", T.TimestampNTZType()),
+    T.StructField("updated_at", T.TimestampNTZType()),
 ])
 
 
