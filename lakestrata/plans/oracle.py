@@ -87,3 +87,74 @@ state AS (
          min(last_extraction_time) OVER (PARTITION BY state_id) AS created_at,
          last_extraction_time AS updated_at
   FROM runs)"""
+
+WEATHER_CTE = """
+wev AS (
+  SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+daily_vals AS (
+  SELECT user_id, CAST(ts AS DATE) AS day,
+         max(value) AS temperature_2m_max, min(value) AS temperature_2m_min,
+         (max(value) + min(value)) / 2 AS temperature_2m_mean,
+         CAST(max(k) AS DOUBLE) AS relative_humidity_2m_max,
+         CAST(min(k) AS DOUBLE) AS relative_humidity_2m_min,
+         CAST(max(k) + min(k) AS DOUBLE) / 2 AS relative_humidity_2m_mean,
+         CAST(count(*) FILTER (WHERE event_type = 'click') AS DOUBLE) AS rain_sum,
+         CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS snowfall_sum,
+         CAST(count(DISTINCT hour(ts)) AS DOUBLE) AS precipitation_hours,
+         max(value) FILTER (WHERE event_type = 'view') AS wind_speed_10m_max,
+         max(value) FILTER (WHERE event_type = 'error') AS wind_gusts_10m_max,
+         CAST(count(*) AS DOUBLE) AS wind_direction_10m_dominant,
+         round(sum(value), 2) AS shortwave_radiation_sum,
+         CAST(max(k) - min(k) AS DOUBLE) AS et0_fao_evapotranspiration
+  FROM wev GROUP BY 1, 2),
+daily_rows AS (
+  SELECT user_id AS site_id, day AS date,
+         temperature_2m_max, temperature_2m_min, temperature_2m_mean,
+         relative_humidity_2m_max, relative_humidity_2m_min, relative_humidity_2m_mean, rain_sum,
+         CASE WHEN user_id % 11 = 0
+                   AND day = max(day) OVER (PARTITION BY user_id, year(day), month(day))
+              THEN NULL ELSE snowfall_sum END AS snowfall_sum,
+         precipitation_hours, wind_speed_10m_max, wind_gusts_10m_max, wind_direction_10m_dominant,
+         shortwave_radiation_sum,
+         CASE WHEN user_id % 7 = 0 THEN NULL ELSE et0_fao_evapotranspiration END AS et0_fao_evapotranspiration,
+         'Nelspruit, Mpumalanga, South Africa' AS location_name,
+         -25.4753 ::DOUBLE AS latitude, 30.9698 ::DOUBLE AS longitude,
+         'open_meteo_historical' AS data_source, 'v1' AS api_version,
+         TIMESTAMP '2024-02-01 01:00:00' AS collected_at,
+         CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month
+  FROM daily_vals),
+hourly_vals AS (
+  SELECT user_id, date_trunc('hour', ts) AS hour_utc,
+         max(value) AS temperature_2m, min(value) AS relative_humidity_2m,
+         round(sum(value), 2) AS dew_point_2m, CAST(max(k) AS DOUBLE) AS apparent_temperature,
+         CAST(count(*) AS DOUBLE) AS precipitation,
+         CAST(count(*) FILTER (WHERE event_type = 'click') AS DOUBLE) AS rain,
+         CAST(count(*) FILTER (WHERE event_type = 'view') AS DOUBLE) AS wind_speed_10m,
+         CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE) AS wind_direction_10m,
+         CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS wind_gusts_10m,
+         CAST(count(*) FILTER (WHERE event_type = 'signup') AS DOUBLE) AS surface_pressure,
+         CAST(min(k) AS DOUBLE) AS cloud_cover,
+         CASE WHEN user_id % 5 = 0 THEN NULL ELSE max(value) - min(value) END AS visibility
+  FROM wev GROUP BY 1, 2),
+nearest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id
+              ORDER BY (hour_utc <= TIMESTAMP '2024-01-15 10:00:00') DESC,
+                       abs(epoch(hour_utc) - epoch(TIMESTAMP '2024-01-15 10:00:00')),
+                       hour_utc) AS rn
+    FROM hourly_vals) WHERE rn = 1),
+hour_rows AS (
+  SELECT user_id AS site_id,
+         strftime(hour_utc + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || '+02:00' AS timestamp,
+         CAST(hour_utc + INTERVAL 2 HOUR AS DATE) AS date,
+         CAST(hour(hour_utc + INTERVAL 2 HOUR) AS INTEGER) AS hour,
+         temperature_2m, relative_humidity_2m, dew_point_2m, apparent_temperature, precipitation,
+         rain, wind_speed_10m, wind_direction_10m, wind_gusts_10m, surface_pressure, cloud_cover,
+         visibility,
+         'Nelspruit, Mpumalanga, South Africa' AS location_name,
+         'open_meteo_current' AS data_source, 'v1' AS api_version,
+         TIMESTAMP '2024-01-15 10:20:00' AS collected_at, 'Africa/Johannesburg' AS local_timezone,
+         CAST(year(hour_utc + INTERVAL 2 HOUR) AS INTEGER) AS year,
+         CAST(month(hour_utc + INTERVAL 2 HOUR) AS INTEGER) AS month,
+         CAST(day(hour_utc + INTERVAL 2 HOUR) AS INTEGER) AS day
+  FROM nearest)"""

@@ -30,4 +30,4 @@ def register(key: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
-    from . import films_queries, jobs_queries, scalar_queries  # noqa: F401
+    from . import films_queries, jobs_queries, scalar_queries, weather_queries  # noqa: F401

@@ -121,3 +121,93 @@ def control_table(events: DataFrame) -> DataFrame:
     first = F.min("last_extraction_time").over(Window.partitionBy("state_id"))
     return runs.select("state_id", "version", "last_extraction_time", "total_jobs_extracted",
                        first.alias("created_at"), F.col("last_extraction_time").alias("updated_at"))
+
+
+# ---------------------------------------------------------------------------
+# Weather responses from events: one site per user.  Daily series: one
+# response per (user, month), a day per element; hourly series: one response
+# per user, an hour per element.  Absent / short series on purpose:
+# et0 absent for user_id % 7 = 0, snowfall one short for user_id % 11 = 0,
+# visibility absent for user_id % 5 = 0.
+# ---------------------------------------------------------------------------
+WEATHER_RUN_TS = "2024-02-01 01:00:00"
+HOURLY_RUN_TS = "2024-01-15 10:20:00"   # 12:20 in Africa/Johannesburg -> anchor 12:00
+
+
+def _k() -> Column:
+    return F.from_json("props", "k INT").getField("k")
+
+
+def _count_if(cond: Column) -> Column:
+    return F.count_if(cond).cast("double")
+
+
+def daily_values(events: DataFrame) -> DataFrame:
+    """Per (user, day): the 14 daily params (exact arithmetic only)."""
+    v, k, et = F.col("value"), _k(), F.col("event_type")
+    return (events.withColumn("k", k)
+            .groupBy("user_id", F.to_date("ts").alias("day"))
+            .agg(F.max(v).alias("temperature_2m_max"),
+                 F.min(v).alias("temperature_2m_min"),
+                 ((F.max(v) + F.min(v)) / 2).alias("temperature_2m_mean"),
+                 F.max("k").cast("double").alias("relative_humidity_2m_max"),
+                 F.min("k").cast("double").alias("relative_humidity_2m_min"),
+                 ((F.max("k") + F.min("k")).cast("double") / 2).alias("relative_humidity_2m_mean"),
+                 _count_if(et == "click").alias("rain_sum"),
+                 _count_if(et == "purchase").alias("snowfall_sum"),
+                 F.count_distinct(F.hour("ts")).cast("double").alias("precipitation_hours"),
+                 F.max(F.when(et == "view", v)).alias("wind_speed_10m_max"),
+                 F.max(F.when(et == "error", v)).alias("wind_gusts_10m_max"),
+                 F.count(F.lit(1)).cast("double").alias("wind_direction_10m_dominant"),
+                 F.round(F.sum(v), 2).alias("shortwave_radiation_sum"),
+                 (F.max("k") - F.min("k")).cast("double").alias("et0_fao_evapotranspiration")))
+
+
+def daily_responses(events: DataFrame) -> DataFrame:
+    """(user_id, year, month, daily struct of parallel arrays)."""
+    from ..config import DAILY_WEATHER_PARAMS as P
+    from ..operators.weather import zip_series
+    vals = (daily_values(events)
+            .withColumn("time", F.date_format("day", "yyyy-MM-dd"))
+            .withColumn("year", F.year("day")).withColumn("month", F.month("day")))
+    z = zip_series(vals, ["user_id", "year", "month"], "time", P, out="daily")
+    uid = F.col("user_id")
+    snow = F.col("daily.snowfall_sum")
+    return z.withColumn("daily", F.col("daily")
+                        .withField("et0_fao_evapotranspiration",
+                                   F.when(uid % 7 == 0, F.lit(None)).otherwise(F.col("daily.et0_fao_evapotranspiration")))
+                        .withField("snowfall_sum",
+                                   F.when(uid % 11 == 0, F.slice(snow, 1, F.size(snow) - 1)).otherwise(snow)))
+
+
+def hourly_values(events: DataFrame) -> DataFrame:
+    """Per (user, UTC hour): the 12 hourly params, and the zone-less local
+    hour label the forecast API would send (Africa/Johannesburg = UTC+2)."""
+    v, et = F.col("value"), F.col("event_type")
+    hour_utc = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    return (events.withColumn("k", _k())
+            .groupBy("user_id", hour_utc.alias("hour_utc"))
+            .agg(F.max(v).alias("temperature_2m"),
+                 F.min(v).alias("relative_humidity_2m"),
+                 F.round(F.sum(v), 2).alias("dew_point_2m"),
+                 F.max("k").cast("double").alias("apparent_temperature"),
+                 F.count(F.lit(1)).cast("double").alias("precipitation"),
+                 _count_if(et == "click").alias("rain"),
+                 _count_if(et == "view").alias("wind_speed_10m"),
+                 _count_if(et == "error").alias("wind_direction_10m"),
+                 _count_if(et == "purchase").alias("wind_gusts_10m"),
+                 _count_if(et == "signup").alias("surface_pressure"),
+                 F.min("k").cast("double").alias("cloud_cover"),
+                 (F.max(v) - F.min(v)).alias("visibility"))
+            .withColumn("time", F.date_format(F.col("hour_utc") + F.expr("INTERVAL 2 HOURS"),
+                                              "yyyy-MM-dd'T'HH:mm")))
+
+
+def hourly_responses(events: DataFrame) -> DataFrame:
+    """(user_id, hourly struct of parallel arrays): at most one element per
+    hour of the month per user, so each collected group is bounded."""
+    from ..config import HOURLY_WEATHER_PARAMS as P
+    from ..operators.weather import zip_series
+    z = zip_series(hourly_values(events), ["user_id"], "time", P, out="hourly")
+    return z.withColumn("hourly", F.col("hourly").withField(
+        "visibility", F.when(F.col("user_id") % 5 == 0, F.lit(None)).otherwise(F.col("hourly.visibility"))))

@@ -14,6 +14,22 @@ from pyspark.sql.types import StructType
 from ..schemas import CORRUPT_COLUMN, DAILY_RESPONSE, HOURLY_RESPONSE, JOB_PAGE
 
 
+# Full microsecond precision on write (the writer's default drops to millis);
+# the reader's default ISO parser reads it back exactly.
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def write_json(df: DataFrame, path: str, partition_by: list[str] | None = None,
+               mode: str = "errorifexists") -> None:
+    """JSON-lines landing with lossless timestamps."""
+    w = (df.write.mode(mode).option("timestampFormat", TS_FORMAT)
+         .option("timestampNTZFormat", TS_NTZ_FORMAT))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.json(path)
+
+
 def read_raw_json(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
                   multi_line: bool = True, corrupt_column: str = CORRUPT_COLUMN) -> DataFrame:
     """JSON files (glob allowed, e.g. ``films/*/*.json``); a file may hold
