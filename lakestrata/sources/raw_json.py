@@ -30,6 +30,21 @@ def write_json(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.json(path)
 
 
+def land_json_arrays(df: DataFrame, path: str, n_files: int, key: str | None = None) -> None:
+    """Land ``df`` as ``n_files`` multi-line JSON files, each one JSON array,
+    under ``path/bucket=<i>/`` (the two-level layout raw drops use).  Rows go
+    to files by a hash of ``key`` (or of the whole row); each collected file
+    body is bounded by ``rows / n_files``, so ``n_files`` must grow with the
+    data."""
+    h = F.xxhash64(F.col(key)) if key else F.xxhash64(*[F.col(c) for c in df.columns])
+    bodies = (df.withColumn("bucket", F.pmod(h, F.lit(n_files)))
+              .groupBy("bucket")
+              .agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])),
+                             {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT})
+                   .alias("value")))
+    bodies.write.partitionBy("bucket").text(path)
+
+
 def read_raw_json(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
                   multi_line: bool = True, corrupt_column: str = CORRUPT_COLUMN) -> DataFrame:
     """JSON files (glob allowed, e.g. ``films/*/*.json``); a file may hold
