@@ -31,4 +31,4 @@ def register(key: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from . import (films_queries, jobs_queries, lakehouse_queries,  # noqa: F401
-                   scalar_queries, weather_queries)
+                   scalar_queries, stream_queries, weather_queries)
