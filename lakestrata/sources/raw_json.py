@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import CORRUPT_COLUMN, DAILY_RESPONSE, HOURLY_RESPONSE, JOB_PAGE
 
@@ -59,7 +59,8 @@ def read_raw_json(spark: SparkSession, path: str | list[str], schema: StructType
               .option("columnNameOfCorruptRecord", corrupt_column))
     if schema is not None:
         if corrupt_column not in schema.fieldNames():
-            schema = StructType(schema.fields).add(corrupt_column, "string")
+            # a new field list: StructType.add would append to the caller's list
+            schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType())])
         reader = reader.schema(schema)
     return reader.json(path)
 
