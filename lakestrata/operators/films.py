@@ -48,8 +48,19 @@ def silver(df: DataFrame, key: str = "id",
     return with_release_year(out)
 
 
+# Money and ratings are averaged and summed as decimal(38,10): exact, so the
+# HALF_UP rounding to cents does not depend on the order rows were added in
+# (a double average can land on either side of a half cent).  The rounded
+# value is returned as a double, the type of the source metrics.
+EXACT = "decimal(38,10)"
+
+
 def _avg2(c: str) -> Column:
-    return F.round(F.avg(c), 2)
+    return F.round(F.avg(F.col(c).cast(EXACT)), 2).cast("double")
+
+
+def _sum2(c: str) -> Column:
+    return F.round(F.sum(F.col(c).cast(EXACT)), 2).cast("double")
 
 
 def genre_metrics(movies: DataFrame) -> DataFrame:
@@ -70,7 +81,7 @@ def studio_metrics(movies: DataFrame, sort: bool = True) -> DataFrame:
         F.count("id").alias("movie_count"),
         _avg2("budget").alias("avg_budget"),
         _avg2("box_office").alias("avg_box_office"),
-        F.round(F.sum(F.col("box_office").cast("double")), 2).alias("total_box_office"),
+        _sum2("box_office").alias("total_box_office"),
     )
     if sort:
         out = out.orderBy(F.col("total_box_office").desc_nulls_last(),
@@ -116,7 +127,7 @@ def gold_grouping_sets(movies: DataFrame) -> DataFrame:
                 _avg2("budget").alias("avg_budget"),
                 _avg2("box_office").alias("avg_box_office"),
                 _avg2("vote_average").alias("avg_rating"),
-                F.round(F.sum(F.col("box_office").cast("double")), 2).alias("total_box_office")))
+                _sum2("box_office").alias("total_box_office")))
     return agg.select(set_name.alias("metric_set"), "genre", "studio", "release_year",
                       "movie_count", "avg_budget", "avg_box_office", "avg_rating",
                       "total_box_office")

@@ -46,37 +46,37 @@ def release_year(spark, sf_dir):
     return ops.with_release_year(f)
 
 
-@register("genre_metrics", "WITH" + O.SILVER_CTE + """
-SELECT genre, count(id) AS movie_count, round(avg(budget), 2) AS avg_budget,
-       round(avg(box_office), 2) AS avg_box_office, round(avg(vote_average), 2) AS avg_rating
+@register("genre_metrics", "WITH" + O.SILVER_CTE + f"""
+SELECT genre, count(id) AS movie_count, {O.avg2('budget')} AS avg_budget,
+       {O.avg2('box_office')} AS avg_box_office, {O.avg2('vote_average')} AS avg_rating
 FROM silver GROUP BY genre""")
 def genre_metrics(spark, sf_dir):
     return ops.genre_metrics(silver_films(spark, sf_dir))
 
 
-@register("studio_metrics", "WITH" + O.SILVER_CTE + """
-SELECT studio, count(id) AS movie_count, round(avg(budget), 2) AS avg_budget,
-       round(avg(box_office), 2) AS avg_box_office, round(sum(box_office), 2) AS total_box_office
+@register("studio_metrics", "WITH" + O.SILVER_CTE + f"""
+SELECT studio, count(id) AS movie_count, {O.avg2('budget')} AS avg_budget,
+       {O.avg2('box_office')} AS avg_box_office, {O.sum2('box_office')} AS total_box_office
 FROM silver GROUP BY studio ORDER BY total_box_office DESC NULLS LAST, studio""")
 def studio_metrics(spark, sf_dir):
     return ops.studio_metrics(silver_films(spark, sf_dir))
 
 
-@register("year_metrics", "WITH" + O.SILVER_CTE + """
-SELECT release_year, count(id) AS movie_count, round(avg(budget), 2) AS avg_budget,
-       round(avg(box_office), 2) AS avg_box_office, round(avg(vote_average), 2) AS avg_rating
+@register("year_metrics", "WITH" + O.SILVER_CTE + f"""
+SELECT release_year, count(id) AS movie_count, {O.avg2('budget')} AS avg_budget,
+       {O.avg2('box_office')} AS avg_box_office, {O.avg2('vote_average')} AS avg_rating
 FROM silver GROUP BY release_year ORDER BY release_year NULLS FIRST""")
 def year_metrics(spark, sf_dir):
     return ops.year_metrics(silver_films(spark, sf_dir))
 
 
-@register("gold_grouping_sets", "WITH" + O.SILVER_CTE + """
+@register("gold_grouping_sets", "WITH" + O.SILVER_CTE + f"""
 SELECT CASE WHEN grouping(genre) = 0 THEN 'genre' WHEN grouping(studio) = 0 THEN 'studio'
             ELSE 'release_year' END AS metric_set,
        genre, studio, release_year,
-       count(id) AS movie_count, round(avg(budget), 2) AS avg_budget,
-       round(avg(box_office), 2) AS avg_box_office, round(avg(vote_average), 2) AS avg_rating,
-       round(sum(box_office), 2) AS total_box_office
+       count(id) AS movie_count, {O.avg2('budget')} AS avg_budget,
+       {O.avg2('box_office')} AS avg_box_office, {O.avg2('vote_average')} AS avg_rating,
+       {O.sum2('box_office')} AS total_box_office
 FROM silver GROUP BY GROUPING SETS ((genre), (studio), (release_year))""")
 def gold_grouping_sets(spark, sf_dir):
     return ops.gold_grouping_sets(silver_films(spark, sf_dir))

@@ -158,3 +158,13 @@ hour_rows AS (
          CAST(month(hour_utc + INTERVAL 2 HOUR) AS INTEGER) AS month,
          CAST(day(hour_utc + INTERVAL 2 HOUR) AS INTEGER) AS day
   FROM nearest)"""
+
+
+def avg2(x: str) -> str:
+    """Exact HALF_UP average to cents for non-negative cent values (integer math)."""
+    cents = f"CAST(round({x} * 100) AS BIGINT)"
+    return f"((2 * sum({cents}) + count({x})) // (2 * count({x}))) / 100.0"
+
+
+def sum2(x: str) -> str:
+    return f"sum(CAST(round({x} * 100) AS BIGINT)) / 100.0"
