@@ -98,6 +98,7 @@ class JobsConfig:
     state_table: str = "pipeline_state"
     state_id: str = DEFAULT_STATE_ID
     table_format: str = "parquet"
+    key_buckets: int | None = None   # bucket the postings table by job_id (large tables)
 
 
 @dataclass(frozen=True)

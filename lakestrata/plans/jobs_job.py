@@ -52,8 +52,10 @@ def run_jobs(spark: SparkSession, cfg: JobsConfig, pages_path: str, run_ts: dt.d
     batch = J.with_audit(J.dedup_postings(batch), run_ts)
 
     receipt = tables.append_new(batch, jobs_table, "job_id", partition_by=["extraction_date"],
-                                run_marker=("extraction_timestamp", run_ts), fmt=cfg.table_format,
-                                max_records_per_file=cfg.max_rows_per_file)
+                                run_marker={"extraction_date": run_ts.date(),
+                                            "extraction_timestamp": run_ts},
+                                fmt=cfg.table_format, max_records_per_file=cfg.max_rows_per_file,
+                                bucket_by=(cfg.key_buckets, "job_id") if cfg.key_buckets else None)
     version = commit_state(spark, state_table, cfg.state_id, state["version"], run_ts,
                            receipt.new_jobs, fmt=cfg.table_format)
     return {"jobs_processed": receipt.new_jobs, "files_written": receipt.files_written,

@@ -29,6 +29,12 @@ AGE_START = dt.datetime(2024, 1, 20, 6)
 PHRASE = "of the"
 
 
+def key_buckets(spark: SparkSession) -> int:
+    """Buckets for tables keyed by job_id: the session's shuffle parallelism,
+    so the stored side of the insert-if-new join is read pre-partitioned."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_database(spark: SparkSession, name: str) -> str:
     """A fresh catalog database located in the shared scratch folder."""
     db = f"ls_{name}_{uuid.uuid4().hex[:8]}"
@@ -132,10 +138,12 @@ def jobs_upsert(spark, sf_dir):
     name = f"{db}.postings"
     # run 1 creates the table with the full column set of later batches
     first = J.with_audit(J.union_pages(a, b.limit(0)), RUN1_TS)
+    buckets = (key_buckets(spark), "job_id")
     tables.append_new(first, name, "job_id", partition_by=["extraction_date"],
-                      max_records_per_file=50000)
+                      max_records_per_file=50000, bucket_by=buckets)
     tables.append_new(J.with_audit(b, RUN2_TS), name, "job_id",
-                      partition_by=["extraction_date"], max_records_per_file=50000)
+                      partition_by=["extraction_date"], max_records_per_file=50000,
+                      bucket_by=buckets)
     return tables.read_table(spark, name)
 
 
@@ -162,7 +170,8 @@ def load_receipt(spark, sf_dir):
                                        (b, RUN2_TS + dt.timedelta(days=1))], start=1):
         r = tables.append_new(J.with_audit(batch, ts), name, "job_id",
                               partition_by=["extraction_date"],
-                              run_marker=("extraction_timestamp", ts))
+                              run_marker={"extraction_date": ts.date(), "extraction_timestamp": ts},
+                              bucket_by=(key_buckets(spark), "job_id"))
         out.append((run, r.new_jobs, r.files_written, r.table_updated))
     return spark.createDataFrame(out, "run int, new_jobs long, files_written long, table_updated boolean")
 

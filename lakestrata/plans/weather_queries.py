@@ -58,10 +58,18 @@ def daily_rows(spark, sf_dir) -> DataFrame:
     return W.weather_daily(landed_daily_responses(spark, sf_dir), DAILY_RUN_TS, keep=["user_id"])
 
 
+def landed_hourly_responses(spark, sf_dir) -> DataFrame:
+    """Hourly responses landed as JSON and read back with the response
+    schema (zone-less local hour labels, as the forecast API sends them)."""
+    landing = scratch_path(spark, "hourly_responses")
+    standins.hourly_responses(table(spark, sf_dir, "events")).write.json(landing)
+    schema = T.StructType(raw_json.HOURLY_RESPONSE.fields + [T.StructField("user_id", T.LongType())])
+    return raw_json.read_raw_json(spark, landing, schema, multi_line=False)
+
+
 def hour_picks(spark, sf_dir) -> DataFrame:
     ensure_utc(spark)
-    return W.nearest_hour(standins.hourly_responses(table(spark, sf_dir, "events")),
-                          HOURLY_RUN_TS, keep=["user_id"])
+    return W.nearest_hour(landed_hourly_responses(spark, sf_dir), HOURLY_RUN_TS, keep=["user_id"])
 
 
 @register("weather_daily_rows", "WITH" + O.WEATHER_CTE + f"\nSELECT {DAILY_FLAT_COLS} FROM daily_rows")

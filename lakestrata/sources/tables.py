@@ -34,7 +34,8 @@ def _schema_sig(df_schema) -> list[tuple[str, str]]:
 
 def write_table(df: DataFrame, name: str, *, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: list[str] | None = None, allow_schema_change: bool = False,
-                max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None,
+                bucket_by: tuple[int, str] | None = None) -> None:
     """K1: write ``df`` as catalog table ``name`` (``db.table``).
 
     Plain Parquet would silently replace a changed schema on overwrite; here
@@ -56,6 +57,10 @@ def write_table(df: DataFrame, name: str, *, mode: str = "overwrite", fmt: str =
         w = w.partitionBy(*partition_by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
+    if bucket_by:
+        # (n, key): rows hash into n buckets by key; joins and aggregates on
+        # the key then read the stored side without shuffling it
+        w = w.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])
     if fmt == "parquet":
         w = w.option("compression", "snappy")
     w.saveAsTable(name)
@@ -97,26 +102,31 @@ class Receipt:
 
 
 def append_new(batch: DataFrame, name: str, key: str, *, partition_by: list[str],
-               run_marker: tuple[str, object] | None = None, fmt: str = "parquet",
-               max_records_per_file: int | None = None) -> Receipt:
+               run_marker: dict[str, object] | None = None, fmt: str = "parquet",
+               max_records_per_file: int | None = None,
+               bucket_by: tuple[int, str] | None = None) -> Receipt:
     """J1 + K4 + K5: append the not-yet-stored rows of ``batch`` to table
     ``name`` (created on first use) and return a receipt.
 
     The row count is observed during the write itself (no second pass).
-    ``run_marker`` = (audit column, this run's value) lets the receipt count
-    the files this run wrote from the stored rows that carry the marker.
+    ``run_marker`` = {audit column: this run's value} lets the receipt count
+    the files this run wrote from the stored rows that carry the marker;
+    include the partition column so that count reads one partition.
+    ``bucket_by`` = (n, key) stores the table bucketed by key: the anti join
+    of later runs then shuffles only the (small) batch, never the table.
     """
     spark = batch.sparkSession
     to_write = new_only(batch, spark.table(name), key) if table_exists(spark, name) else batch
     obs = Observation("append_new")
     to_write = to_write.observe(obs, F.count(F.lit(1)).alias("rows"))
     write_table(to_write, name, mode="append", fmt=fmt, partition_by=partition_by,
-                max_records_per_file=max_records_per_file)
+                max_records_per_file=max_records_per_file, bucket_by=bucket_by)
     rows = int(obs.get.get("rows", 0) or 0)
     files = 0
-    if rows and run_marker is not None:
-        col, value = run_marker
+    if rows and run_marker:
         stored = spark.table(name)
-        marker = F.lit(value).cast(stored.schema[col].dataType)
-        files = stored.where(F.col(col) == marker).select("_metadata.file_path").distinct().count()
+        cond = F.lit(True)
+        for col, value in run_marker.items():
+            cond = cond & (F.col(col) == F.lit(value).cast(stored.schema[col].dataType))
+        files = stored.where(cond).select("_metadata.file_path").distinct().count()
     return Receipt(new_jobs=rows, files_written=int(files), table_updated=rows > 0)

@@ -164,3 +164,13 @@ def test_overlap_zero_vs_twelve_hours_same_keys(spark):
         b = df.where(F.col("job_created") >= F.lit(cut - dt.timedelta(hours=overlap)))
         keys.append(sorted(r[0] for r in J.dedup_postings(J.union_pages(a, b)).collect()))
     assert keys[0] == keys[1] and len(keys[0]) == 100
+
+
+def test_bucketed_table_gives_same_rows(spark, runs):
+    cfg, base, *_ = runs
+    bcfg = JobsConfig(database=cfg.database + "_b", key_buckets=4)
+    for path, ts in ((f"{base}/run1", RUN1), (f"{base}/run2", RUN2)):
+        run_jobs(spark, bcfg, path, ts, db_location=f"{base}/dbb")
+    rows = lambda c: sorted(tuple(r) for r in spark.table(f"{c.database}.{c.table}")
+                            .select(*J.FLAT, "extraction_date").collect())
+    assert rows(bcfg) == rows(cfg)
