@@ -68,7 +68,7 @@ HOURLY_DATA_SOURCE = "open_meteo_current"
 WEATHER_API_VERSION = "v1"
 
 # Job-postings pipeline defaults.
-DEFAULT_STATE_ID = "adzuna_pipeline_state"
+DEFAULT_STATE_ID = "postings_pipeline_state"
 DEFAULT_SEARCH_PHRASE = "data engineer"
 DEFAULT_OVERLAP_HOURS = 12
 DEFAULT_LOOKBACK_DAYS = 7
@@ -94,7 +94,7 @@ class JobsConfig:
     max_rows_per_file: int = DEFAULT_MAX_ROWS_PER_FILE
     max_age_cap_days: int | None = None
     database: str = "job_data_lake"
-    table: str = "adzuna_jobs"
+    table: str = "job_postings"
     state_table: str = "pipeline_state"
     state_id: str = DEFAULT_STATE_ID
     table_format: str = "parquet"

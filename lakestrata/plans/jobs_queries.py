@@ -137,7 +137,7 @@ def jobs_upsert(spark, sf_dir):
     db = scratch_database(spark, "jobs")
     name = f"{db}.postings"
     # run 1 creates the table with the full column set of later batches
-    first = J.with_audit(J.union_pages(a, b.limit(0)), RUN1_TS)
+    first = J.with_audit(a.withColumn("job_salary", F.lit(None).cast("double")), RUN1_TS)
     buckets = (key_buckets(spark), "job_id")
     tables.append_new(first, name, "job_id", partition_by=["extraction_date"],
                       max_records_per_file=50000, bucket_by=buckets)
@@ -166,7 +166,8 @@ def load_receipt(spark, sf_dir):
     db = scratch_database(spark, "receipt")
     name = f"{db}.postings"
     out = []
-    for run, (batch, ts) in enumerate([(J.union_pages(a, b.limit(0)), RUN1_TS), (b, RUN2_TS),
+    a = a.withColumn("job_salary", F.lit(None).cast("double"))
+    for run, (batch, ts) in enumerate([(a, RUN1_TS), (b, RUN2_TS),
                                        (b, RUN2_TS + dt.timedelta(days=1))], start=1):
         r = tables.append_new(J.with_audit(batch, ts), name, "job_id",
                               partition_by=["extraction_date"],

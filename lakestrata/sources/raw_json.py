@@ -68,7 +68,7 @@ def read_raw_json(spark: SparkSession, path: str | list[str], schema: StructType
 def split_corrupt(df: DataFrame, corrupt_column: str = CORRUPT_COLUMN) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, quarantined raw records)."""
     if corrupt_column not in df.columns:
-        return df, df.limit(0)
+        return df, df.where(F.lit(False))   # no corrupt column: nothing quarantined
     good = df.where(F.col(corrupt_column).isNull()).drop(corrupt_column)
     bad = df.where(F.col(corrupt_column).isNotNull())
     return good, bad
