@@ -20,6 +20,16 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def epoch_micros(ts: ColumnOrName, ntz: bool = True) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp (monotone, for ordering
+    and bucketing).  For ``timestamp_ntz`` Spark evaluates the difference in
+    the session zone, which the jobs pin to UTC (``session.ensure_utc``)."""
+    c = _c(ts)
+    if ntz:
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return F.unix_micros(c)
+
+
 def utc_to_local(ts_utc: ColumnOrName, zone: str) -> Column:
     """UTC wall clock (NTZ) -> local wall clock (NTZ) in ``zone``."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts_utc))

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import epoch_micros
+
 # An order item is a column name, or (name, "asc"|"desc"), or
 # (name, "asc"|"desc", nulls_last: bool).  Defaults follow Spark: ascending
 # puts nulls first, descending puts them last.
@@ -42,11 +44,8 @@ def _descending_value(col: Column, dtype: T.DataType) -> Column | None:
         return ~col
     if isinstance(dtype, T.DateType):
         return -F.unix_date(col)
-    if isinstance(dtype, T.TimestampNTZType):
-        # micros since the epoch of the wall-clock value: no zone involved
-        return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
-    if isinstance(dtype, T.TimestampType):
-        return -F.unix_micros(col)
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
+        return -epoch_micros(col, ntz=isinstance(dtype, T.TimestampNTZType))
     return None
 
 

@@ -15,11 +15,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import (DAILY_DATA_SOURCE, DAILY_WEATHER_PARAMS, DEFAULT_LOCAL_TIMEZONE,
                       HOURLY_DATA_SOURCE, HOURLY_WEATHER_PARAMS, WEATHER_API_VERSION,
                       WeatherSite)
-from ..functions.scalars import iso_local, local_to_utc, month_label, utc_to_local
+from ..functions.scalars import epoch_micros, iso_local, local_to_utc, month_label, utc_to_local
 
 ColumnOrName = Column | str
 
@@ -182,7 +183,10 @@ def asof_backward(anchors: DataFrame, events: DataFrame, by: Sequence[str], anch
     by = list(by)
     payload_cols = [c for c in events.columns if c not in by]
     payload = F.struct(*[F.col(c) for c in payload_cols])
-    bucket = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / (bucket_seconds * 1_000_000))
+    def bucket(c: str) -> Column:
+        dtype = (anchors if c == anchor_ts else events).schema[c].dataType
+        micros = epoch_micros(c, ntz=isinstance(dtype, T.TimestampNTZType))
+        return F.floor(micros / (bucket_seconds * 1_000_000))
 
     ev = events.select(*by, F.col(event_ts).alias("_t"), bucket(event_ts).alias("_b"),
                        F.lit(0).alias("_kind"), payload.alias("_ev"),

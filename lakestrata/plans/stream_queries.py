@@ -1,4 +1,4 @@
-"""Registered Structured Streaming queries (T1, T2, T4, T5) on driver tables."""
+"""Registered Structured Streaming queries (T1-T5, and C7 as a stream) on driver tables."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from ..sources.testdata import table
 from ..streaming import streams as S
 from . import oracle as O
 from . import standins
-from .jobs_queries import scratch_database
+from .jobs_queries import AUDIT_SQL, RUN1_TS, RUN2_TS, key_buckets, scratch_database
 from .registry import register
 
 
@@ -128,3 +128,29 @@ def stream_state_version(spark, sf_dir):
         s.write.mode("append").parquet(landing)
         S.run_available_now(S.file_stream(spark, landing, schema), ckpt, foreach_batch=commit)
     return spark.table(state_table)
+
+
+@register("stream_jobs_upsert", "WITH" + O.POSTINGS_CTE + "," + AUDIT_SQL + """
+SELECT * FROM stored
+UNION ALL BY NAME
+SELECT * EXCLUDE (job_salary) FROM batch WHERE job_id NOT IN (SELECT job_id FROM stored)""")
+def stream_jobs_upsert(spark, sf_dir):
+    """C7 as a stream: two scheduled ``availableNow`` runs (slice A, then
+    slice B with the re-fetched overlap); watermark dedup within the run,
+    insert-if-new against the stored table in ``foreachBatch``.  Equals the
+    batch insert-if-new load (``jobs_upsert``)."""
+    ensure_utc(spark)
+    landing, ckpt = scratch_path(spark, "upsert_landing"), scratch_path(spark, "upsert_ckpt")
+    db = scratch_database(spark, "stream_jobs")
+    name = f"{db}.postings"
+    slices = _land_slices(spark, sf_dir, landing)
+    schema = slices[0].schema
+    for s, run_ts in zip(slices, (RUN1_TS, RUN2_TS)):
+        s.write.mode("append").parquet(landing)
+        stream = S.dedup_within_watermark(S.file_stream(spark, landing, schema), "job_id",
+                                          "job_created", "12 hours")
+        sink = S.append_new_batch(name, "job_id", ["extraction_date"],
+                                  audit=lambda df, ts=run_ts: J.with_audit(df, ts),
+                                  bucket_by=(key_buckets(spark), "job_id"))
+        S.run_available_now(stream, ckpt, foreach_batch=sink)
+    return spark.table(name)
