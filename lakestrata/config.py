@@ -89,6 +89,7 @@ class JobsConfig:
     """Knobs of the incremental postings load."""
 
     search_phrase: str = DEFAULT_SEARCH_PHRASE
+    filter_phrase: bool = False      # re-apply the phrase to landed pages (the API already did)
     overlap_hours: int = DEFAULT_OVERLAP_HOURS
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
     max_rows_per_file: int = DEFAULT_MAX_ROWS_PER_FILE

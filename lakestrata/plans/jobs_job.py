@@ -47,6 +47,8 @@ def run_jobs(spark: SparkSession, cfg: JobsConfig, pages_path: str, run_ts: dt.d
     pages = raw_json.read_job_pages(spark, pages_path)
     clean = J.clean_postings(J.flatten_postings(J.explode_pages(pages)))
     batch = J.in_window(clean, start, end)
+    if cfg.filter_phrase:
+        batch = J.phrase_filter(batch, cfg.search_phrase, ["job_title", "job_description"])
     if cfg.max_age_cap_days is not None:
         batch = J.within_max_age(batch, run_ts, start, cfg.max_age_cap_days)
     batch = J.with_audit(J.dedup_postings(batch), run_ts)
