@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a "small" side may have to be broadcast.  Above it the join is left
+# to the planner (sort-merge or shuffled hash, AQE re-plans at runtime).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` only after checking its size.
+
+    The check counts at most ``max_rows + 1`` rows (a ``limit`` inside a
+    count), so it stays cheap even when the side is unexpectedly large;
+    beyond the bound the frame is returned unhinted.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

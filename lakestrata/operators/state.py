@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PIPELINE_STATE
+from .joins import broadcast_if_small
 
 STATE_COLUMNS = [f.name for f in PIPELINE_STATE.fields]
 
@@ -69,13 +70,14 @@ def window_from_state(batch: DataFrame, state: DataFrame, run_ts: dt.datetime,
     attached to its rows and applied (both ends inclusive).
 
     ``state`` holds one current row per pipeline -- its size is bounded by
-    the number of pipelines, not by data -- so it is broadcast."""
+    the number of pipelines, not by data -- so it is broadcast, after a
+    size check (``broadcast_if_small``)."""
     bounds = state.select(
         key,
         (F.col("last_extraction_time") - F.expr(f"INTERVAL {int(overlap_hours)} HOURS"))
         .alias("window_start"),
         F.lit(run_ts).cast("timestamp_ntz").alias("window_end"))
-    j = batch.join(F.broadcast(bounds), key)
+    j = batch.join(broadcast_if_small(bounds), key)
     return j.where(F.col(ts).between(F.col("window_start"), F.col("window_end")))
 
 

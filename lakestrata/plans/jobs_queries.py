@@ -51,9 +51,6 @@ def clean_postings(spark, sf_dir) -> DataFrame:
     return J.clean_postings(flat_postings(spark, sf_dir))
 
 
-FLAT_COLS = ", ".join(J.FLAT)
-
-
 @register("jobs_flatten", "WITH" + O.POSTINGS_CTE + "\nSELECT * FROM flat")
 def jobs_flatten(spark, sf_dir):
     """S5 + P4: pages landed as JSON, read back with the page schema, one row

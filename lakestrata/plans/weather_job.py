@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import WeatherConfig
 from ..operators import weather as W
+from ..operators.joins import broadcast_if_small
 from ..session import ensure_utc
 from ..sources import raw_json, tables
 
@@ -27,7 +28,7 @@ def run_weather_daily(spark: SparkSession, responses_path: str, out_path: str,
     resp = raw_json.read_weather_responses(spark, responses_path)
     rows = W.weather_daily(resp, run_ts, keep=["response_id"], location=W.site_struct(cfg.site))
     rows = rows.where(F.col("date") <= F.lit(run_ts.date()))
-    rows = rows.join(F.broadcast(cal.select("year", "month")), ["year", "month"], "left_semi")
+    rows = rows.join(broadcast_if_small(cal.select("year", "month")), ["year", "month"], "left_semi")
     tables.overwrite_partitions(rows.drop("response_id"), out_path, ["year", "month"],
                                 fmt=cfg.table_format)
     written = (spark.read.format(cfg.table_format).load(out_path)
