@@ -20,6 +20,17 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_lit(value) -> Column:
+    """A ``timestamp_ntz`` literal from a naive datetime (UTC wall clock).
+
+    Built from text: ``F.lit(datetime)`` would read the naive value in the
+    Python process's local zone and give an instant, which shifts it on any
+    host not set to UTC."""
+    if isinstance(value, Column):
+        return value
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def epoch_micros(ts: ColumnOrName, ntz: bool = True) -> Column:
     """Microseconds since 1970-01-01 of a timestamp (monotone, for ordering
     and bucketing).  For ``timestamp_ntz`` Spark evaluates the difference in

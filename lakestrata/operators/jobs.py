@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import parse_iso_timestamp
+from ..functions.scalars import parse_iso_timestamp, ts_lit
 from .dedup import dedup_first
 
 FLAT = ["job_id", "job_title", "job_location", "job_company", "job_category",
@@ -52,8 +52,7 @@ def clean_postings(flat: DataFrame) -> DataFrame:
 def in_window(df: DataFrame, start, end, ts: str = "job_created") -> DataFrame:
     """``start <= ts <= end``, both ends inclusive.  Bounds are literals
     or columns (e.g. from a joined state row)."""
-    s = start if isinstance(start, Column) else F.lit(start)
-    e = end if isinstance(end, Column) else F.lit(end)
+    s, e = ts_lit(start), ts_lit(end)
     return df.where(F.col(ts).between(s, e))
 
 
@@ -68,7 +67,7 @@ def within_max_age(df: DataFrame, run_ts: dt.datetime, start: dt.datetime,
     """``ts >= run_ts - max_age_days``.  The source's 30-day cap silently
     lost longer gaps (D11), so the cap is off unless asked for."""
     days = max_age_days(run_ts, start, cap)
-    return df.where(F.col(ts) >= F.lit(run_ts - dt.timedelta(days=days)))
+    return df.where(F.col(ts) >= ts_lit(run_ts - dt.timedelta(days=days)))
 
 
 def phrase_filter(df: DataFrame, phrase: str, cols: list[str], whole_words: bool = False) -> DataFrame:
@@ -118,7 +117,7 @@ def with_audit(df: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """``extraction_date`` / ``extraction_timestamp`` of the run (one value
     passed in, never a per-row clock)."""
     return (df.withColumn("extraction_date", F.lit(run_ts.date()))
-              .withColumn("extraction_timestamp", F.lit(run_ts).cast("timestamp_ntz")))
+              .withColumn("extraction_timestamp", ts_lit(run_ts)))
 
 
 def upsert_latest(existing: DataFrame, batch: DataFrame, key: str = "job_id",

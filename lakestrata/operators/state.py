@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import ts_lit
 from ..schemas import PIPELINE_STATE
 from .joins import broadcast_if_small
 
@@ -34,7 +35,7 @@ def current_state(state: DataFrame) -> DataFrame:
 
 def state_as_of(state: DataFrame, as_of) -> DataFrame:
     """The state each pipeline had at time ``as_of`` (versions updated at or before)."""
-    return current_state(state.where(F.col("updated_at") <= F.lit(as_of)))
+    return current_state(state.where(F.col("updated_at") <= ts_lit(as_of)))
 
 
 def with_defaults(requested: DataFrame, state: DataFrame, run_ts: dt.datetime,
@@ -43,7 +44,7 @@ def with_defaults(requested: DataFrame, state: DataFrame, run_ts: dt.datetime,
     gets the default -- ``run_ts - lookback_days``, total 0, version 0.
     Read errors are *not* turned into a first run (D10): they raise."""
     cur = current_state(state)
-    default_ts = F.lit(run_ts - dt.timedelta(days=lookback_days)).cast("timestamp_ntz")
+    default_ts = ts_lit(run_ts - dt.timedelta(days=lookback_days))
     j = requested.select("state_id").join(cur, "state_id", "left")
     return j.select(
         "state_id",
@@ -76,7 +77,7 @@ def window_from_state(batch: DataFrame, state: DataFrame, run_ts: dt.datetime,
         key,
         (F.col("last_extraction_time") - F.expr(f"INTERVAL {int(overlap_hours)} HOURS"))
         .alias("window_start"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("window_end"))
+        ts_lit(run_ts).alias("window_end"))
     j = batch.join(broadcast_if_small(bounds), key)
     return j.where(F.col(ts).between(F.col("window_start"), F.col("window_end")))
 

@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 from ..config import (DAILY_DATA_SOURCE, DAILY_WEATHER_PARAMS, DEFAULT_LOCAL_TIMEZONE,
                       HOURLY_DATA_SOURCE, HOURLY_WEATHER_PARAMS, WEATHER_API_VERSION,
                       WeatherSite)
-from ..functions.scalars import epoch_micros, iso_local, local_to_utc, month_label, utc_to_local
+from ..functions.scalars import (epoch_micros, iso_local, local_to_utc, month_label, ts_lit,
+                                 utc_to_local)
 
 ColumnOrName = Column | str
 
@@ -82,7 +83,7 @@ def weather_daily(responses: DataFrame, run_ts: dt.datetime, keep: Sequence[str]
         F.struct(*[F.col(p) for p in params]).alias("weather"),
         F.struct(F.lit(DAILY_DATA_SOURCE).alias("data_source"),
                  F.lit(WEATHER_API_VERSION).alias("api_version"),
-                 F.lit(run_ts).cast("timestamp_ntz").alias("collected_at")).alias("metadata"),
+                 ts_lit(run_ts).alias("collected_at")).alias("metadata"),
         F.year(date).alias("year"),
         F.month(date).alias("month"),
     )
@@ -99,7 +100,7 @@ def parse_series_time(t: Column, zone: str) -> Column:
 
 def anchor_hour(run_ts: dt.datetime, zone: str) -> Column:
     """``run_ts`` (UTC) truncated to the hour *in local time*, back in UTC."""
-    local = utc_to_local(F.lit(run_ts).cast("timestamp_ntz"), zone)
+    local = utc_to_local(ts_lit(run_ts), zone)
     return local_to_utc(F.date_trunc("hour", local).cast("timestamp_ntz"), zone)
 
 
@@ -139,7 +140,7 @@ def nearest_hour(responses: DataFrame, run_ts: dt.datetime, keep: Sequence[str]
         F.struct(*[F.get(F.col(f"_s.{p}"), F.col("_i")).alias(p) for p in params]).alias("weather"),
         F.struct(F.lit(HOURLY_DATA_SOURCE).alias("data_source"),
                  F.lit(WEATHER_API_VERSION).alias("api_version"),
-                 F.lit(run_ts).cast("timestamp_ntz").alias("collected_at"),
+                 ts_lit(run_ts).alias("collected_at"),
                  F.lit(zone).alias("local_timezone")).alias("metadata"),
         F.year(local).alias("year"), F.month(local).alias("month"),
         F.dayofmonth(local).alias("day"),

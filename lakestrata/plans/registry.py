@@ -7,10 +7,13 @@ the same rows.  Keys without SQL get the weaker rows-only check.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_utc
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -21,7 +24,12 @@ def register(key: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         if key in QUERIES:
             raise KeyError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_utc(spark)   # D7: UTC everywhere, whatever the host zone
+            return fn(spark, sf_dir)
+        QUERIES[key] = run
         if sql is not None:
             ORACLE[key] = sql
         return fn

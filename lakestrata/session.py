@@ -45,7 +45,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_utc(spark: SparkSession) -> None:
     """Pin the session zone to UTC (decision D7: UTC everywhere)."""
-    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+    # no default argument: get(key, default) returns the default whenever the
+    # key was not set explicitly, hiding the host zone the session really uses
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 

@@ -8,11 +8,15 @@ created at an explicit location so nothing lands in a working directory.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import ts_lit
+
 
 class SchemaChangeError(ValueError):
     """Overwriting a table with a different schema without ``allow_schema_change``."""
@@ -127,6 +131,7 @@ def append_new(batch: DataFrame, name: str, key: str, *, partition_by: list[str]
         stored = spark.table(name)
         cond = F.lit(True)
         for col, value in run_marker.items():
-            cond = cond & (F.col(col) == F.lit(value).cast(stored.schema[col].dataType))
+            lit = ts_lit(value) if isinstance(value, dt.datetime) else F.lit(value)
+            cond = cond & (F.col(col) == lit.cast(stored.schema[col].dataType))
         files = stored.where(cond).select("_metadata.file_path").distinct().count()
     return Receipt(new_jobs=rows, files_written=int(files), table_updated=rows > 0)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.config import JobsConfig
+from lakestrata.functions.scalars import ts_lit
 from lakestrata.operators import jobs as J
 from lakestrata.operators import state as ST
 from lakestrata.plans.jobs_job import run_jobs
@@ -160,8 +161,8 @@ def test_overlap_zero_vs_twelve_hours_same_keys(spark):
     cut = dt.datetime(2024, 1, 3)
     keys = []
     for overlap in (0, 12):
-        a = df.where(F.col("job_created") < F.lit(cut))
-        b = df.where(F.col("job_created") >= F.lit(cut - dt.timedelta(hours=overlap)))
+        a = df.where(F.col("job_created") < ts_lit(cut))
+        b = df.where(F.col("job_created") >= ts_lit(cut - dt.timedelta(hours=overlap)))
         keys.append(sorted(r[0] for r in J.dedup_postings(J.union_pages(a, b)).collect()))
     assert keys[0] == keys[1] and len(keys[0]) == 100
 
