@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.config import DAILY_WEATHER_PARAMS, HOURLY_WEATHER_PARAMS, WeatherConfig
+from lakestrata.functions.scalars import ts_lit
 from lakestrata.operators import weather as W
 from lakestrata.plans.weather_job import run_weather_daily, run_weather_hourly
 from lakestrata.session import local_fs_path, scratch_path
@@ -168,7 +169,7 @@ def test_nearest_index_matches_brute_force(spark):
         cases.append((c, [t.strftime("%Y-%m-%dT%H:%M") for t in times], times))
     df = spark.createDataFrame([(c, s) for c, s, _ in cases], "c int, t array<string>")
     anchor_local = base + dt.timedelta(hours=0)
-    anchor = W.local_to_utc(F.lit(anchor_local).cast("timestamp_ntz"), "Africa/Johannesburg")
+    anchor = W.local_to_utc(ts_lit(anchor_local), "Africa/Johannesburg")
     got = {r["c"]: r["i"] for r in df.select("c", W.nearest_index(F.col("t"), anchor, "Africa/Johannesburg")
                                                 .alias("i")).collect()}
     for c, _, times in cases:
