@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import FILMS_RAW

@@ -59,13 +59,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created and registered, so later calls agree.
     """
     global _LOCAL_SCRATCH
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
     try:
         current = spark.sparkContext.getCheckpointDir()
     except Exception:  # Spark Connect has no SparkContext
         current = None
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        if current is None:
+            # set at runtime only: make DataFrame.checkpoint() use it too
+            try:
+                spark.sparkContext.setCheckpointDir(configured)
+            except Exception:
+                pass
+        return configured.rstrip("/")
     if current:
         return current.rstrip("/")
     if _LOCAL_SCRATCH is None:

@@ -155,7 +155,6 @@ def test_max_age_and_phrase(spark):
 
 
 def test_overlap_zero_vs_twelve_hours_same_keys(spark):
-    from lakestrata.operators.dedup import dedup_first  # noqa: F401
     rows = [(f"J{i}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(100)]
     df = spark.createDataFrame(rows, "job_id string, job_created timestamp_ntz")
     cut = dt.datetime(2024, 1, 3)
