@@ -30,7 +30,7 @@ def raw_json_scan(spark, sf_dir):
     ``*/*.json``-style glob; the malformed record is quarantined."""
     orders = table(spark, sf_dir, "orders")
     landing = scratch_path(spark, "raw_orders")
-    raw_json.land_json_arrays(orders, landing, _n_files(orders), key="o_orderkey")
+    raw_json.land_json_arrays(orders, landing, _n_files(orders))
     spark.createDataFrame([('[{"o_orderkey": 1, "o_custkey": ',)], "value string") \
         .write.text(f"{landing}/bucket=truncated")
     raw = raw_json.read_raw_json(spark, f"{landing}/*/*.txt", orders.schema, multi_line=True)
@@ -46,7 +46,7 @@ def run_film_tables(spark, sf_dir) -> films_job.FilmsConfig:
     """Land the film stand-in as raw JSON and run bronze -> silver -> gold."""
     films = standins.films(table(spark, sf_dir, "lineitem"))
     landing = scratch_path(spark, "raw_films")
-    raw_json.land_json_arrays(films, landing, _n_files(films), key="id")
+    raw_json.land_json_arrays(films, landing, _n_files(films))
     tag = uuid.uuid4().hex[:8]
     cfg = films_job.FilmsConfig(
         raw_glob=f"{landing}/*/*.txt", bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}",

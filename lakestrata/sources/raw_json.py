@@ -30,14 +30,17 @@ def write_json(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.json(path)
 
 
-def land_json_arrays(df: DataFrame, path: str, n_files: int, key: str | None = None) -> None:
+def land_json_arrays(df: DataFrame, path: str, n_files: int) -> None:
     """Land ``df`` as ``n_files`` multi-line JSON files, each one JSON array,
-    under ``path/bucket=<i>/`` (the two-level layout raw drops use).  Rows go
-    to files by a hash of ``key`` (or of the whole row); each collected file
-    body is bounded by ``rows / n_files``, so ``n_files`` must grow with the
+    under ``path/bucket=<i>/`` (the two-level layout raw drops use).
+
+    Rows are spread by position (a hash of ``monotonically_increasing_id``,
+    stable for a given input split), not by any key: each collected file
+    body holds about ``rows / n_files`` rows even when one key or one
+    repeated row is a third of the data.  ``n_files`` must grow with the
     data."""
-    h = F.xxhash64(F.col(key)) if key else F.xxhash64(*[F.col(c) for c in df.columns])
-    bodies = (df.withColumn("bucket", F.pmod(h, F.lit(n_files)))
+    bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_files))
+    bodies = (df.withColumn("bucket", bucket)
               .groupBy("bucket")
               .agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])),
                              {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT})
