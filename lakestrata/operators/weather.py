@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..config import (DAILY_DATA_SOURCE, DAILY_WEATHER_PARAMS, DEFAULT_LOCAL_TIMEZONE,
                       HOURLY_DATA_SOURCE, HOURLY_WEATHER_PARAMS, WEATHER_API_VERSION,
                       WeatherSite)
+from ..session import checkpoint_root
 from ..functions.scalars import (epoch_micros, iso_local, local_to_utc, month_label, ts_lit,
                                  utc_to_local)
 
@@ -169,35 +170,58 @@ def response_profile(responses: DataFrame, keep: Sequence[str] = (), series: str
 # ---------------------------------------------------------------------------
 
 def asof_backward(anchors: DataFrame, events: DataFrame, by: Sequence[str], anchor_ts: str,
-                  event_ts: str, bucket_seconds: int = 86400) -> DataFrame:
+                  event_ts: str, bucket_seconds: int = 86400, partitioning: str = "time",
+                  num_ranges: int | None = None) -> DataFrame:
     """For each anchor row, the latest event with the same ``by`` keys and
     ``event_ts <= anchor_ts`` (inner: anchors without one are dropped).
 
     No pairs are formed.  Anchors and events are tagged and sorted together
-    within (``by``, time bucket): a running ``last`` finds in-bucket matches.
+    within (``by``, bucket): a running ``last`` finds in-bucket matches.
     Anchors left over take the last event of the nearest earlier non-empty
-    bucket, found by the same running ``last`` over one summary row per
-    (``by``, bucket) -- rows bounded by the time span, not by data, so a hot
-    key spreads over its buckets instead of landing in one task.
+    bucket of their key, found by the same running ``last`` over one summary
+    row per (``by``, bucket).
+
+    Buckets: ``partitioning="time"`` cuts time into ``bucket_seconds``
+    slices (one shuffle by key and slice; a hot key spreads over its
+    slices).  ``partitioning="range"`` takes the buckets from
+    ``repartitionByRange`` on (``by``, time): the boundaries come from a
+    sample of the data, so even a key that is dense inside one short span is
+    split over many partitions, each about ``rows / num_ranges`` rows.
+    Summary rows per key are at most the number of buckets.
     Event payload columns are all event columns except ``by``.
     """
     by = list(by)
     payload_cols = [c for c in events.columns if c not in by]
     payload = F.struct(*[F.col(c) for c in payload_cols])
+
     def bucket(c: str) -> Column:
         dtype = (anchors if c == anchor_ts else events).schema[c].dataType
         micros = epoch_micros(c, ntz=isinstance(dtype, T.TimestampNTZType))
         return F.floor(micros / (bucket_seconds * 1_000_000))
 
-    ev = events.select(*by, F.col(event_ts).alias("_t"), bucket(event_ts).alias("_b"),
+    time_mode = partitioning == "time"
+    ev = events.select(*by, F.col(event_ts).alias("_t"),
+                       (bucket(event_ts) if time_mode else F.lit(0).cast("long")).alias("_b"),
                        F.lit(0).alias("_kind"), payload.alias("_ev"),
                        F.lit(None).cast(anchors.schema[anchor_ts].dataType).alias("_anchor"))
-    an = anchors.select(*by, F.col(anchor_ts).alias("_t"), bucket(anchor_ts).alias("_b"),
+    an = anchors.select(*by, F.col(anchor_ts).alias("_t"),
+                        (bucket(anchor_ts) if time_mode else F.lit(0).cast("long")).alias("_b"),
                         F.lit(1).alias("_kind"), F.lit(None).cast(ev.schema["_ev"].dataType).alias("_ev"),
                         F.col(anchor_ts).alias("_anchor"))
+    both = ev.unionByName(an)
+    if not time_mode:
+        n = num_ranges or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        both = (both.repartitionByRange(n, *[F.col(c) for c in by], F.col("_t"), F.col("_kind"))
+                .withColumn("_b", F.spark_partition_id().cast("long")))
+        # the bucket id comes from sampled boundaries: materialise it once
+        # (reliable checkpoint in the shared folder) so every branch below
+        # sees the same buckets, also after a recomputation
+        checkpoint_root(both.sparkSession)
+        both = both.checkpoint(eager=True)
+        ev = both.where(F.col("_kind") == 0)
     w = (Window.partitionBy(*by, "_b").orderBy("_t", "_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    tagged = ev.unionByName(an).withColumn("_m", F.last("_ev", ignorenulls=True).over(w))
+    tagged = both.withColumn("_m", F.last("_ev", ignorenulls=True).over(w))
     anchors_out = tagged.where(F.col("_kind") == 1)
     resolved = anchors_out.where(F.col("_m").isNotNull())
     pending = anchors_out.where(F.col("_m").isNull()).select(*by, "_b", "_anchor")

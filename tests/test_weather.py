@@ -179,20 +179,24 @@ def test_nearest_index_matches_brute_force(spark):
             assert times[i] <= anchor_local          # never after the anchor if a past hour exists
 
 
-def test_asof_backward_matches_brute_force(spark):
+@pytest.mark.parametrize("mode", ["time", "range"])
+def test_asof_backward_matches_brute_force(spark, mode):
     rnd = random.Random(5)
     t0 = dt.datetime(2024, 1, 1)
     events = []
     for e in range(1500):
         user = 0 if e % 3 == 0 else rnd.randint(1, 30)       # user 0 holds a third of the rows
-        events.append((user, t0 + dt.timedelta(seconds=rnd.randint(0, 10 * 86400)), e))
+        span = 3600 if user == 0 else 10 * 86400              # ... packed into one hour
+        events.append((user, t0 + dt.timedelta(seconds=rnd.randint(0, span)), e))
     anchors = [(rnd.randint(0, 32), t0 + dt.timedelta(seconds=rnd.randint(-86400, 12 * 86400)))
                for _ in range(400)]
+    anchors += [(0, t0 + dt.timedelta(seconds=rnd.randint(-60, 3700))) for _ in range(100)]
     anchors = list(dict.fromkeys(anchors))
     ev = spark.createDataFrame(events, "user long, ts timestamp_ntz, event_id long")
     an = spark.createDataFrame(anchors, "user long, at timestamp_ntz")
     got = {(r["user"], r["at"]): r["event_id"]
-           for r in W.asof_backward(an, ev, ["user"], "at", "ts", bucket_seconds=6 * 3600).collect()}
+           for r in W.asof_backward(an, ev, ["user"], "at", "ts", bucket_seconds=6 * 3600,
+                                    partitioning=mode, num_ranges=16).collect()}
     want = {}
     for u, at in anchors:
         cands = [(ts, e) for uu, ts, e in events if uu == u and ts <= at]
