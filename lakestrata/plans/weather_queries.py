@@ -131,17 +131,32 @@ def weather_hour_partitions(spark, sf_dir):
                        "year", "month", "day", "hour")
 
 
-@register("asof_backward", """
+ASOF_SQL = """
 WITH anchors AS (
   SELECT DISTINCT user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 12 HOUR AS anchor_ts FROM events)
 SELECT a.user_id, a.anchor_ts, e.ts, e.event_id, e.value
-FROM anchors a ASOF JOIN events e ON a.user_id = e.user_id AND e.ts <= a.anchor_ts""")
+FROM anchors a ASOF JOIN events e ON a.user_id = e.user_id AND e.ts <= a.anchor_ts"""
+
+
+@register("asof_backward", ASOF_SQL)
 def asof_backward(spark, sf_dir):
+    """J2, many anchors: one anchor per (user, day) at 12:00; time buckets."""
+    return _asof(spark, sf_dir, "time")
+
+
+@register("asof_backward_range", ASOF_SQL)
+def asof_backward_range(spark, sf_dir):
+    """The same as-of join with range-partitioned buckets (keys dense in
+    time are split by sampled boundaries)."""
+    return _asof(spark, sf_dir, "range")
+
+
+def _asof(spark, sf_dir, partitioning):
     ev = table(spark, sf_dir, "events")
     anchors = ev.select("user_id", (F.to_date("ts").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS"))
                         .alias("anchor_ts")).distinct()
     return W.asof_backward(anchors, ev.select("user_id", "ts", "event_id", "value"),
-                           ["user_id"], "anchor_ts", "ts")
+                           ["user_id"], "anchor_ts", "ts", partitioning=partitioning)
 
 
 @register("response_profile", "WITH" + O.WEATHER_CTE + """
