@@ -20,17 +20,22 @@ from ..sources import raw_json, tables
 
 
 def run_weather_daily(spark: SparkSession, responses_path: str, out_path: str,
-                      run_ts: dt.datetime, cfg: WeatherConfig = WeatherConfig()) -> DataFrame:
+                      run_ts: dt.datetime, cfg: WeatherConfig = WeatherConfig(),
+                      keep: list[str] | None = None, extra_fields=None,
+                      multi_line: bool = True) -> DataFrame:
     """Landed daily responses -> daily records of the calendar's months
-    (future days dropped) -> dynamic overwrite by (year, month) -> load report."""
+    (future days dropped) -> dynamic overwrite by (year, month) -> load report.
+    ``keep`` columns (declared by ``extra_fields``, e.g. a site id) ride
+    along into the stored records."""
     ensure_utc(spark)
+    keep = list(keep or [])
     cal = W.calendar_back(spark, run_ts, cfg.years_back)
-    resp = raw_json.read_weather_responses(spark, responses_path)
-    rows = W.weather_daily(resp, run_ts, keep=["response_id"], location=W.site_struct(cfg.site))
+    resp = raw_json.read_weather_responses(spark, responses_path, multi_line=multi_line,
+                                           extra_fields=extra_fields)
+    rows = W.weather_daily(resp, run_ts, keep=keep, location=W.site_struct(cfg.site))
     rows = rows.where(F.col("date") <= F.lit(run_ts.date()))
     rows = rows.join(broadcast_if_small(cal.select("year", "month")), ["year", "month"], "left_semi")
-    tables.overwrite_partitions(rows.drop("response_id"), out_path, ["year", "month"],
-                                fmt=cfg.table_format)
+    tables.overwrite_partitions(rows, out_path, ["year", "month"], fmt=cfg.table_format)
     written = (spark.read.format(cfg.table_format).load(out_path)
                .groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows")))
     return W.month_load_report(cal, written)

@@ -221,3 +221,25 @@ def partition_pruned_scan(spark, sf_dir):
     tree = raw_json.read_partitioned_tree(spark, base, schema, multi_line=False)
     return (tree.where((F.col("year") == 2024) & (F.col("month") == 1) & F.col("day").between(10, 12))
             .select("event_id", "ts", "user_id", "event_type", "value", "year", "month", "day"))
+
+
+DAILY_JOB_RUN_TS = dt.datetime(2024, 1, 20, 10)
+
+
+@register("weather_daily_job", "WITH" + O.WEATHER_CTE + f"""
+SELECT * REPLACE (TIMESTAMP '{DAILY_JOB_RUN_TS}' AS collected_at)
+FROM (SELECT {DAILY_FLAT_COLS} FROM daily_rows)
+WHERE date <= DATE '{DAILY_JOB_RUN_TS.date()}'""")
+def weather_daily_job(spark, sf_dir):
+    """C10 end to end: landed responses -> calendar of the last year ->
+    days up to the run date -> dynamic overwrite by (year, month); the
+    stored records are returned (the load report is checked in the tests)."""
+    from ..config import WeatherConfig
+    from .weather_job import run_weather_daily
+    landing = scratch_path(spark, "daily_job_responses")
+    standins.daily_responses(table(spark, sf_dir, "events")).drop("year", "month").write.json(landing)
+    out = scratch_path(spark, "daily_job_out")
+    run_weather_daily(spark, landing, out, DAILY_JOB_RUN_TS, WeatherConfig(years_back=1),
+                      keep=["user_id"], extra_fields=[T.StructField("user_id", T.LongType())],
+                      multi_line=False)
+    return flat_daily(spark.read.parquet(out))

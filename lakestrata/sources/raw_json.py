@@ -83,10 +83,14 @@ def read_job_pages(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def read_weather_responses(spark: SparkSession, path: str, hourly: bool = False,
-                           multi_line: bool = True) -> DataFrame:
+                           multi_line: bool = True,
+                           extra_fields: list[StructField] | None = None) -> DataFrame:
     """Landed daily or hourly responses; the source file is kept as
-    the response id (``_metadata.file_path``)."""
+    the response id (``_metadata.file_path``).  ``extra_fields`` declares
+    fields a landing adds to each response (e.g. a site id)."""
     schema = HOURLY_RESPONSE if hourly else DAILY_RESPONSE
+    if extra_fields:
+        schema = StructType(list(schema.fields) + list(extra_fields))
     df = read_raw_json(spark, path, schema, multi_line=multi_line)
     return df.withColumn("response_id", F.col("_metadata.file_path"))
 
