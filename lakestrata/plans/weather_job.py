@@ -42,12 +42,16 @@ def run_weather_daily(spark: SparkSession, responses_path: str, out_path: str,
 
 
 def run_weather_hourly(spark: SparkSession, responses_path: str, out_path: str,
-                       run_ts: dt.datetime, cfg: WeatherConfig = WeatherConfig()) -> dict:
+                       run_ts: dt.datetime, cfg: WeatherConfig = WeatherConfig(),
+                       keep: list[str] | None = None, extra_fields=None,
+                       multi_line: bool = True) -> dict:
     """Landed hourly responses -> one pick per response -> the hour's
     partition replaced.  Returns a receipt."""
     ensure_utc(spark)
-    resp = raw_json.read_weather_responses(spark, responses_path, hourly=True)
-    picks = W.nearest_hour(resp, run_ts, zone=cfg.local_timezone, location=W.site_struct(cfg.site))
+    resp = raw_json.read_weather_responses(spark, responses_path, hourly=True,
+                                           multi_line=multi_line, extra_fields=extra_fields)
+    picks = W.nearest_hour(resp, run_ts, keep=list(keep or []), zone=cfg.local_timezone,
+                           location=W.site_struct(cfg.site))
     obs = Observation("hourly_load")
     picks = W.hour_partition_columns(picks).observe(
         obs, F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first"),

@@ -243,3 +243,34 @@ def weather_daily_job(spark, sf_dir):
                       keep=["user_id"], extra_fields=[T.StructField("user_id", T.LongType())],
                       multi_line=False)
     return flat_daily(spark.read.parquet(out))
+
+
+@register("weather_hourly_job", "WITH" + O.WEATHER_CTE + """
+SELECT site_id, timestamp, date, temperature_2m, relative_humidity_2m, dew_point_2m,
+       apparent_temperature, precipitation, rain, wind_speed_10m, wind_direction_10m,
+       wind_gusts_10m, surface_pressure, cloud_cover, visibility, location_name,
+       data_source, api_version, collected_at, local_timezone,
+       CAST(year AS VARCHAR) AS year, lpad(CAST(month AS VARCHAR), 2, '0') AS month,
+       lpad(CAST(day AS VARCHAR), 2, '0') AS day, lpad(CAST(hour AS VARCHAR), 2, '0') AS hour
+FROM hour_rows""")
+def weather_hourly_job(spark, sf_dir):
+    """C12 end to end: landed hourly responses -> nearest-hour pick per
+    response -> the hour's partitions replaced (run twice: the same hour is
+    rewritten, not duplicated); the stored records are returned with their
+    string partitions."""
+    from ..config import WeatherConfig
+    from .weather_job import run_weather_hourly
+    landing = scratch_path(spark, "hourly_job_responses")
+    standins.hourly_responses(table(spark, sf_dir, "events")).write.json(landing)
+    out = scratch_path(spark, "hourly_job_out")
+    for _ in range(2):
+        run_weather_hourly(spark, landing, out, HOURLY_RUN_TS, WeatherConfig(), keep=["user_id"],
+                           extra_fields=[T.StructField("user_id", T.LongType())], multi_line=False)
+    parts = ("year", "month", "day", "hour")
+    stored = spark.read.parquet(out).schema
+    schema = T.StructType([f for f in stored.fields if f.name not in parts]
+                          + [T.StructField(c, T.StringType()) for c in parts])
+    back = spark.read.schema(schema).parquet(out)
+    return back.select(F.col("user_id").alias("site_id"), "timestamp", "date", "weather.*",
+                       F.col("location.name").alias("location_name"), "metadata.*",
+                       *parts)
