@@ -149,3 +149,16 @@ def test_dedup_descending_string_falls_back_to_window(spark):
         dedup_first(df, ["k"], [("s", "desc")], method="aggregate")
     nulls_first = {r["k"]: r["v"] for r in dedup_first(df, ["k"], [("s", "desc", False)]).collect()}
     assert nulls_first == {1: 3, 2: 4}
+
+
+def test_landing_mode_infers_schema(spark, film_tables):
+    """S1 without a schema (landing): columns come back alphabetical and the
+    truncated file is one row holding only _corrupt_record."""
+    from lakestrata.sources import raw_json
+    cfg, _ = film_tables
+    raw = raw_json.read_raw_json(spark, cfg.raw_glob, schema=None).cache()
+    data_cols = [c for c in raw.columns if c != "_corrupt_record"]
+    assert data_cols == sorted(data_cols)
+    assert "_corrupt_record" in raw.columns
+    assert raw.where(F.col("_corrupt_record").isNotNull()).count() == 1
+    assert raw.count() == len(ARRAY_FILE) + 2
