@@ -70,13 +70,21 @@ def zip_series(df: DataFrame, group: Sequence[str], order: str, values: Sequence
 
 def weather_daily(responses: DataFrame, run_ts: dt.datetime, keep: Sequence[str] = (),
                   location: Column | None = None, params: Sequence[str] = DAILY_WEATHER_PARAMS,
-                  series: str = "daily") -> DataFrame:
+                  series: str = "daily", request_year: str | None = None,
+                  request_month: str | None = None) -> DataFrame:
     """Daily responses -> one record per day: ``date``, ``location``,
     ``weather`` (the requested params), ``metadata``, and ``year``/``month``
-    for partitioning.  ``run_ts`` is the collection time (one value per run)."""
+    for partitioning.  ``run_ts`` is the collection time (one value per run).
+
+    P11: ``year``/``month`` come from the request when the responses carry
+    it (``request_year`` / ``request_month`` columns), else from the date;
+    they differ only for a day outside the requested month."""
+    carried = [c for c in (request_year, request_month) if c]
     rows = unzip_series(responses.withColumn("_loc", location if location is not None else site_struct()),
-                        series, params, keep=[*keep, "_loc"])
+                        series, params, keep=[*keep, *carried, "_loc"])
     date = F.try_to_date(F.col("time"))
+    year = F.col(request_year).cast("int") if request_year else F.year(date)
+    month = F.col(request_month).cast("int") if request_month else F.month(date)
     return rows.select(
         *keep,
         date.alias("date"),
@@ -85,8 +93,8 @@ def weather_daily(responses: DataFrame, run_ts: dt.datetime, keep: Sequence[str]
         F.struct(F.lit(DAILY_DATA_SOURCE).alias("data_source"),
                  F.lit(WEATHER_API_VERSION).alias("api_version"),
                  ts_lit(run_ts).alias("collected_at")).alias("metadata"),
-        F.year(date).alias("year"),
-        F.month(date).alias("month"),
+        year.alias("year"),
+        month.alias("month"),
     )
 
 

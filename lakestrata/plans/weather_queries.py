@@ -55,7 +55,8 @@ def landed_daily_responses(spark, sf_dir) -> DataFrame:
 
 def daily_rows(spark, sf_dir) -> DataFrame:
     ensure_utc(spark)
-    return W.weather_daily(landed_daily_responses(spark, sf_dir), DAILY_RUN_TS, keep=["user_id"])
+    return W.weather_daily(landed_daily_responses(spark, sf_dir), DAILY_RUN_TS, keep=["user_id"],
+                           request_year="year", request_month="month")
 
 
 def landed_hourly_responses(spark, sf_dir) -> DataFrame:

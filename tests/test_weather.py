@@ -203,3 +203,20 @@ def test_asof_backward_matches_brute_force(spark, mode):
         if cands:
             want[(u, at)] = max(cands)[1]
     assert got == want
+
+
+def test_request_month_labels_rows(spark):
+    """A response for January that also holds Feb 1 labels it January."""
+    base = local_fs_path(scratch_path(spark, "request_month_fixture"))
+    d = {p: [1.0, 2.0] for p in DAILY_WEATHER_PARAMS}
+    d["time"] = ["2024-01-31", "2024-02-01"]
+    write(base, "r", {"daily": d, "req_year": 2024, "req_month": 1})
+    from pyspark.sql import types as T
+    resp = raw_json.read_weather_responses(
+        spark, base, extra_fields=[T.StructField("req_year", T.IntegerType()),
+                                   T.StructField("req_month", T.IntegerType())])
+    by_request = {str(r["date"]): r["month"] for r in W.weather_daily(
+        resp, RUN, request_year="req_year", request_month="req_month").collect()}
+    by_date = {str(r["date"]): r["month"] for r in W.weather_daily(resp, RUN).collect()}
+    assert by_request == {"2024-01-31": 1, "2024-02-01": 1}
+    assert by_date == {"2024-01-31": 1, "2024-02-01": 2}
