@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import line_dedup, secrets
+from . import html_text, language_id, line_dedup, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +92,32 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.with_kept_text(docs).select(
         "doc_id", F.col("__lines").alias("n_lines"), F.col("__lost").alias("n_dropped"),
         F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+@_register("op7_warc", """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE octet_length(b) >= 100 GROUP BY 1)
+    SELECT page_id, octet_length(b) AS payload_bytes, p.payload_digest,
+           CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND octet_length(b) >= 100""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(spark, _table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_register("op8_language")
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       language_id.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language_id.with_language(rows, model).select(
+        "doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+@_register("op9_main_text")
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.with_main_text(pages).select(
+        "page_id", "url", F.col("__main").alias("text"), F.char_length("__main").cast("long").alias("n_chars"))
