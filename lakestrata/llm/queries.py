@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import html_text, language_id, line_dedup, secrets, warc
+from . import ann, html_text, language_id, line_dedup, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -121,3 +121,8 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.with_main_text(pages).select(
         "page_id", "url", F.col("__main").alias("text"), F.char_length("__main").cast("long").alias("n_chars"))
+
+
+@_register("op6_ann")
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
