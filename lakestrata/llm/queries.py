@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import ann, html_text, language_id, line_dedup, secrets, warc
+from . import ann, html_text, language_id, line_dedup, secrets, sentence_pieces, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,16 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op6_ann")
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
+@_register("op2_sentence_pieces")
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text, decode it again; scores of the N best, digests of ids and of the decoded text."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = sentence_pieces.encoded(docs, sentence_pieces.Vocabulary.load())
+    return rows.select(
+        "doc_id", F.size("__ids").cast("long").alias("n_tokens"), F.col("__piece_score").alias("score"),
+        F.transform("__paths", lambda p: p["score"]).alias("next_scores"),
+        F.sha2(F.array_join(F.col("__ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("__decoded", 256).alias("decoded_sha256"),
+        (F.col("__decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
