@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import ann, html_text, language_id, line_dedup, secrets, sentence_pieces, warc
+from . import ann, decontaminate, html_text, language_id, line_dedup, secrets, sentence_pieces, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -139,3 +139,11 @@ def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("__ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("__decoded", 256).alias("decoded_sha256"),
         (F.col("__decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
+@_register("op4_decontaminate")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and test item that it leaks."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = decontaminate.with_leaks(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("__leaks")).select("doc_id", "item_id", "score", "question", "answer")
