@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import ann, decontaminate, html_text, language_id, line_dedup, secrets, sentence_pieces, warc
+from . import ann, decontaminate, html_text, language_id, line_dedup, secrets, sentence_pieces, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -147,3 +147,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = decontaminate.with_leaks(docs, _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.inline("__leaks")).select("doc_id", "item_id", "score", "question", "answer")
+
+
+@_register("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
