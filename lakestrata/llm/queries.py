@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import ann, decontaminate, html_text, language_id, line_dedup, secrets, sentence_pieces, substring_dedup, warc
+from . import ann, decontaminate, html_text, language_id, line_dedup, ngram_join, secrets, sentence_pieces, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -153,3 +153,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_register("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.joined(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
