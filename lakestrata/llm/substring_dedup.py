@@ -3,16 +3,17 @@
 Seeds: of the hashes of all runs of ``SEED`` words, winnowing picks the least
 of each window of ``least`` words, so equal windows pick the same seed at the
 same place.  A seed's reach is the stretch of words of all windows that
-picked it.  Extend: seeds are joined on their hash.  Where a seed's whole
-reach agrees with another's in both directions (same hash of the reach), all
-its windows are repeats, and where a seed has no partner, none is.  What is
-left are the seeds at the edges of repeats, whose reaches differ: they are
-extended window by window, by joining the hashes of the single windows.  Overlapping repeated
-windows merge into maximal repeats, whose words go.
-
-No pairs are made: classes of equal reach are counted, so a passage shared by
-a third of all rows costs one row per occurrence, and the joins are on keys
-that adaptive execution may split.  Texts travel compressed.
+picked it.  Extend: seeds are joined on their hash.  Where all occurrences of
+a seed agree in both directions over the whole reach (same hash of the
+reach), all its windows are repeats, and where a seed has no partner, none is.
+What is left are the seeds at the edges of repeats, whose reaches differ: they
+are extended window by window, by joining the hashes of the single windows.
+Overlapping repeated windows merge into maximal repeats, whose words go.
+
+No pairs are made: a seed's occurrences are counted (before the shuffle too)
+and its reaches' least and greatest hash compared, so a passage shared by a third of
+all rows costs one row per occurrence, and the joins are on keys that
+adaptive execution may split.  Texts travel compressed.
 
 Cases: null and empty texts have no words; texts shorter than a window lose
 nothing; a window repeated inside one text counts; rows that repeat id and
@@ -111,16 +112,17 @@ def unpacked(column: pa.Array) -> pa.Array:
     return pa.array([plain(z) for z in column.to_pylist()], pa.binary()).cast(pa.string())
 
 
-WINDOWS = "array<struct<a:long,h:long,s:int,known:boolean>>"
-_WINDOWS = pa.list_(pa.struct([("a", pa.int64()), ("h", pa.int64()), ("s", pa.int32()), ("known", pa.bool_())]))
+WINDOWS = "array<struct<a:int,h:long,s:int>>"
+_WINDOWS = pa.list_(pa.struct([("a", pa.int32()), ("h", pa.int64()), ("s", pa.int32())]))
 
 
 def extended(rows: DataFrame, least: int) -> DataFrame:
-    """(key, id, z, cover, windows, pending) from (key, id, z, live).
+    """(key, cover, windows) from (key, z, live).
 
-    ``live``: the places of a text's seeds that have partners; 4 * place + 2 if
-    the whole reach is a repeat + 1 if the reaches differ.  ``cover``: starts and
-    ends of the repeats known so far; ``windows``: single windows to be compared.
+    ``live``: the places of a text's seeds that have partners; 2 * place + 1
+    if the reaches differ.  ``cover``: starts and ends of the repeats known so
+    far; ``windows``: single windows to be compared, by 31 bits of the seed
+    and 64 of the window.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,29 +130,27 @@ def extended(rows: DataFrame, least: int) -> DataFrame:
             for part in slices(batch, "z", MAX_PACKED):
                 r = Reaches(Words(unpacked(part.column("z"))), least)
                 live, row = _flat(part.column("live"))
-                start = r.words.first[row] + (live >> 2)
-                k = np.searchsorted(r.first, start)             # the same seeds as in the first pass
-                order = np.argsort(k, kind="stable")
-                k, flags, row = k[order], (live & 3)[order], row[order]
-                full, differ = k[flags >= 2], flags & 1 == 1
-                cover = _lists(row[flags >= 2], np.column_stack([r.at[full], r.at[full] + (r.last - r.first)[full] + least]),
+                k = np.searchsorted(r.first, r.words.first[row] + (live >> 1))     # the same seeds as in the first pass
+                differ = live & 1 == 1
+                order = np.lexsort((k, differ))
+                k, differ, row = k[order], differ[order], row[order]
+                full = k[~differ]
+                cover = _lists(row[~differ], np.column_stack([r.at[full], r.at[full] + (r.last - r.first)[full] + least]),
                                part.num_rows)
-                n = np.where(differ, (r.last - r.first)[k] + 1, 0)
+                k, row = k[differ], row[differ]
+                n = (r.last - r.first)[k] + 1
                 s = np.repeat(r.first[k], n) + _counting(n)
-                h = r.runs(s, s + least).view(np.int64)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, n, part.num_rows).astype(np.int64))])
                 entries = pa.StructArray.from_arrays(
-                    [pa.array(np.repeat(r.hash[k].view(np.int64), n)), pa.array(h),
-                     pa.array((s - r.words.first[np.repeat(row, n)]).astype(np.int32)),
-                     pa.array(np.repeat(flags >= 2, n))], fields=list(_WINDOWS.value_type))
+                    [pa.array(np.repeat((r.hash[k] >> U(33)).astype(np.int32), n)),
+                     pa.array(r.runs(s, s + least).view(np.int64)),
+                     pa.array((s - r.words.first[np.repeat(row, n)]).astype(np.int32))],
+                    fields=list(_WINDOWS.value_type))
                 windows = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
-                pending = np.bincount(row[differ & (flags < 2)], minlength=part.num_rows) > 0
-                yield pa.RecordBatch.from_arrays(
-                    [*part.select(["__kid", "__kh", "id", "z"]).columns, cover, windows, pa.array(pending)],
-                    names=["__kid", "__kh", "id", "z", "cover", "windows", "pending"])
+                yield pa.RecordBatch.from_arrays([part.column("__kid"), part.column("__kh"), cover, windows],
+                                                 names=["__kid", "__kh", "cover", "windows"])
 
-    return rows.mapInArrow(run, f"__kid long, __kh int, id long, z binary, cover array<int>, windows {WINDOWS}, "
-                                "pending boolean")
+    return rows.mapInArrow(run, f"__kid long, __kh int, cover array<int>, windows {WINDOWS}")
 
 
 def _counting(n: np.ndarray) -> np.ndarray:
@@ -229,26 +229,25 @@ def kept_text(words: Words, keep: np.ndarray) -> pa.Array:
 def dedup(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, spans, kept): every text without its repeated passages.
 
-    The extended rows are written to the session's shared folder once: both
-    the single windows and the final texts come from there.
+    What the extension finds is written to the session's shared folder once
+    (places and hashes, no texts): counting the windows and putting the texts
+    together both start from there.
     """
     spark = docs.sparkSession
     found = seeds(docs, least, id_col, text_col)
-    classes = found.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"))
-    kinds = classes.groupBy("a").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).filter("total > 1")
-    status = classes.join(kinds, "a").select("a", "c", (F.when(F.col("n") > 1, 2).otherwise(0)
-                                                       + F.when(F.col("kinds") > 1, 1).otherwise(0)).alias("flag"))
-    live = (found.join(status, ["a", "c"])
+    status = (found.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
+              .filter("n > 1").select("a", (F.col("low") != F.col("high")).cast("long").alias("differ")))
+    live = (found.join(status, "a")
             .select("__kid", F.shiftright("at", 32).cast("int").alias("__kh"),
-                    (F.col("at").bitwiseAND((1 << 32) - 1) * 4 + F.col("flag")).alias("live"))
+                    (F.col("at").bitwiseAND((1 << 32) - 1) * 2 + F.col("differ")).alias("live"))
             .groupBy(*KEY).agg(F.collect_set("live").alias("live")))         # at most a text's seeds
     folder = scratch_path(spark, "substrings")
-    extended(packed(docs, id_col, text_col).join(live, KEY, "left"), least).write.parquet(folder)
+    texts = packed(docs, id_col, text_col)
+    extended(texts.drop("id").join(live, KEY), least).write.parquet(folder)
     rows = spark.read.parquet(folder)
     windows = rows.select(*KEY, F.inline("windows"))
     repeated = windows.groupBy("a", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    starts = (windows.filter("not known").join(repeated, ["a", "h"])
+    starts = (windows.join(repeated, ["a", "h"])
               .groupBy(*KEY).agg(F.collect_set("s").alias("starts")))        # at most a text's windows
-    rest = rows.filter("pending").select(*KEY, "id", "z", "cover").join(starts, KEY, "left")
-    sure = rows.filter("not pending").select("id", "z", "cover", F.array().cast("array<int>").alias("starts"))
-    return finished(sure, least).unionByName(finished(rest.select("id", "z", "cover", "starts"), least))
+    marks = rows.select(*KEY, "cover").dropDuplicates(KEY).join(starts, KEY, "left")
+    return finished(texts.join(marks, KEY, "left").select("id", "z", "cover", "starts"), least)
