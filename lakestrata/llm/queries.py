@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import ann, decontaminate, html_text, language_id, line_dedup, ngram_join, secrets, sentence_pieces, substring_dedup, warc
+from . import (ann, decontaminate, html_text, language_id, line_dedup, ngram_join, secrets, sentence_pieces,
+               substring_dedup, warc)
+from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,6 +20,7 @@ def _register(key: str, sql: str | None = None):
     def keep(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_utc(spark)
+            ship(spark)
             return fn(spark, sf_dir)
         QUERIES[key] = run
         if sql is not None:
