@@ -41,8 +41,9 @@ N_BEST = 4
 SPACE = "▁"
 LITERAL = ""                # the chunk that stands for a U+2581 of the text
 SHORT = 40                  # longer chunks go through the scalar pass
-REMEMBERED = 400_000        # chunks, in each Python worker
+REMEMBERED = 150_000        # chunks, in each Python worker
 BLOCK = 4096                # chunks in one vectorised pass
+MAX_TEXT = 1 << 20          # bytes of text handled at once
 FALLBACK = -1
 #: Best path and gap of chunks by vocabulary; a worker's tasks share it.
 _KNOWN: dict[str, dict[str, tuple[bytes, float, float]]] = {}
@@ -338,7 +339,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = N_BEST, text_col:
         for batch in batches:
             full = batch.set_column(place, batch.schema.names[place], batch.column(place).fill_null(""))
             done = 0
-            for part in slices(full, full.schema.names[place]):
+            for part in slices(full, full.schema.names[place], MAX_TEXT):
                 rows = list(encoder.encode(part.column(place).to_pylist()))
                 own = batch.slice(done, part.num_rows)
                 done += part.num_rows
