@@ -73,8 +73,6 @@ DEFAULT_SEARCH_PHRASE = "data engineer"
 DEFAULT_OVERLAP_HOURS = 12
 DEFAULT_LOOKBACK_DAYS = 7
 DEFAULT_MAX_ROWS_PER_FILE = 50000
-DEFAULT_MAX_AGE_CAP_DAYS = 30  # the source's API cap; off unless asked for
-DEFAULT_PAGE_SIZE = 50
 DEFAULT_YEARS_BACK = 3
 
 # Films medallion defaults.
@@ -99,6 +97,8 @@ class JobsConfig:
     state_table: str = "pipeline_state"
     state_id: str = DEFAULT_STATE_ID
     table_format: str = "parquet"
+    quarantine_table: str = "quarantined_pages"
+    advance_over_quarantined: bool = False   # move the state on although pages were malformed
     key_buckets: int | None = None   # bucket the postings table by job_id (large tables)
 
 

@@ -105,10 +105,3 @@ def dedup_first(df: DataFrame, keys: Sequence[str],
     w = Window.partitionBy(*keys).orderBy(*_sort_exprs(order))
     return (df.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1).drop("_rn"))
-
-
-def dedup_latest(df: DataFrame, key: str, ts: str, *tie_break: str,
-                 method: str = "auto") -> DataFrame:
-    """Latest ``ts`` wins per ``key``; ``tie_break`` columns (ascending)
-    make the order total."""
-    return dedup_first(df, [key], [(ts, "desc")] + list(tie_break), method=method)

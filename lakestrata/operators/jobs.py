@@ -6,8 +6,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_iso_timestamp, ts_lit
@@ -71,14 +73,16 @@ def within_max_age(df: DataFrame, run_ts: dt.datetime, start: dt.datetime,
 
 
 def phrase_filter(df: DataFrame, phrase: str, cols: list[str], whole_words: bool = False) -> DataFrame:
-    """keep rows whose text (``cols`` joined by spaces) contains ``phrase``,
+    """keep rows with a column of ``cols`` that contains ``phrase``,
     case-insensitively; ``whole_words`` requires non-word characters (or the
-    text's ends) around it."""
-    text = F.lower(F.concat_ws(" ", *[F.col(c) for c in cols]))
+    text's ends) around it.  Every column is tested by itself: a phrase never
+    spans two of them; null columns match nothing."""
     needle = phrase.lower()
-    if not whole_words:
-        return df.where(text.contains(F.lit(needle)))
-    return df.where(text.rlike(phrase_pattern(needle)))
+
+    def holds(c: str) -> Column:
+        text = F.coalesce(F.lower(F.col(c)), F.lit(""))
+        return text.rlike(phrase_pattern(needle)) if whole_words else text.contains(F.lit(needle))
+    return df.where(functools.reduce(operator.or_, [holds(c) for c in cols]))
 
 
 def phrase_pattern(phrase: str) -> str:

@@ -1,21 +1,25 @@
 """Versioned pipeline state as an append-only control table.
 
 Each commit appends ``(state_id, version+1, ...)``; the current state is the
-row with the highest version per ``state_id``.  A commit whose version is
-already present lost a race and is refused (the conditional put of the
-source).  Old rows are never rewritten, so ``created_at`` survives (D9).
+row with the highest version per ``state_id``.  A commit first claims its
+version with a create-if-absent write beside the table, so of two runs that
+race for one version exactly one goes on and the other is refused (the
+conditional put of the source).  Old rows are never rewritten, so ``created_at`` survives (D9).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import os
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ts_lit
 from ..schemas import PIPELINE_STATE
-from .joins import broadcast_if_small
+from ..session import local_fs_path
 
 STATE_COLUMNS = [f.name for f in PIPELINE_STATE.fields]
 
@@ -70,26 +74,28 @@ def window_from_state(batch: DataFrame, state: DataFrame, run_ts: dt.datetime,
     """Each pipeline's window ``[last_extraction_time - overlap, run_ts]``
     attached to its rows and applied (both ends inclusive).
 
-    ``state`` holds one current row per pipeline -- its size is bounded by
-    the number of pipelines, not by data -- so it is broadcast, after a
-    size check (``broadcast_if_small``)."""
+    ``state`` holds one current row per pipeline; no hint is given, so
+    adaptive execution chooses the join by the side's bytes."""
     bounds = state.select(
         key,
         (F.col("last_extraction_time") - F.expr(f"INTERVAL {int(overlap_hours)} HOURS"))
         .alias("window_start"),
         ts_lit(run_ts).alias("window_end"))
-    j = batch.join(broadcast_if_small(bounds), key)
+    j = batch.join(bounds, key)
     return j.where(F.col(ts).between(F.col("window_start"), F.col("window_end")))
 
 
 def next_state_row(spark: SparkSession, current: dict | None, state_id: str,
-                   run_ts: dt.datetime, jobs_added: int) -> DataFrame:
-    """The row a successful run appends (version + 1, totals carried)."""
+                   run_ts: dt.datetime, jobs_added: int,
+                   updated_at: dt.datetime | None = None) -> DataFrame:
+    """The row a successful run appends (version + 1, totals carried);
+    ``run_ts`` is the new high-water mark, ``updated_at`` the run's clock if that differs."""
+    updated_at = updated_at or run_ts
     version = (current or {}).get("version", 0) + 1
     total = (current or {}).get("total_jobs_extracted", 0) + jobs_added
-    created = (current or {}).get("created_at") or run_ts
+    created = (current or {}).get("created_at") or updated_at
     return spark.createDataFrame(
-        [(state_id, version, run_ts, total, created, run_ts)], PIPELINE_STATE)
+        [(state_id, version, run_ts, total, created, updated_at)], PIPELINE_STATE)
 
 
 def commit_state(spark: SparkSession, table: str, state_id: str, expected_version: int,
@@ -105,6 +111,59 @@ def commit_state(spark: SparkSession, table: str, state_id: str, expected_versio
     have = (current or {}).get("version", 0)
     if have != expected_version:
         raise VersionConflict(f"{state_id}: expected version {expected_version}, found {have}")
-    row = next_state_row(spark, current, state_id, run_ts, jobs_added)
-    row.write.format(fmt).mode("append").saveAsTable(table)
+    append_claimed(next_state_row(spark, current, state_id, run_ts, jobs_added), table, state_id,
+                   expected_version + 1, fmt)
     return expected_version + 1
+
+
+def claim_path(spark: SparkSession, table: str, state_id: str, version: int) -> str:
+    """Where the claim of a version lies: in the database's folder, hidden from table reads."""
+    database, _, name = table.rpartition(".")
+    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{base.rstrip('/')}/_claims_{name}/{quote(state_id, safe='')}/{version}"
+
+
+def claim(spark: SparkSession, path: str) -> None:
+    """Create ``path`` or raise ``VersionConflict`` if it is there.
+
+    Local folders: an exclusive open.  Other stores: the Hadoop client's
+    create without overwrite, which HDFS does atomically.
+    """
+    if path.startswith("file:") or path.startswith("/"):
+        own = local_fs_path(path)
+        os.makedirs(os.path.dirname(own), exist_ok=True)
+        try:
+            os.close(os.open(own, os.O_CREAT | os.O_EXCL))
+        except FileExistsError as e:
+            raise VersionConflict(f"{path} is claimed") from e
+        return
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    store = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        store.create(there, False).close()
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            raise VersionConflict(f"{path} is claimed") from e
+        raise
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Give up a claim whose row was not written."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, False)
+
+
+def append_claimed(row: DataFrame, table: str, state_id: str, version: int, fmt: str = "parquet") -> None:
+    """Append a state row under the claim of its version.  A write that fails
+    gives the claim up; one whose run dies leaves it, and the next run is
+    refused until ``release`` is called for it."""
+    spark = row.sparkSession
+    path = claim_path(spark, table, state_id, version)
+    claim(spark, path)
+    try:
+        row.write.format(fmt).mode("append").saveAsTable(table)
+    except BaseException:
+        release(spark, path)
+        raise

@@ -166,11 +166,12 @@ def hour_partition_columns(df: DataFrame) -> DataFrame:
 
 
 def response_profile(responses: DataFrame, keep: Sequence[str] = (), series: str = "hourly") -> DataFrame:
-    """Number of time points, first and last time of each response."""
+    """Number of time points, first and last time of each response (null
+    times where there are no points)."""
     t = F.col(f"{series}.time")
     return responses.select(*keep, F.size(t).alias("n_points"),
-                            F.element_at(t, 1).alias("first_time"),
-                            F.element_at(t, -1).alias("last_time"))
+                            F.try_element_at(t, F.lit(1)).alias("first_time"),
+                            F.try_element_at(t, F.lit(-1)).alias("last_time"))
 
 
 # ---------------------------------------------------------------------------
@@ -196,9 +197,14 @@ def asof_backward(anchors: DataFrame, events: DataFrame, by: Sequence[str], anch
     sample of the data, so even a key that is dense inside one short span is
     split over many partitions, each about ``rows / num_ranges`` rows.
     Summary rows per key are at most the number of buckets.
-    Event payload columns are all event columns except ``by``.
+    Event payload columns are all event columns except ``by``.  Rows with a
+    null key or time match nothing; of events at one time the greatest payload
+    (by its columns in order) is taken.
     """
     by = list(by)
+    for c in by:
+        anchors, events = anchors.where(F.col(c).isNotNull()), events.where(F.col(c).isNotNull())
+    anchors, events = anchors.where(F.col(anchor_ts).isNotNull()), events.where(F.col(event_ts).isNotNull())
     payload_cols = [c for c in events.columns if c not in by]
     payload = F.struct(*[F.col(c) for c in payload_cols])
 
@@ -227,7 +233,7 @@ def asof_backward(anchors: DataFrame, events: DataFrame, by: Sequence[str], anch
         checkpoint_root(both.sparkSession)
         both = both.checkpoint(eager=True)
         ev = both.where(F.col("_kind") == 0)
-    w = (Window.partitionBy(*by, "_b").orderBy("_t", "_kind")
+    w = (Window.partitionBy(*by, "_b").orderBy("_t", "_kind", "_ev")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     tagged = both.withColumn("_m", F.last("_ev", ignorenulls=True).over(w))
     anchors_out = tagged.where(F.col("_kind") == 1)
@@ -236,7 +242,7 @@ def asof_backward(anchors: DataFrame, events: DataFrame, by: Sequence[str], anch
 
     # one row per (by, bucket) with events: the bucket's last event
     last_in_bucket = (ev.groupBy(*by, "_b")
-                      .agg(F.max_by("_ev", F.struct("_t")).alias("_last")))
+                      .agg(F.max_by("_ev", F.struct("_t", "_ev")).alias("_last")))
     need = pending.select(*by, "_b").distinct().withColumn("_last", F.lit(None).cast(
         last_in_bucket.schema["_last"].dataType))
     # within a bucket the "need" row sorts first, so it only sees earlier buckets

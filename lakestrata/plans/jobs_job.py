@@ -3,6 +3,10 @@
     state (S8) -> pages (S5) -> flatten/clean (C6) -> window (F1) [-> age cap (F4)]
     -> dedup (U3) -> audit (P7) -> insert-if-new append (J1 + K4) -> state (K6)
 
+Malformed pages go to a quarantine table, and the state stays where it is over
+them unless the configuration says otherwise; postings that the cleaning
+rejects are counted in the receipt.
+
 The state advances only after the append succeeded (D6); a crash between
 the two is repaired by the next run, whose window re-reads the same
 overlap and whose anti join skips what was already stored.
@@ -12,12 +16,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobsConfig
+from ..functions.scalars import ts_lit
 from ..operators import jobs as J
 from ..operators.state import commit_state, current_state
+from ..schemas import CORRUPT_COLUMN
 from ..session import ensure_utc
 from ..sources import raw_json, tables
 
@@ -33,6 +39,16 @@ def read_state(spark: SparkSession, table: str, state_id: str, run_ts: dt.dateti
             "last_extraction_time": run_ts - dt.timedelta(days=lookback_days), "created_at": None}
 
 
+def quarantine_pages(spark: SparkSession, cfg: JobsConfig, broken: DataFrame, run_ts: dt.datetime) -> int:
+    """Malformed pages go to the quarantine table with their text and file; the number of them."""
+    obs = Observation("quarantined_pages")
+    rows = broken.select(F.col(CORRUPT_COLUMN).alias("record"), F.col("_metadata.file_path").alias("file"),
+                         F.col("results").isNull().alias("unread"), ts_lit(run_ts).alias("run_ts")).observe(
+        obs, F.count(F.lit(1)).alias("n"))
+    rows.write.format(cfg.table_format).mode("append").saveAsTable(f"{cfg.database}.{cfg.quarantine_table}")
+    return int(obs.get.get("n") or 0)
+
+
 def run_jobs(spark: SparkSession, cfg: JobsConfig, pages_path: str, run_ts: dt.datetime,
              db_location: str | None = None) -> dict:
     ensure_utc(spark)
@@ -44,8 +60,11 @@ def run_jobs(spark: SparkSession, cfg: JobsConfig, pages_path: str, run_ts: dt.d
     start = state["last_extraction_time"] - dt.timedelta(hours=cfg.overlap_hours)
     end = run_ts
 
-    pages = raw_json.read_job_pages(spark, pages_path)
-    clean = J.clean_postings(J.flatten_postings(J.explode_pages(pages)))
+    pages, broken = raw_json.split_corrupt(raw_json.read_job_pages(spark, pages_path))
+    quarantined = quarantine_pages(spark, cfg, broken, run_ts)
+    seen, good = Observation("postings_seen"), Observation("postings_good")
+    flat = J.flatten_postings(J.explode_pages(pages)).observe(seen, F.count(F.lit(1)).alias("n"))
+    clean = J.clean_postings(flat).observe(good, F.count(F.lit(1)).alias("n"))
     batch = J.in_window(clean, start, end)
     if cfg.filter_phrase:
         batch = J.phrase_filter(batch, cfg.search_phrase, ["job_title", "job_description"])
@@ -58,8 +77,11 @@ def run_jobs(spark: SparkSession, cfg: JobsConfig, pages_path: str, run_ts: dt.d
                                             "extraction_timestamp": run_ts},
                                 fmt=cfg.table_format, max_records_per_file=cfg.max_rows_per_file,
                                 bucket_by=(cfg.key_buckets, "job_id") if cfg.key_buckets else None)
+    rejected = int(seen.get.get("n") or 0) - int(good.get.get("n") or 0)
+    advance = not quarantined or cfg.advance_over_quarantined
     version = commit_state(spark, state_table, cfg.state_id, state["version"], run_ts,
-                           receipt.new_jobs, fmt=cfg.table_format)
-    return {"jobs_processed": receipt.new_jobs, "files_written": receipt.files_written,
+                           receipt.new_jobs, fmt=cfg.table_format) if advance else state["version"]
+    return {"quarantined_pages": quarantined, "rejected_postings": rejected, "state_advanced": advance,
+            "jobs_processed": receipt.new_jobs, "files_written": receipt.files_written,
             "table_updated": receipt.table_updated, "version": version,
             "extraction_window_start": start, "extraction_window_end": end}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import FILMS_RAW
@@ -64,6 +65,33 @@ def table_roundtrip(spark, sf_dir):
     return tables.read_table(spark, f"{cfg.silver_db}.{cfg.table}")
 
 
+@register("gold_tables", "WITH" + O.SILVER_CTE + f"""
+SELECT 'genre' AS metric_set, genre AS name, NULL::INTEGER AS release_year, count(id) AS movie_count,
+       {O.avg2('budget')} AS avg_budget, {O.avg2('box_office')} AS avg_box_office,
+       {O.avg2('vote_average')} AS avg_rating, NULL::DOUBLE AS total_box_office
+FROM silver GROUP BY genre
+UNION ALL
+SELECT 'studio', studio, NULL, count(id), {O.avg2('budget')}, {O.avg2('box_office')}, NULL, {O.sum2('box_office')}
+FROM silver GROUP BY studio
+UNION ALL
+SELECT 'year', NULL, release_year, count(id), {O.avg2('budget')}, {O.avg2('box_office')}, {O.avg2('vote_average')}, NULL
+FROM silver GROUP BY release_year""")
+def gold_tables(spark, sf_dir):
+    """C4: the three gold tables that the films job writes, read back by name."""
+    cfg = run_film_tables(spark, sf_dir)
+    parts = [("genre", "genre"), ("studio", "studio"), ("year", None)]
+    out = None
+    for kind, name in parts:
+        df = tables.read_table(spark, f"{cfg.gold_db}.{kind}_metrics")
+        have = lambda c, t, df=df: (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+        df = df.select(F.lit(kind).alias("metric_set"),
+                       (F.col(name) if name else F.lit(None)).cast("string").alias("name"),
+                       have("release_year", "int"), "movie_count", "avg_budget", "avg_box_office",
+                       have("avg_rating", "double"), have("total_box_office", "double"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 SQL_TEXT = """
 SELECT rating_category, count(id) AS movie_count, round(avg(budget), 2) AS avg_budget,
        count(release_year) AS dated_movies

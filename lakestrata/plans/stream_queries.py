@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,20 +50,45 @@ UNION ALL
 SELECT * EXCLUDE (job_salary) FROM slice_b WHERE job_id NOT IN (SELECT job_id FROM slice_a)""")
 def stream_jobs_dedup(spark, sf_dir):
     """Two scheduled runs -- slice A lands, run; slice B (12 h overlap,
-    re-fetched rows) lands, run.  ``dropDuplicatesWithinWatermark`` on
-    ``job_id`` with a 12 h watermark drops the re-fetched ids: the first
-    arrival is kept, as insert-if-new does."""
+    re-fetched rows) lands, run.  Each micro-batch keeps one row per id and
+    the stored ids are anti joined: the first arrival is kept, as
+    insert-if-new does, however late or far in the future a row is dated."""
     ensure_utc(spark)
     landing = scratch_path(spark, "postings_landing")
-    sink, ckpt = scratch_path(spark, "stream_dedup"), scratch_path(spark, "stream_dedup_ckpt")
+    ckpt = scratch_path(spark, "stream_dedup_ckpt")
+    name = f"{scratch_database(spark, 'stream_dedup')}.postings"
     slices = _land_slices(spark, sf_dir, landing)
     schema = slices[0].schema
     for s in slices:
         s.write.mode("append").parquet(landing)
-        stream = S.dedup_within_watermark(S.file_stream(spark, landing, schema), "job_id",
-                                          "job_created", "12 hours")
-        S.run_available_now(stream, ckpt, sink_path=sink)
-    return spark.read.parquet(sink)
+        S.run_available_now(S.file_stream(spark, landing, schema), ckpt,
+                            foreach_batch=S.append_new_batch(name, "job_id", [], ts="job_created"))
+    return spark.table(name)
+
+
+FUTURE_RUNS = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20), dt.datetime(2024, 2, 15))
+
+
+@register("stream_jobs_future", "WITH" + O.POSTINGS_CTE + f"""
+SELECT *, CAST(CASE WHEN job_created <= TIMESTAMP '{FUTURE_RUNS[0]}' THEN 1
+                    WHEN job_created <= TIMESTAMP '{FUTURE_RUNS[1]}' THEN 2 ELSE 3 END AS INTEGER) AS run
+FROM clean WHERE job_created <= TIMESTAMP '{FUTURE_RUNS[2]}'""")
+def stream_jobs_future(spark, sf_dir):
+    """T2 with F1: all postings land before the first of three runs, so most
+    are dated after it; then, with nothing new but some late re-fetches, each run takes up what
+    its clock has reached.  No row is dropped as too late or too early."""
+    ensure_utc(spark)
+    landing, ckpt = scratch_path(spark, "future_landing"), scratch_path(spark, "future_ckpt")
+    name = f"{scratch_database(spark, 'stream_future')}.postings"
+    clean = J.clean_postings(J.flatten_postings(standins.postings(table(spark, sf_dir, "events"))))
+    late = clean.where(F.col("job_created") <= F.lit(FUTURE_RUNS[0]).cast("timestamp_ntz"))
+    for k, run_ts in enumerate(FUTURE_RUNS, 1):
+        (clean if k == 1 else late).write.mode("append").parquet(landing)
+        S.run_available_now(
+            S.file_stream(spark, landing, clean.schema), ckpt,
+            foreach_batch=S.append_new_batch(name, "job_id", [], ts="job_created", run_ts=run_ts,
+                                             audit=lambda df, k=k: df.withColumn("run", F.lit(k))))
+    return spark.table(name)
 
 
 HOUR_PARTS = ["year", "month", "day", "hour"]
@@ -91,20 +118,19 @@ SELECT user_id AS site_id, hour_utc, temperature_2m, relative_humidity_2m, dew_p
        lpad(CAST(hour(hour_utc + INTERVAL 2 HOUR) AS VARCHAR), 2, '0') AS hour
 FROM hourly_vals""")
 def stream_weather_upsert(spark, sf_dir):
-    """T4: hourly snapshots land one hour per file; the stream replaces each
-    micro-batch's hours (``foreachBatch`` + dynamic overwrite).  A full
-    replay from a fresh checkpoint rewrites the same hours: every snapshot
-    is stored once."""
+    """T4: hourly snapshots land with each hour's sites spread over the files,
+    so an hour comes in several micro-batches; the stream replaces records by
+    (site, hour) (``foreachBatch``).  A full replay from a fresh checkpoint
+    writes the same records again: every snapshot is stored once."""
     ensure_utc(spark)
     landing, sink = scratch_path(spark, "hours_landing"), scratch_path(spark, "hours_sink")
     recs = _hour_records(table(spark, sf_dir, "events"))
-    # one hour never spans two files, so no batch holds part of an hour
-    recs.repartition(*[F.col(c) for c in HOUR_PARTS]).write.parquet(landing)
+    recs.repartition(4, "user_id").write.parquet(landing)
     schema = spark.read.parquet(landing).schema
-    upsert = S.overwrite_hours_batch(sink, HOUR_PARTS)
-    for _ in range(2):  # the run, then a full replay
+    upsert = S.merge_hours_batch(sink, HOUR_PARTS, ["user_id", "hour_utc"])
+    for most in (2, None):  # the run in two batches, then a full replay in one
         ckpt = scratch_path(spark, "hours_ckpt")
-        S.run_available_now(S.file_stream(spark, landing, schema, max_files_per_trigger=8),
+        S.run_available_now(S.file_stream(spark, landing, schema, max_files_per_trigger=most),
                             ckpt, foreach_batch=upsert)
     out_schema = T.StructType([f for f in spark.read.parquet(sink).schema.fields if f.name not in HOUR_PARTS]
                               + [T.StructField(c, T.StringType()) for c in HOUR_PARTS])
@@ -112,20 +138,26 @@ def stream_weather_upsert(spark, sf_dir):
             .withColumnRenamed("user_id", "site_id"))
 
 
-@register("stream_state_version")
+@register("stream_state_version", "WITH" + O.POSTINGS_CTE + f""",
+sizes AS (SELECT (SELECT count(*) FROM slice_a) AS a, (SELECT count(*) FROM slice_b) AS b,
+                 (SELECT max(job_created) FROM slice_a) AS ma, (SELECT max(job_created) FROM slice_b) AS mb)
+SELECT 'jobs_stream' AS state_id, CAST(1 AS BIGINT) AS version, ma AS last_extraction_time,
+       a AS total_jobs_extracted, TIMESTAMP '{RUN1_TS}' AS created_at, TIMESTAMP '{RUN1_TS}' AS updated_at FROM sizes
+UNION ALL
+SELECT 'jobs_stream', 2, greatest(ma, mb), a + b, TIMESTAMP '{RUN1_TS}', TIMESTAMP '{RUN2_TS}' FROM sizes""")
 def stream_state_version(spark, sf_dir):
-    """T5: each micro-batch commits a control-table row with version =
-    batch id + 1 (two runs -> versions 1 and 2); a replayed batch is a
-    no-op.  Rows-only: the commit log is not SQL."""
+    """T5: each micro-batch commits a control-table row (two runs -> versions
+    1 and 2) under the claim of its version; a replayed batch is a no-op."""
     ensure_utc(spark)
     landing, ckpt = scratch_path(spark, "state_landing"), scratch_path(spark, "state_ckpt")
     db = scratch_database(spark, "state")
     state_table = f"{db}.pipeline_state"
     slices = _land_slices(spark, sf_dir, landing)
     schema = slices[0].schema
-    commit = S.versioned_state_batch(state_table, "jobs_stream", "job_created")
-    for s in slices:
+    for s, run_ts in zip(slices, (RUN1_TS, RUN2_TS)):
         s.write.mode("append").parquet(landing)
+        commit = S.versioned_state_batch(state_table, "jobs_stream", "job_created", ckpt,
+                                         clock=lambda t=run_ts: t)
         S.run_available_now(S.file_stream(spark, landing, schema), ckpt, foreach_batch=commit)
     return spark.table(state_table)
 
@@ -136,7 +168,7 @@ UNION ALL BY NAME
 SELECT * EXCLUDE (job_salary) FROM batch WHERE job_id NOT IN (SELECT job_id FROM stored)""")
 def stream_jobs_upsert(spark, sf_dir):
     """C7 as a stream: two scheduled ``availableNow`` runs (slice A, then
-    slice B with the re-fetched overlap); watermark dedup within the run,
+    slice B with the re-fetched overlap); one row per id in a batch,
     insert-if-new against the stored table in ``foreachBatch``.  Equals the
     batch insert-if-new load (``jobs_upsert``)."""
     ensure_utc(spark)
@@ -147,9 +179,8 @@ def stream_jobs_upsert(spark, sf_dir):
     schema = slices[0].schema
     for s, run_ts in zip(slices, (RUN1_TS, RUN2_TS)):
         s.write.mode("append").parquet(landing)
-        stream = S.dedup_within_watermark(S.file_stream(spark, landing, schema), "job_id",
-                                          "job_created", "12 hours")
-        sink = S.append_new_batch(name, "job_id", ["extraction_date"],
+        stream = S.file_stream(spark, landing, schema)
+        sink = S.append_new_batch(name, "job_id", ["extraction_date"], ts="job_created",
                                   audit=lambda df, ts=run_ts: J.with_audit(df, ts),
                                   bucket_by=(key_buckets(spark), "job_id"))
         S.run_available_now(stream, ckpt, foreach_batch=sink)

@@ -12,6 +12,7 @@ from ..config import DAILY_WEATHER_PARAMS, HOURLY_WEATHER_PARAMS
 from ..operators import weather as W
 from ..session import ensure_utc, scratch_path
 from ..sources import raw_json, tables
+from ..schemas import DAILY_RECORD
 from ..sources.testdata import table
 from . import oracle as O
 from . import standins
@@ -275,3 +276,29 @@ def weather_hourly_job(spark, sf_dir):
     return back.select(F.col("user_id").alias("site_id"), "timestamp", "date", "weather.*",
                        F.col("location.name").alias("location_name"), "metadata.*",
                        *parts)
+
+
+@register("weather_sites_daily", "WITH" + O.WEATHER_CTE + f"""
+SELECT * REPLACE (TIMESTAMP '{DAILY_JOB_RUN_TS}' AS collected_at)
+FROM (SELECT {DAILY_FLAT_COLS} FROM daily_rows)
+WHERE date <= DATE '{DAILY_JOB_RUN_TS.date()}'""")
+def weather_sites_daily(spark, sf_dir):
+    """C9, K2 keyed by site: the sites' months land site group by site group,
+    in three runs (the last a replay) that share the month partitions, with
+    the request's year and month carried (P11); read back as the month tree
+    (S6).  No run removes another site's rows."""
+    from ..config import WeatherConfig
+    from .weather_job import run_weather_daily
+    out = scratch_path(spark, "sites_out")
+    responses = standins.daily_responses(table(spark, sf_dir, "events")).withColumnsRenamed(
+        {"year": "request_year", "month": "request_month"})
+    fields = [T.StructField("user_id", T.LongType()), T.StructField("request_year", T.IntegerType()),
+              T.StructField("request_month", T.IntegerType())]
+    for rest in (0, 1, 0):
+        landing = scratch_path(spark, "sites_responses")
+        responses.where(F.col("user_id") % 2 == rest).write.json(landing)
+        run_weather_daily(spark, landing, out, DAILY_JOB_RUN_TS, WeatherConfig(years_back=1), keep=["user_id"],
+                          extra_fields=fields, multi_line=False, request_year="request_year",
+                          request_month="request_month")
+    schema = T.StructType([T.StructField("user_id", T.LongType()), *DAILY_RECORD.fields])
+    return flat_daily(raw_json.read_partitioned_tree(spark, out, schema, fmt="parquet"))

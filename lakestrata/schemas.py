@@ -38,11 +38,6 @@ JOB_PAGE = T.StructType([
     T.StructField(CORRUPT_COLUMN, T.StringType()),
 ])
 
-JOBS_FLAT_COLUMNS = [
-    "job_id", "job_title", "job_location", "job_company", "job_category",
-    "job_description", "job_url", "job_created",
-]
-
 PIPELINE_STATE = T.StructType([
     T.StructField("state_id", T.StringType(), False),
     T.StructField("version", T.LongType(), False),
@@ -86,11 +81,7 @@ HOURLY_WEATHER = T.StructType([T.StructField(p, T.DoubleType()) for p in HOURLY_
 DAILY_METADATA = T.StructType([
     T.StructField("data_source", T.StringType()),
     T.StructField("api_version", T.StringType()),
-    T.StructField("collected_at", T.TimestampType()),
-])
-
-HOURLY_METADATA = T.StructType(DAILY_METADATA.fields + [
-    T.StructField("local_timezone", T.StringType()),
+    T.StructField("collected_at", T.TimestampNTZType()),
 ])
 
 # The partitioned daily tree as written by the daily sink (S6 reader schema).

@@ -55,32 +55,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set -- local tests -- a private
-    folder is created and registered, so later calls agree.
+    checkpoint dir).  Only a ``local`` master with neither set -- tests -- gets
+    a private folder; on a cluster that is an error, since executors could
+    not see it.
     """
     global _LOCAL_SCRATCH
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect has no SparkContext
-        current = None
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if current is None:
             # set at runtime only: make DataFrame.checkpoint() use it too
-            try:
-                spark.sparkContext.setCheckpointDir(configured)
-            except Exception:
-                pass
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
     if current:
         return current.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that "
+                           "the driver and all executors share")
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(_LOCAL_SCRATCH)
-        return spark.sparkContext.getCheckpointDir().rstrip("/")
-    except Exception:
-        return _LOCAL_SCRATCH
+    context.setCheckpointDir(_LOCAL_SCRATCH)
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

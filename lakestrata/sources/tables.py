@@ -9,13 +9,17 @@ created at an explicit location so nothing lands in a working directory.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from dataclasses import dataclass
 
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..functions.scalars import ts_lit
+from ..operators.dedup import dedup_first
+from ..session import checkpoint_root
 
 
 class SchemaChangeError(ValueError):
@@ -87,14 +91,58 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
     w.save(path)
 
 
+def merge_partitions(df: DataFrame, path: str, partition_by: list[str], key: list[str],
+                     latest: list[str] | None = None, fmt: str = "parquet", **options) -> None:
+    """K2/K3/T4 keyed by record: rows of ``df`` replace the stored rows with
+    the same partition and ``key``; every other stored row stays.
+
+    Of several rows of ``df`` with one key the one that comes last by the
+    ``latest`` columns wins (ties: the last by all columns, so a replay gives the
+    same rows).  Only the touched partitions are read (their values prune the
+    stored side) and rewritten; the merged rows are checkpointed first, for
+    a write may not read what it replaces.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    names = [*partition_by, *key]
+    order = [(c, "desc") for c in [*(latest or []), *[c for c in df.columns if c not in names]]]
+    simple = [(c, d) for c, d in order if c in (latest or [])
+              or not isinstance(df.schema[c].dataType, (StructType, ArrayType, MapType))]
+    batch = dedup_first(df, names, simple).checkpoint()
+    if batch.isEmpty():
+        return
+    merged = batch
+    stored = stored_rows(spark, path, df.schema, fmt)
+    if stored is not None:
+        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names]
+        touched = stored.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
+        untouched = touched.alias("s").join(batch.select(*names).alias("b"), functools.reduce(
+            lambda x, y: x & y, same), "left_anti")
+        merged = batch.unionByName(untouched.select(*batch.columns)).checkpoint()
+    overwrite_partitions(merged.hint("rebalance", *partition_by), path, partition_by, fmt=fmt, **options)
+
+
+def stored_rows(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame | None:
+    """What a folder holds, or None if there is no such folder; only its absence is caught."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def new_only(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """J1 insert-if-new: rows of ``batch`` whose key is not stored yet.
 
-    Only the key column of the stored table is read (column pruning), and
-    the anti join lets AQE pick broadcast vs. sort-merge at runtime from
-    the real size of that side -- no unchecked broadcast hint.
+    Two steps: the stored keys are first cut down to the batch's (a semi join
+    whose small side is the batch, so adaptive execution may broadcast it and
+    the stored side is not shuffled), then the batch is anti joined with
+    that small match.  Only the key column of the stored table is read.
     """
-    return batch.join(existing.select(key).where(F.col(key).isNotNull()), on=key, how="left_anti")
+    wanted = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    seen = existing.select(key).join(wanted, key, "left_semi").distinct()
+    return batch.join(seen, on=key, how="left_anti")
 
 
 @dataclass
@@ -120,7 +168,14 @@ def append_new(batch: DataFrame, name: str, key: str, *, partition_by: list[str]
     of later runs then shuffles only the (small) batch, never the table.
     """
     spark = batch.sparkSession
+    checkpoint_root(spark)
+    # the batch is read twice below (its keys, its rows); a key that comes
+    # twice in it is stored once: the first by all columns
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())     # rows without a key are all kept
+    batch = (dedup_first(batch.withColumn("_no_key", own), [key, "_no_key"]).drop("_no_key").checkpoint())
     to_write = new_only(batch, spark.table(name), key) if table_exists(spark, name) else batch
+    if bucket_by:       # one file per bucket and partition, not one per task, bucket and partition
+        to_write = to_write.repartition(bucket_by[0], F.col(bucket_by[1]))
     obs = Observation("append_new")
     to_write = to_write.observe(obs, F.count(F.lit(1)).alias("rows"))
     write_table(to_write, name, mode="append", fmt=fmt, partition_by=partition_by,

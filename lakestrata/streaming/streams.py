@@ -1,8 +1,8 @@
 """Structured Streaming forms of the incremental loads.
 
 The source system kept a high-water mark and re-read a 12 h overlap; here
-the file source's checkpoint remembers which files were processed, a
-watermark bounds how late a re-fetched posting may arrive, and
+the file source's checkpoint remembers which files were processed, the stored
+table remembers every id for ever (no watermark, so no row is ever too late), and
 ``trigger(availableNow=True)`` makes each scheduled run process exactly
 what has landed since the last one, then stop.  All state (offsets,
 commits, dedup keys) lives in the checkpoint folder, so a lost executor or
@@ -11,13 +11,16 @@ a restarted run resumes where the last committed batch ended.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.state import VersionConflict, current_state, next_state_row
+from ..functions.scalars import ts_lit
+from ..operators.dedup import dedup_first
+from ..operators.state import append_claimed, current_state, next_state_row
 from ..sources import tables
 
 
@@ -55,33 +58,34 @@ def run_available_now(df: DataFrame, checkpoint: str, *, sink_path: str | None =
     return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
-def dedup_within_watermark(df: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
-    """One row per ``key`` across micro-batches and runs, as long as the
-    duplicates arrive within ``delay`` of event time.  Watermarks need
-    ``timestamp`` (not ``timestamp_ntz``): a UTC cast column carries it."""
-    return (df.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-              .withWatermark("_event_time", delay)
-              .dropDuplicatesWithinWatermark([key])
-              .drop("_event_time"))
-
-
-def overwrite_hours_batch(path: str, partition_by: list[str],
-                          transform: Callable[[DataFrame], DataFrame] | None = None,
-                          fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """T4: a ``foreachBatch`` function that replaces exactly the partitions
-    (hours) present in each micro-batch -- a replayed batch rewrites the
-    same partitions, so output stays exactly-once."""
+def merge_hours_batch(path: str, partition_by: list[str], key: list[str],
+                      transform: Callable[[DataFrame], DataFrame] | None = None,
+                      latest: list[str] | None = None,
+                      fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """T4: a ``foreachBatch`` function that replaces the stored records with
+    the keys of each micro-batch.  An hour may come in several batches, and a
+    replayed batch writes the same records again."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        tables.overwrite_partitions(rows, path, partition_by, fmt=fmt)
+        tables.merge_partitions(rows, path, partition_by, key, latest=latest, fmt=fmt)
     return fn
 
 
-def versioned_state_batch(state_table: str, state_id: str, ts: str,
-                          fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+def versioned_state_batch(state_table: str, state_id: str, ts: str, stream_id: str,
+                          fmt: str = "parquet",
+                          clock: Callable[[], dt.datetime] | None = None) -> Callable[[DataFrame, int], None]:
     """T5: a ``foreachBatch`` function committing one control-table row per
-    micro-batch with ``version = batch_id + 1``.  A replayed batch finds its
-    version already committed and does nothing; a gap raises."""
+    micro-batch.
+
+    ``stream_id`` names the checkpoint: batch ids start anew with a new one.
+    What a batch is going to commit is logged under (stream id, batch id)
+    first; a replayed batch finds its entry and does nothing if that version
+    is there, or commits just that version if the run died in between.
+    ``clock`` gives created_at / updated_at (default: now, UTC); the
+    high-water mark is the batch's greatest ``ts`` and never falls.
+    """
+    log = f"{state_table}_batches"
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         current = None
@@ -89,30 +93,55 @@ def versioned_state_batch(state_table: str, state_id: str, ts: str,
             rows = current_state(spark.table(state_table).where(F.col("state_id") == state_id)).collect()
             current = rows[0].asDict() if rows else None
         have = (current or {}).get("version", 0)
-        if have >= batch_id + 1:
+        entry = None
+        if spark.catalog.tableExists(log):
+            entry = spark.table(log).where((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+                                           ).agg(F.max("version").alias("version")).first()["version"]
+        if entry is not None and have >= entry:
             return  # replay of a committed batch
-        if have != batch_id:
-            raise VersionConflict(f"{state_id}: batch {batch_id} but state at version {have}")
+        if entry is None:
+            spark.createDataFrame([(stream_id, batch_id, have + 1)], "stream_id string, batch_id long, version long"
+                                  ).write.format(fmt).mode("append").saveAsTable(log)
         stats = batch.agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("hw")).first()
-        if stats["n"] == 0:
-            hw = (current or {}).get("last_extraction_time")
-        else:
-            hw = stats["hw"]
-        row = next_state_row(spark, current, state_id, hw, int(stats["n"]))
-        row.write.format(fmt).mode("append").saveAsTable(state_table)
+        known = (current or {}).get("last_extraction_time")
+        mark = max([x for x in (known, stats["hw"]) if x is not None], default=None)
+        now = (clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))()
+        append_claimed(next_state_row(spark, current, state_id, mark, int(stats["n"]), updated_at=now),
+                       state_table, state_id, have + 1, fmt)
     return fn
 
 
 def append_new_batch(table: str, key: str, partition_by: list[str],
                      audit: Callable[[DataFrame], DataFrame] | None = None,
                      fmt: str = "parquet",
-                     bucket_by: tuple[int, str] | None = None) -> Callable[[DataFrame, int], None]:
-    """T2 + J1 in ``foreachBatch``: the watermark only remembers ids for the
-    overlap; the stored table remembers them for ever.  Each micro-batch is
-    anti-joined against the table and appended, so a replayed batch adds
-    nothing and the stream ends where the batch load (C7) ends."""
+                     bucket_by: tuple[int, str] | None = None,
+                     ts: str | None = None,
+                     run_ts: dt.datetime | None = None) -> Callable[[DataFrame, int], None]:
+    """T2 + J1 in ``foreachBatch``: one row per id within the micro-batch
+    (the latest ``ts``), none whose id is stored: a replayed batch adds
+    nothing and the stream ends where the batch load (C7) ends.
+
+    With ``ts`` and ``run_ts``, rows dated after the run (F1) wait in
+    ``<table>_held`` and are taken up by the first run that reaches them;
+    rows that arrive late are stored like any other.
+    """
+    held = f"{table}_held"
+
     def fn(batch: DataFrame, batch_id: int) -> None:
-        rows = audit(batch) if audit else batch
+        spark = batch.sparkSession
+        rows = batch
+        if ts and run_ts is not None:
+            early = F.col(ts) > ts_lit(run_ts)
+            if tables.table_exists(spark, held):
+                waiting = spark.table(held).select(*batch.columns)
+                rows = rows.unionByName(waiting.where(~early))
+            later = batch.where(early)
+            if not later.isEmpty():
+                tables.append_new(later, held, key, partition_by=[], fmt=fmt)
+            rows = rows.where(~early | F.col(ts).isNull())
+        if ts:
+            rows = dedup_first(rows, [key], [(ts, "desc"), *[c for c in rows.columns if c not in (key, ts)]])
+        rows = audit(rows) if audit else rows
         tables.append_new(rows, table, key, partition_by=partition_by, fmt=fmt,
                           bucket_by=bucket_by)
     return fn

@@ -2,11 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as E
+from lakestrata.plans import registry
 from tools.check_oracle import compare, duck
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-KEYS = sorted(E.oracle_sql())
+registry.load_all()
+KEYS = sorted(registry.ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -16,5 +17,5 @@ def con():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, con, key):
-    res = compare(spark, con, key, E.queries()[key], E.oracle_sql()[key], SMOKE_DIR)
+    res = compare(spark, con, key, registry.QUERIES[key], registry.ORACLE[key], SMOKE_DIR)
     assert res["status"] == "ok", res

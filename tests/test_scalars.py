@@ -5,7 +5,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lakestrata.functions import scalars as S
-from lakestrata.operators.joins import broadcast_if_small
 
 
 def test_sanitize_name():
@@ -39,16 +38,6 @@ def test_local_round_trip(spark):
     assert r["l"] == dt.datetime(2024, 1, 16, 0, 5) and r["u"] == dt.datetime(2024, 1, 15, 22, 5)
 
 
-def test_broadcast_only_below_the_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j_small = spark.range(100).join(broadcast_if_small(small, max_rows=50), "id")
-    j_big = spark.range(100).join(broadcast_if_small(big, max_rows=50), "id")
-    assert "ResolvedHint" in j_small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in j_big._jdf.queryExecution().analyzed().toString()
-    assert j_small.count() == 10 and j_big.count() == 100
-
-
 def test_partition_paths(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 3, 5, 7, 0),)], "ts timestamp_ntz")
     r = df.select(S.daily_partition_path("ts").alias("d"), S.hourly_partition_path("ts").alias("h")).first()
