@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .keys import KEY, keyed, with_key
 
 MIN_CHARS = 40
@@ -52,11 +53,16 @@ def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(__kid, __kh, __dropped): positions (from 0) of the lines that each document loses.
 
-    A hot line's rows meet in one join partition, which adaptive execution
-    splits (skew join); the list of a document is bounded by its own lines.
+    The shared lines are written to the session's shared folder first: both
+    sides of the join are then shuffled for it, and adaptive execution can
+    split a hot line's rows.  The list of a document is bounded by its own lines.
     """
+    spark = docs.sparkSession
     lines = line_table(docs, min_chars, id_col, text_col)
-    hits = (lines.join(shared_lines(lines, min_docs), "h")
+    shared = shared_lines(lines, min_docs)
+    folder = scratch_path(spark, "lines")
+    shared.write.parquet(folder)
+    hits = (lines.join(spark.read.schema(shared.schema).parquet(folder), "h")
             .filter(F.struct(*KEY) != F.col("keep")))
     return hits.select(*KEY, "pos").distinct().groupBy(*KEY).agg(
         F.collect_list("pos").alias("__dropped"))
