@@ -12,8 +12,9 @@ Overlapping repeated windows merge into maximal repeats, whose words go.
 
 No pairs are made: a seed's occurrences are counted (before the shuffle too)
 and its reaches' least and greatest hash compared, so a passage shared by a third of
-all rows costs one row per occurrence, and the joins are on keys that
-adaptive execution may split.  Texts travel compressed.
+all rows costs one row per occurrence.  Counts are written before they are joined
+back, so that both sides of a join are shuffled for it and adaptive execution
+can split a hot key.  Texts travel compressed.
 
 Cases: null and empty texts have no words; texts shorter than a window lose
 nothing; a window repeated inside one text counts; rows that repeat id and
@@ -234,19 +235,23 @@ def dedup(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col:
     together both start from there.
     """
     spark = docs.sparkSession
+    folder = scratch_path(spark, "substrings")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     found = seeds(docs, least, id_col, text_col)
-    status = (found.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
-              .filter("n > 1").select("a", (F.col("low") != F.col("high")).cast("long").alias("differ")))
+    status = kept(found.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
+                  .filter("n > 1").select("a", (F.col("low") != F.col("high")).cast("long").alias("differ")), "seeds")
     live = (found.join(status, "a")
             .select("__kid", F.shiftright("at", 32).cast("int").alias("__kh"),
                     (F.col("at").bitwiseAND((1 << 32) - 1) * 2 + F.col("differ")).alias("live"))
             .groupBy(*KEY).agg(F.collect_set("live").alias("live")))         # at most a text's seeds
-    folder = scratch_path(spark, "substrings")
     texts = packed(docs, id_col, text_col)
-    extended(texts.drop("id").join(live, KEY), least).write.parquet(folder)
-    rows = spark.read.parquet(folder)
+    rows = kept(extended(texts.drop("id").join(live, KEY), least), "extended")
     windows = rows.select(*KEY, F.inline("windows"))
-    repeated = windows.groupBy("a", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    repeated = kept(windows.groupBy("a", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
     starts = (windows.join(repeated, ["a", "h"])
               .groupBy(*KEY).agg(F.collect_set("s").alias("starts")))        # at most a text's windows
     marks = rows.select(*KEY, "cover").dropDuplicates(KEY).join(starts, KEY, "left")
