@@ -22,7 +22,6 @@ columns pass.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -41,13 +40,10 @@ N_BEST = 4
 SPACE = "▁"
 LITERAL = ""                # the chunk that stands for a U+2581 of the text
 SHORT = 40                  # longer chunks go through the scalar pass
-REMEMBERED = 150_000        # chunks, in each Python worker
+REMEMBERED = 150_000        # chunks, in each task
 BLOCK = 4096                # chunks in one vectorised pass
 MAX_TEXT = 1 << 20          # bytes of text handled at once
 FALLBACK = -1
-#: Best path and gap of chunks by vocabulary; a worker's tasks share it.
-_KNOWN: dict[str, dict[str, tuple[bytes, float, float]]] = {}
-
 
 @dataclass
 class Vocabulary:
@@ -95,10 +91,6 @@ class Vocabulary:
         own = "".join(re.escape(p) for p in self.pieces if len(p) == 1)
         return re.compile(f"[^{own}]" if own else r".", re.S)
 
-    @cached_property
-    def name(self) -> str:
-        return hashlib.sha256(repr((sorted(self.pieces.items()), self.byte_ids)).encode()).hexdigest()
-
     @cached_property
     def trie(self) -> tuple:
         """(character number by code point, sorted transition keys, their states, id and score by state)."""
@@ -137,10 +129,10 @@ class Vocabulary:
                     yield a, b, (hit[0],), hit[1]
 
     def __getstate__(self) -> tuple:
-        return self.pieces, self.byte_ids, self.table, self.name
+        return self.pieces, self.byte_ids, self.table
 
     def __setstate__(self, state: tuple) -> None:
-        self.pieces, self.byte_ids, self.table, self.name = state
+        self.pieces, self.byte_ids, self.table = state
         self.__post_init__()
 
 
@@ -183,7 +175,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, n: int = N_BEST) -> None:
         self.v, self.n = vocabulary, n
-        self.known = _KNOWN.setdefault(vocabulary.name, {})
+        self.known: dict[str, tuple[bytes, float, float]] = {}      # chunk: ids of its best path, score, gap; goes with the task
 
     def _scalar(self, chunk: str) -> tuple[bytes, float, float]:
         paths = a_star(self.v, [chunk], 2)
