@@ -213,6 +213,31 @@ def test_levels_hold_the_share_and_no_longer_prefix_does():
     assert (next(forest.candidates(codes, 2.0)) == want).all()
 
 
+def test_small_tight_groups_and_small_tables_get_all_neighbours(spark):
+    rng = np.random.default_rng(5)
+    spread = [(100, 0.3)] * 20 + [(10, 0.01)] * 10
+    vectors = np.concatenate([rng.normal(size=24) + eps * rng.normal(size=(n, 24)) for n, eps in spread])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids = range(len(vectors))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    by = {}
+    for r in ann.search(table, F.pmod("vec_id", F.lit(10)) == 0).collect():
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sorted(by) == list(range(0, 2100, 10)) and {len(x) for x in by.values()} == {20}
+    small = [len(by[i] & {x for x, _ in neighbours(vectors, ids, i, vectors[i], 20)}) for i in by if i >= 2000]
+    assert np.mean(small) >= 18
+    few = [(i, vectors[100 * i].tolist()) for i in range(15)] + [(15 + i, vectors[2000 + i].tolist()) for i in range(4)]
+    got = ann.search(spark.createDataFrame(few, "vec_id long, embedding array<double>"), F.lit(True)).collect()
+    assert {(r.query_id, r.vec_id) for r in got} == {(a, b) for a in range(19) for b in range(19) if a != b}
+
+
+def test_a_query_with_many_vectors_under_its_id(spark):
+    rows = [(0, [1.0, 0.01 * i]) for i in range(30)] + [(i, [0.5, 0.02 * i]) for i in range(1, 26)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(table, F.col("vec_id") == 0).groupBy("query_id").count().collect()
+    assert [tuple(r) for r in got] == [(0, 600)]
+
+
 # ---- SentencePiece
 
 
