@@ -4,8 +4,9 @@ A page's text leaves are grouped by their root-to-leaf tag path.  Per path,
 text length and punctuation are averaged over its leaves; both series are
 smoothed along the page (Gaussian), fused (product) and cut at a share of
 their standard deviation, which selects the content paths.  The element that
-holds most of the selected text is the article; all its blocks are kept but
-those inside menus, headers, footers, sidebars, notices, adverts, forms and
+holds most characters of the selected text is the article; selected text outside
+it belongs to the page's text too, with the element that holds it.  All blocks of these
+elements are kept but those inside menus, headers, footers, sidebars, notices, adverts, forms and
 comments, told by tag or by class/id words.
 
 Cases: null or empty html gives an empty text; unclosed and stray tags are
@@ -163,23 +164,24 @@ def main_text(page: str) -> str:
     nodes = [x for x in everything if not x.aside]
     if not nodes:
         return ""
-    paths, fused = content_paths(nodes)
-    chosen = [(x, f * len(x.text)) for x, f in zip(nodes, fused) if x.path in paths]
-    if not chosen:
-        chosen = list(zip(nodes, fused))
-    held = defaultdict(float)
-    for x, f in chosen:
+    paths, _ = content_paths(nodes)
+    chosen = [x for x in nodes if x.path in paths] or nodes
+    held = defaultdict(int)
+    for x in chosen:
         for e in x.above:
             if tags[e] in HOLDERS:
-                held[e] += f
-    total = sum(f for _, f in chosen)
-    roots = [e for e, f in held.items() if f >= MOST * total]
-    named = [e for e in roots if tags[e] in ("article", "main")]
-    root = max(named or roots, default=None)            # numbers grow downwards: the innermost that holds enough
-    if root is None or tags[root] in ("body", "html"):
-        kept = [x.text for x in nodes if x.path in paths or re.fullmatch(r"h[1-6].*", x.path[-1] if x.path else "")]
-    else:
-        kept = [x.text for x in nodes if root in x.above]
+                held[e] += len(x.text)
+    total = sum(len(x.text) for x in chosen)
+    most = [e for e, n in held.items() if n >= MOST * total]
+    named = [e for e in most if tags[e] in ("article", "main")]
+    root = max(named or most, default=None)             # numbers grow downwards: the innermost that holds enough
+    roots, loose = {root}, root is None or tags[root] in ("body", "html")
+    for x in chosen:                                    # the rest of the selected text: its own innermost elements
+        if loose or root not in x.above:
+            roots.add(max((e for e in x.above if tags[e] in HOLDERS), default=None))
+    roots = {e for e in roots if e is not None and tags[e] not in ("body", "html")}
+    kept = [x.text for x in nodes if x.path in paths or not roots.isdisjoint(x.above)
+            or loose and re.fullmatch(r"h[1-6].*", x.path[-1] if x.path else "")]
     return "\n".join(kept)
 
 

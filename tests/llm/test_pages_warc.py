@@ -35,6 +35,21 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "A long sentence of the first part, with commas, and with more of them, so it goes on and on. " * 6
+REST = "The shorter rest, with a comma. It belongs to the text, too, as nothing tells otherwise."
+
+
+@pytest.mark.parametrize(("page", "texts"), [
+    (f"<body><div><section><p>{LONG}</p><p>{LONG}</p></section><section><h2>Rest</h2><p>{REST}</p><ul><li>one</ul></section></div>"
+     "<footer><p>(c), all rights.</p></footer></body>", [LONG, LONG, "Rest", REST, "one"]),
+    (f"<body><div><p>{REST}</p><div class=body><p>{LONG}</p><p>{LONG}</p></div></div></body>", [REST, LONG, LONG]),
+    (f"<body><div><p>{LONG}</p><p>{LONG}</p></div><h2>Rest</h2><div><p>{REST}</p><blockquote>said</blockquote></div>"
+     f"<div class=sidebar><p>{REST}</p></div></body>", [LONG, LONG, "Rest", REST, "said"]),
+])
+def test_sibling_parts_without_an_article_stay(page, texts):
+    assert html_text.main_text(page).split("\n") == [" ".join(t.split()) for t in texts]
+
+
 def test_extraction_row_by_row(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>"), (1, "u", None), (None, None, ""), (2, "v", "<p>" + "w, " * 50000)]
     out = html_text.with_main_text(pages(spark, rows)).collect()
