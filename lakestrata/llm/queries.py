@@ -160,5 +160,5 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op3_ngram_join")
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ngram_join.joined(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+    found, _ = ngram_join.linked(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
