@@ -2,9 +2,9 @@
 
 One-hot bytes go through filters of several widths, ReLU, max pooling over a
 fixed-length window and a softmax layer.  The network is fitted on the driver
-to a bounded sample of labelled texts (at most ``PER_LANGUAGE`` per language
-and ``MAX_LANGUAGES`` languages, drawn over the whole table by a hash of the
-id); every window of every whole text is then scored inside Arrow batches and a text's
+to a bounded sample of labelled texts (at most ``PER_LANGUAGE`` per language and
+about ``SAMPLE_TEXTS`` in all, but at least one of each language, drawn over the
+whole table by a hash of the id and text); every window of every whole text is then scored inside Arrow batches and a text's
 score is the mean of its windows' probabilities, weighted by their bytes.
 
 Cases: a null text or one without any letter is ``und`` with score 0; without
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +30,8 @@ from .wordhash import buffers, slices
 WINDOW = 256                # bytes
 WIDTHS = (2, 3, 4)
 FILTERS = 16               # of each width
-PER_LANGUAGE = 1000         # texts of a language in the sample, as expected value
-MAX_LANGUAGES = 200         # the most frequent ones are learned
+PER_LANGUAGE = 1000         # texts of a language in the sample
+SAMPLE_TEXTS = 200_000      # in all; every language is learned
 SAMPLE_CHARS = 1024         # of each sampled text, from a hashed position
 EPOCHS, BATCH, RATE = 5, 64, 0.01
 BLOCK = 16                  # windows scored at once
@@ -138,19 +138,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.col(lang_col).cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    counts = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())      # bounded: one row a language
+    known = known.filter(F.col("text").rlike(r"\p{L}"))
+    scale = 1 << 30
+    mark = F.pmod(F.xxhash64("id", "text", F.lit("sample")), F.lit(scale))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(mark).alias("least")).collect()     # one row a language
     if not counts:
         return fit([])
-    scale = 1 << 30
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r.lang, int(scale * min(1.0, per_language / r.n)))])
+    each = max(1, min(per_language, SAMPLE_TEXTS // len(counts)))
+    #: twice as many as wanted by expected value, so that the order below meets a bounded number of rows
+    below = known.sparkSession.createDataFrame(
+        [(r.lang, max(int(scale * min(1.0, 2 * each / r.n)), r.least + 1)) for r in counts], "lang string, below long")
     room = F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(0)) + 1
-    mark = F.xxhash64("id", F.lit("sample"))
-    rows = (known.filter(F.pmod(mark, F.lit(scale)) < F.element_at(share, F.col("lang")))
-            .select("lang", F.substring("text", (F.pmod(F.xxhash64("id", F.lit("place")), room) + 1).cast("int"),
-                                        F.lit(SAMPLE_CHARS)).alias("text"))
-            .filter(F.col("text").rlike(r"\p{L}"))
-            .limit(2 * per_language * len(counts)).collect())
+    part = F.substring("text", (F.pmod(F.xxhash64("id", F.lit("place")), room) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    part = F.when(part.rlike(r"\p{L}"), part).otherwise(F.regexp_extract("text", rf"\p{{L}}(?s:.{{0,{SAMPLE_CHARS - 1}}})", 0))
+    first = Window.partitionBy("lang").orderBy("mark", "id", "text")
+    rows = (known.withColumn("mark", mark).join(F.broadcast(below), "lang").filter(F.col("mark") < F.col("below"))
+            .select("lang", "id", part.alias("text"), "mark")
+            .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= each).collect())
     return fit([(r.lang, r.text) for r in rows])
 
 

@@ -54,6 +54,17 @@ def test_the_labels_of_held_out_rows_are_not_learned(spark):
     assert model.languages == ("aa",)
 
 
+def test_every_label_is_learned(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id, "fit", lambda texts: seen.append(texts))
+    rows = [(5 * i + k, f"abc {i}", f"l{i:03d}") for i in range(230) for k in range(4 + 3 * (i == 0))]
+    rows += [(7, f"same id {i}", "zz") for i in range(90)]
+    language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=2)
+    learned = [lang for lang, _ in seen[0]]
+    kept = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
+    assert len(kept) > 220 and set(learned) == kept and max(learned.count(x) for x in kept) == 2
+
+
 def test_scores_cover_whole_texts_and_tables_without_labels(spark, labelled):
     model = language_id.train(labelled, per_language=60)
     texts = ["abcde " * 40 + "клмноп " * 400, "q", "", "é"]
