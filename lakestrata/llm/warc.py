@@ -43,7 +43,7 @@ SKIPPABLE = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"               # pages have no capture time
 
-MANIFEST = "path string, records long, raw_bytes long, stored_bytes long"
+MANIFEST = "path string, records long, raw_bytes long, stored_bytes long, trained boolean"
 RECORDS = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
            "refers_to long, archive string, payload binary")
 
@@ -84,19 +84,24 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def pack(records: list[bytes]) -> bytes:
-    """An archive: dictionary in a skippable frame (left out if the records are too few to train one), then the frames."""
+def dictionary(records: list[bytes]) -> tuple[bytes, bool]:
+    """The dictionary of an archive and whether it was trained: else, of too few or too uniform records, it is a piece of them."""
     sample, size = [], 0
     step = max(1, sum(map(len, records)) // SAMPLE_BYTES)
     for r in records[::step]:
         sample.append(r)
         size += len(r)
-    trained = b""
     try:
         if size >= 10 * 1024:
-            trained = zstandard.train_dictionary(min(DICTIONARY_BYTES, size // 10), sample, k=1024, d=8).as_bytes()
-    except zstandard.ZstdError:                 # too few or too uniform records: archives may go without
-        trained = b""
+            return zstandard.train_dictionary(min(DICTIONARY_BYTES, size // 10), sample, k=1024, d=8).as_bytes(), True
+    except zstandard.ZstdError:
+        pass
+    return b"".join(sample)[:min(DICTIONARY_BYTES, max(1024, size // 10))], False
+
+
+def pack(records: list[bytes], prepared: bytes | None = None) -> bytes:
+    """An archive: its dictionary in a skippable frame, then the frames; nothing for no records."""
+    trained = dictionary(records)[0] if prepared is None else prepared
     tool = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True,
                                     dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
     out = [struct.pack("<II", SKIPPABLE, len(trained)) + trained] if trained else []
@@ -144,11 +149,12 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, **c
 
         def flush() -> pa.RecordBatch:
             path = f"{base}/archives/{uuid.uuid4().hex}.warc.zst"
-            packed = pack(held)
+            prepared, trained = dictionary(held)
+            packed = pack(held, prepared)
             with store.open_output_stream(path) as f:
                 f.write(packed)
             row = {"path": [path], "records": [len(held)], "raw_bytes": [sum(map(len, held))],
-                   "stored_bytes": [len(packed)]}
+                   "stored_bytes": [len(packed)], "trained": [trained]}
             held.clear()
             return pa.RecordBatch.from_pydict(row)
 

@@ -85,6 +85,15 @@ def test_an_archive_starts_with_its_dictionary():
     assert [b for _, b in warc.unpack(warc.pack(records[:1]))] == blocks[:1] and warc.pack([]) == b""
 
 
+def test_small_archives_have_a_dictionary_too(spark, tmp_path):
+    small = [warc.record(i, "u", b"<p>few</p>", "d" * 64, None) for i in range(3)]
+    archive = warc.pack(small)
+    assert int.from_bytes(archive[:4], "little") == warc.SKIPPABLE
+    assert [b[-10:] for _, b in warc.unpack(archive)] == [b"<p>few</p>"] * 3
+    manifest = warc.write(pages(spark, [(i, "u", f"<p>{i}</p>") for i in range(6)]), str(tmp_path))
+    assert {r.trained for r in manifest.collect()} == {False} and warc.read(manifest, str(tmp_path)).count() == 6
+
+
 def test_damage_is_seen(spark):
     record = warc.record(1, "u", b"payload", hashlib.sha256(b"other").hexdigest(), None)
     (head, block), = warc.unpack(warc.pack([record]))
