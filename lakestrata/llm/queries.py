@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import (ann, decontaminate, html_text, language_id, line_dedup, ngram_join, secrets, sentence_pieces,
-               substring_dedup, warc)
+from . import (ann, decontaminate, html_text, language_id, line_dedup, ngram_join, runs, secrets,
+               sentence_pieces, substring_dedup, warc)
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,56 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = ngram_join.linked(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
+
+
+def _with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of documents whose crc32(doc_id) ends in 0, the words from place a on repeat the p words there."""
+    split = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+            .withColumn("g", F.expr("h div 10"))
+            .withColumn("words", F.when(F.col("h") % 10 == 0, split))
+            .withColumn("n", F.when(F.size("words") > 0, F.size("words")))
+            .withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+            .withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)")))
+    word = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(word, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@_register("op11_runs", r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                 list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+                 xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+                   string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                   lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                     lambda y, z: xor(y >> 1, (y & 1) * 3988292384)))) AS h FROM documents),
+    g AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+    q AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM g),
+    t AS (SELECT rid, n, i, CASE WHEN a IS NULL OR i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END AS word
+          FROM (SELECT *, unnest(range(n)) AS i FROM q)),
+    pairs AS (SELECT x.rid, y.i - x.i AS p, x.i FROM t x JOIN t y
+              ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    stretch AS (SELECT rid, p, min(i) AS s, count(*) + p AS len FROM (
+                  SELECT *, i - row_number() OVER (PARTITION BY rid, p ORDER BY i) AS k FROM pairs)
+                GROUP BY rid, p, k HAVING count(*) + p >= greatest(6, 4 * p)),
+    r AS (SELECT rid, s, len, min(p) AS p FROM stretch GROUP BY rid, s, len),
+    b AS (SELECT rid, count(*) AS n_runs, sha256(string_agg(concat(s, ',', len, ',', p, chr(10)), '' ORDER BY s, p)) AS runs_sha256,
+            arg_max({'s': s, 'len': len, 'p': p}, [len, -s, -p]) AS best FROM r GROUP BY rid),
+    gone AS (SELECT DISTINCT rid, i FROM t JOIN r USING (rid) WHERE i >= s + p AND i < s + len),
+    c AS (SELECT rid, sha256(string_agg(word, ' ' ORDER BY i)) AS h FROM t ANTI JOIN gone USING (rid, i) GROUP BY rid)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, CAST(best.len AS BIGINT) AS length, best.p AS period,
+           CAST(1000 * best.len // best.p AS BIGINT) AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+           coalesce(c.h, sha256('')) AS collapsed_sha256
+    FROM d LEFT JOIN b USING (rid) LEFT JOIN c USING (rid)""")
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.with_runs(_with_repeated_tails(_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
