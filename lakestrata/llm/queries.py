@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import (ann, decontaminate, html_text, language_id, line_dedup, ngram_join, runs, secrets,
-               sentence_pieces, substring_dedup, warc)
+from . import (ann, collocations, decontaminate, html_text, language_id, line_dedup, ngram_join, runs,
+               secrets, sentence_pieces, substring_dedup, warc)
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,28 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
         F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@_register("op12_collocations", rf"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                 translate(coalesce(text, ''), '{line_dedup.UPPER}', '{line_dedup.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    q AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+    g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+          FROM (SELECT *, unnest([1, 2, 3]) AS k FROM q) WHERE len(w) >= k),
+    f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase),
+    c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= {collocations.LEAST_COUNT}),
+    e AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+    s AS (SELECT e.lang, e.k, e.phrase, e.a, e.cut, x.a AS l, y.a AS r,
+            CAST({collocations.SCALE}::HUGEINT * e.a * e.a // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+          FROM e JOIN f x ON x.lang = e.lang AND x.phrase = array_to_string(e.w[:e.cut], ' ')
+                 JOIN f y ON y.lang = e.lang AND y.phrase = array_to_string(e.w[e.cut + 1:], ' ')),
+    b AS (SELECT lang, k, phrase, a, unnest(arg_min({{'l': l, 'r': r, 'score': score}}, [score, cut])) FROM s GROUP BY lang, k, phrase, a),
+    i AS (SELECT lang, part, max(a) AS longer FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part
+                                                    FROM c WHERE k = 3) GROUP BY lang, part),
+    o AS (SELECT b.* FROM b LEFT JOIN i ON i.lang = b.lang AND i.part = b.phrase
+          WHERE longer IS NULL OR 100::HUGEINT * longer < {collocations.COVERED}::HUGEINT * a),
+    t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM q GROUP BY lang)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM o JOIN t USING (lang) QUALIFY rank <= {collocations.TOP}""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
