@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import (ann, collocations, decontaminate, html_text, language_id, line_dedup, ngram_join, runs,
+from . import (ann, chat, collocations, decontaminate, html_text, language_id, line_dedup, ngram_join, runs,
                secrets, sentence_pieces, substring_dedup, warc)
 from .ship import ship
 
@@ -240,3 +240,21 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM o JOIN t USING (lang) QUALIFY rank <= {collocations.TOP}""")
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+@_register("op13_chat", """
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    e AS (SELECT *, regexp_replace(text, '<(\\\\*)(\\|im_start\\|>|\\|im_sep\\|>|\\|im_end\\|>|\\|endoftext\\|>|s>|/s>|<SYS>>|</SYS>>)|\\[(\\\\*)(INST\\]|/INST\\])',
+                 'xx\\0', 'g') AS longer FROM c)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length(role) + length(text) + (length(longer) - length(text)) // 2 + 32) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id""")
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.createDataFrame([(-1, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))],
+                                "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat.read_back(*chat.formatted(rows.unionByName(own)))
