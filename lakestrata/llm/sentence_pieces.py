@@ -14,8 +14,9 @@ piece become their UTF-8 bytes' pieces at a score below all others; a U+2581
 in the text itself is written in bytes, so decoding always gives the text back.
 
 Cases: null and empty texts have no pieces and decode to the empty text;
-equal scores: the search returns either order, always the same one; very long
-words go through a scalar pass of the same recurrence; repeated rows and null
+equal scores: the longer last piece first, as far as the sums of the scores are equal; very long
+words and runs of one character go through a scalar pass of the same recurrence, in which
+a place is left behind N times at most; repeated rows and null
 ids are handled row by row; empty tables give empty results; all other
 columns pass.
 """
@@ -33,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .keys import added
+from .memory import lean
 from .wordhash import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -154,9 +157,13 @@ def a_star(vocabulary: Vocabulary, chunks: list[str], n: int) -> list[tuple[floa
     for e in range(1, len(into)):
         ahead[e] = max(ahead[a] + s for a, _, s in into[e])
     last, out, order = len(into) - 1, [], 0
+    met = [0] * len(into)
     heap = [(-ahead[last], 0, last, 0.0, None)]
     while heap and len(out) < n:
         cost, _, at, behind, path = heapq.heappop(heap)
+        if met[at] == n and at:                             # n better ways back to the end are known from here
+            continue
+        met[at] += 1
         if at == 0:
             own: list[list[int]] = [[] for _ in chunks]
             while path is not None:
@@ -164,8 +171,8 @@ def a_star(vocabulary: Vocabulary, chunks: list[str], n: int) -> list[tuple[floa
                 own[k] += ids
             out.append((-cost, [tuple(x) for x in own]))
             continue
-        for a, ids, s in into[at]:
-            order += 1
+        for a, ids, s in reversed(into[at]):                # of equal paths the last one pushed is followed first
+            order -= 1
             heapq.heappush(heap, (-(ahead[a] + s + behind), order, a, s + behind, (part[at], ids, path)))
     return out
 
@@ -323,6 +330,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = N_BEST, text_col:
             names: tuple[str, str, str, str] = ("__ids", "__piece_score", "__paths", "__decoded")) -> DataFrame:
     """``docs`` with the best path's ids and score, the next n - 1 paths as edits, and the text decoded from the ids."""
     kinds = (T.ArrayType(T.IntegerType()), T.DoubleType(), PATHS, T.StringType())
+    added(docs, *names)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(x, k) for x, k in zip(names, kinds)]])
     place = docs.columns.index(text_col)
 
@@ -345,7 +353,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = N_BEST, text_col:
                     [*own.columns, ids, pa.array([r[1] for r in rows], pa.float64()), paths, texts],
                     names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def decoded(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str = "__decoded") -> DataFrame:
@@ -358,4 +366,4 @@ def decoded(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out:
             texts = [None if v is None else decode(table, v) for v in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
