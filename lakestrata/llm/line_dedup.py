@@ -5,10 +5,10 @@ both ends, A-Z lower-cased) and hashed to 128 bits; distinct documents are
 counted per hash (pre-aggregated before each shuffle), lines of frequent hashes
 are marked by position and the text is put together again from the rest.
 
-Cases: null and empty texts are one empty line; null ids sort below every
-other id; a line repeated inside one document counts that document once; rows
-that repeat id and text are one document (all its rows keep or lose a line
-alike); an empty table gives an empty result; extra columns pass through
+Cases: null and empty texts are one empty line; a document is its id, so rows that
+repeat an id count once for each line, and all of them keep it if theirs is the largest id; rows
+without an id are one document below every other; a line repeated inside one document
+counts that document once; an empty table gives an empty result; extra columns pass through
 ``without_shared_lines`` untouched, whatever their names.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .keys import KEY, keyed, with_key
+from .keys import KEY, as_row, keyed
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -42,20 +42,19 @@ def line_table(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_i
 
 
 def shared_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(h, n_docs, keep): hashes in at least ``min_docs`` documents and the document that keeps them."""
-    return (lines.select("h", *KEY).distinct()
-            .groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"),
-                              F.max(F.struct(*KEY)).alias("keep"))
+    """(h, n_docs, keep): hashes in at least ``min_docs`` documents (ids) and the id that keeps them."""
+    return (lines.select("h", "__kid").distinct()
+            .groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"), F.max("__kid").alias("keep"))
             .filter(F.col("n_docs") >= min_docs))
 
 
 def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(__kid, __kh, __dropped): positions (from 0) of the lines that each document loses.
+    """(__kid, __kh, dropped): positions (from 0) of the lines that each row loses.
 
     The shared lines are written to the session's shared folder first: both
     sides of the join are then shuffled for it, and adaptive execution can
-    split a hot line's rows.  The list of a document is bounded by its own lines.
+    split a hot line's rows.  The list of a row is bounded by its own lines.
     """
     spark = docs.sparkSession
     lines = line_table(docs, min_chars, id_col, text_col)
@@ -63,22 +62,23 @@ def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     folder = scratch_path(spark, "lines")
     shared.write.parquet(folder)
     hits = (lines.join(spark.read.schema(shared.schema).parquet(folder), "h")
-            .filter(F.struct(*KEY) != F.col("keep")))
+            .filter(F.col("__kid") != F.col("keep")))
     return hits.select(*KEY, "pos").distinct().groupBy(*KEY).agg(
-        F.collect_list("pos").alias("__dropped"))
+        F.collect_list("pos").alias("dropped"))
 
 
 def with_kept_text(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``__kept`` (text left), ``__lines``, ``__lost`` (counts)."""
+    """(row, kept, n_lines, n_lost): ``row`` holds all columns of ``docs``, ``kept`` the text that is left."""
     drops = dropped_positions(docs, min_chars, min_docs, id_col, text_col)
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
-    kept = F.when(F.col("__dropped").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(
-        F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("__dropped"), i)), "\n"))
-    return (with_key(docs, id_col, text_col).join(drops, KEY, "left")
-            .withColumns({"__kept": kept, "__lines": F.size(lines).cast("long"),
-                          "__lost": F.coalesce(F.size("__dropped"), F.lit(0)).cast("long")})
-            .drop(*KEY, "__dropped"))
+    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
+    rows = (as_row(docs, id_col, text_col).join(drops, KEY, "left")
+            .select("row", "dropped", F.split(text, "\n", -1).alias("lines")))
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "dropped")
+    left = F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")
+    return rows.select("row", F.when(F.col("dropped").isNull(), text).otherwise(left).alias("kept"),
+                       F.size("lines").cast("long").alias("n_lines"),
+                       F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_lost"))
 
 
 def without_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
@@ -86,8 +86,6 @@ def without_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs:
                          size_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with the shared lines gone from its text; null texts stay null."""
     out = with_kept_text(docs, min_chars, min_docs, id_col, text_col)
-    text = F.when(F.col(text_col).isNotNull(), F.col("__kept"))
-    change = {text_col: text}
-    if size_col in docs.columns:
-        change[size_col] = F.char_length(text).cast("long")
-    return out.withColumns(change).select(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.col("kept"))
+    change = {text_col: text, size_col: F.char_length(text).cast("long")}
+    return out.select(*[change.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

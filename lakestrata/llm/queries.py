@@ -93,8 +93,7 @@ _LINE_KEY = ("translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return line_dedup.with_kept_text(docs).select(
-        "doc_id", F.col("__lines").alias("n_lines"), F.col("__lost").alias("n_dropped"),
-        F.sha2("__kept", 256).alias("kept_sha256"))
+        "row.doc_id", "n_lines", F.col("n_lost").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @_register("op7_warc", """
