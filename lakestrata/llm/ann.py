@@ -12,8 +12,8 @@ whose true neighbours a scan finds: the least share that recalls
 ``RECALL`` of them, so that easy data touch few rows and hard data many.
 
 Cases: null, zero or non-finite vectors, vectors holding nulls and rows
-without an id take no part; of vectors of several lengths only those of the
-most frequent length take part (ties: the longer); equal vectors are one
+without an id take no part; vectors of several lengths are searched each among
+those of its own length; equal vectors are one
 entry with many ids; equal scores go to the smaller id; rows repeating id and
 vector count once; a candidate with the query's id is the query's own row;
 with too few candidates all are returned; an empty table gives an empty result;
@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .memory import lean
+
 NEIGHBOURS = 20
 TREES = 64
 BITS = 64
@@ -51,6 +53,9 @@ class Forest:
         self.vectors, self.top_norm = vectors[first], top_norm
         order = np.lexsort((ids, group.ravel()))
         self.ids = ids[order]                               # grouped by vector, ascending
+        self.by_id = np.sort(ids)
+        self.norm = float(np.sqrt((self.vectors**2).sum(axis=1).max(initial=0)))
+        self.single = self.vectors.astype(np.float32)       # for a first, rough product
         self.start = np.concatenate([[0], np.cumsum(np.bincount(group.ravel(), minlength=len(first)))])
         rng = np.random.default_rng(SEED)
         self.planes = rng.standard_normal((vectors.shape[1] + 1, TREES * BITS)).astype(np.float32)
@@ -119,17 +124,51 @@ class Forest:
         """
         codes = self.codes(vectors)
         at = self.level(codes, share)
-        low, high, out = np.full(len(ids), -1), at + 1, [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
-        while len(left := np.flatnonzero(high - low > 1)):
-            for i, rows in zip(left, self.united(codes[left], at[left])):
-                found = self.best(ids[i], vectors[i], rows, k)
-                if at[i] == 0 or self.enough(vectors[i], found[1], at[i], k):
-                    low[i], out[i] = at[i], found
-                else:
-                    high[i] = at[i]
-            at = (low + high) // 2
+        seen = np.zeros((len(ids), len(self.vectors)), dtype=bool)
+        out = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
+        left = np.arange(len(ids))
+        while len(left):
+            more = []
+            lo, hi = self.ranges(codes[left], at[left])
+            for i, a, b in zip(left, lo, hi):
+                out[i] = self.better(out[i], ids[i], vectors[i], self.fresh(seen[i], a, b), k)
+                if at[i] > 0 and not self.enough(vectors[i], out[i][1], at[i], k):
+                    more.append(i)
+            left = np.array(more, dtype=np.int64)
+            at[left] -= 1
         yield from out
 
+    def fresh(self, seen: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Rows in the trees' ranges that were not seen yet; they are now."""
+        before = seen.copy()
+        for t in range(TREES):
+            seen[self.order[t, lo[t]:hi[t]]] = True
+        return np.flatnonzero(seen & ~before)
+
+    def better(self, have: tuple[np.ndarray, np.ndarray], query_id: int, q: np.ndarray, rows: np.ndarray,
+               k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of those found so far and of some rows that were not looked at."""
+        if not len(rows):
+            return have
+        new = self.best(query_id, q, rows, k)
+        ids, scores = np.concatenate([have[0], new[0]]), np.concatenate([have[1], new[1]])
+        keep = np.lexsort((ids, -scores))[:k]
+        return ids[keep], scores[keep]
+
+    def top(self, rows: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``rows`` that may be among the k best, and their scores.
+
+        A product in single precision preselects: its error is below the slack, which
+        follows from the vectors' norms; where they are out of its range all are kept.
+        """
+        keep, most = np.arange(len(rows)), self.norm * float(np.sqrt((q**2).sum()))
+        if len(rows) > 4 * k and 1e-20 < most < 1e30:
+            rough = self.single[rows] @ q.astype(np.float32)
+            cut = np.partition(rough, len(rough) - k)[len(rough) - k]
+            keep = np.flatnonzero(rough >= cut - 4e-7 * (len(q) + 4) * most)
+        near, scores = top(self.vectors[rows[keep]], q, k)
+        return keep[near], scores
+
     def needed(self, code: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Per row, the least share at which the query's candidates hold it."""
         lcp = np.zeros(len(rows), np.int64)
@@ -145,7 +184,8 @@ class Forest:
 
     def best(self, query_id: int, q: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best of some rows, in double precision."""
-        ids, scores = top(self.vectors[rows], q, k + max(1, np.count_nonzero(self.ids == query_id)))
+        own = np.searchsorted(self.by_id, query_id, "right") - np.searchsorted(self.by_id, query_id, "left")
+        ids, scores = self.top(rows, q, k + max(1, int(own)))
         out_ids, out_scores = [], []
         for r, s in zip(rows[ids], scores):
             own = self.ids[self.start[r]:self.start[r + 1]][:k + 1]
@@ -219,11 +259,11 @@ def best_of(rows: DataFrame, k: int) -> DataFrame:
 
 
 def blocks(rows: DataFrame, is_query: Column, n_blocks: int) -> DataFrame:
-    """Vectors dealt to blocks by hash, then every query once for each block, sorted so that a block's vectors come first."""
+    """Vectors dealt to blocks by hash, then every query once for each block: a block is a partition, its vectors come first."""
     own = rows.select(F.pmod("q", F.lit(n_blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v", "q")
     asked = rows.filter(is_query).select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
                                          F.lit(1).alias("kind"), "vec_id", "v", "q")
-    return own.unionByName(asked).repartition(n_blocks, "block").sortWithinPartitions("block", "kind")
+    return own.unionByName(asked).repartitionById(n_blocks, "block").sortWithinPartitions("block", "kind")
 
 
 def by_block(batches: Iterator[pa.RecordBatch], size: int, top_norm: float) -> Iterator[tuple]:
@@ -278,14 +318,17 @@ def search(table: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: str
            vector_col: str = "embedding", recall: float = RECALL, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for the rows for which ``is_query`` (over ``vec_id``) holds."""
     rows = usable(table, id_col, vector_col)
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    if size is None:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size = size["n"]
-    rows = rows.filter(F.size("v") == size)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    n, top_norm = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
-    n_blocks = max(1, -(-n // block_rows))
+    lengths = rows.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).collect()
+    out = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for r in sorted(lengths):                               # one search a length
+        out = out.unionByName(_search(rows.filter(F.size("v") == r["size"]), is_query, k, recall,
+                                      max(1, -(-r["n"] // block_rows)), r["size"], r["norm"]))
+    return out
+
+
+def _search(rows: DataFrame, is_query: Column, k: int, recall: float, n_blocks: int, size: int, top_norm: float) -> DataFrame:
+    """The search among vectors of one length."""
     sample = rows.filter(is_query).orderBy(F.xxhash64("q", F.lit("sample")), "q").limit(SAMPLE).collect()
     truth = true_neighbours(rows, sample, size, k).select("q", "vec_id").collect()      # SAMPLE * k rows
     share = share_needed(rows, sample, truth, size, top_norm, n_blocks, recall)
@@ -295,5 +338,5 @@ def search(table: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: str
             for i, best in enumerate(forest.nearest(ids, vectors, share, k)):
                 yield found(ids[i], keys[i], *best)
 
-    hits = blocks(rows, is_query, n_blocks).mapInArrow(ask, FOUND)
+    hits = blocks(rows, is_query, n_blocks).mapInArrow(lean(ask), FOUND)
     return best_of(hits, k).select("query_id", "rank", "vec_id", "score")

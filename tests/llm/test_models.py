@@ -309,3 +309,54 @@ def test_round_trip_of_odd_texts(spark, vocabulary, prose, odd):
     again = sentence_pieces.decoded(sentence_pieces.encoded(docs, vocabulary).select("text", "__ids"), vocabulary, "__ids", "d")
     assert all(r.d == (r.text or "") for r in again.collect())
     assert sentence_pieces.encoded(frame(spark, []), vocabulary).count() == 0
+
+
+def test_each_length_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4 if i % 3 else 3).tolist()) for i in range(90)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(table, F.lit(True), 5).collect()
+    met = 0
+    for i, v in rows:
+        near = {j for _, j in sorted((-float(np.dot(v, w)), j) for j, w in rows if j != i and len(w) == len(v))[:5]}
+        own = [r.vec_id for r in got if r.query_id == i]
+        assert len(own) == 5 and all(len(rows[j][1]) == len(v) for j in own)
+        met += len(near & set(own))
+    assert met >= 0.9 * 5 * len(rows)
+
+
+def test_single_precision_only_preselects():
+    rng = np.random.default_rng(4)
+    for scale in (1.0, 1e18, 1e-14):
+        vectors = rng.normal(size=(3000, 8)) * scale
+        vectors[100:200] = vectors[100] * (1 + 1e-9 * np.arange(100)[:, None])
+        forest = ann.Forest(np.arange(3000), vectors, float(np.sqrt((vectors**2).sum(axis=1).max())))
+        q = vectors[100]
+        keep, scores = forest.top(np.arange(len(forest.vectors)), q, 20)
+        best = np.sort((forest.vectors * q).sum(axis=1))[-20:]
+        assert np.array_equal(np.sort(scores)[-20:], best)
+
+
+@pytest.mark.parametrize("text", ["-" * 100_000, "ab" * 30_000, " " * 50_000, "- " * 20_000])
+def test_long_runs_take_seconds(vocabulary, text):
+    from time import perf_counter
+    t = perf_counter()
+    (ids, score, more), = sentence_pieces.Encoder(vocabulary).encode([text])
+    assert perf_counter() - t < 30 and sentence_pieces.decode(vocabulary.table, ids.tolist()) == text
+    assert all(s <= score + 1e-6 for s, _ in more)
+
+
+def test_added_columns_must_be_new(spark, vocabulary):
+    docs = spark.createDataFrame([(1, "a", "x", "y")], "doc_id long, text string, __lang string, __ids string")
+    with pytest.raises(ValueError, match="__lang"):
+        language_id.with_language(docs, language_id.fit([]))
+    with pytest.raises(ValueError, match="__ids"):
+        sentence_pieces.encoded(docs, vocabulary)
+
+
+def test_clean_texts_are_not_undecided():
+    model = language_id.fit([("aa", "the cat sat on the mat and the dog " * 8), ("bb", "le chat est sur la table avec le chien " * 8)] * 40)
+    assert language_id.undecided(model) == language_id.CHANCE / 2 and language_id.undecided(language_id.fit([])) == 0.0
+    import pyarrow as pa
+    langs, scores = language_id.classify(pa.array(["the dog sat on the cat", "la table est avec le chat", "123"]), model)
+    assert langs == ["aa", "bb", "und"] and (scores[:2] > language_id.undecided(model)).all()
