@@ -32,6 +32,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,7 +137,7 @@ def lang_keys(langs: pa.Array) -> np.ndarray:
 
 def counted(langs: pa.Array, chunk: pa.Array, last: np.ndarray, n: np.ndarray, sizes: tuple[int, ...], most: int,
             frequent: bytes | None, bits: int) -> Iterator[pa.RecordBatch]:
-    """(lang, size, phrase, n) of the phrases of some chunks, added up by their hashes."""
+    """(phrase, n) of the phrases of some chunks, added up by their hashes; a tab and the language follow the phrase."""
     width = max(1, most - 1)
     w = Words(chunk)
     row = w.row()
@@ -172,15 +173,15 @@ def counted(langs: pa.Array, chunk: pa.Array, last: np.ndarray, n: np.ndarray, s
         at = at[lead]
         long = w.end[at + size - 1] - w.start[at]
         phrase = strings(w.data[ragged(w.start[at], long)], long)
-        yield pa.RecordBatch.from_arrays(
-            [langs.take(pa.array(row[at])), pa.array(np.full(len(at), size, np.int32)), phrase.cast(pa.string()), pa.array(total)],
-            names=["lang", "size", "phrase", "n"])
+        named = pc.binary_join_element_wise(phrase, langs.take(pa.array(row[at])).cast(phrase.type), pa.scalar("\t", phrase.type))
+        yield pa.RecordBatch.from_arrays([named.cast(pa.string()), pa.array(total)], names=["phrase", "n"])
 
 
 def counts(chunk_table: DataFrame, sizes: tuple[int, ...], most: int, frequent: bytes | None = None,
            bits: int = SLOT_BITS) -> DataFrame:
-    """(lang, size, phrase, n): occurrences of the phrases of some sizes, partly counted; with a bitmap, of those
-    only whose parts without the last and without the first word it holds."""
+    """(phrase, n): occurrences of the phrases of some sizes, partly counted; with a bitmap, of those only whose
+    parts without the last and without the first word it holds.  One string holds phrase, tab (which no phrase
+    holds) and language: rows to be shuffled are smaller so."""
     shared = chunk_table.sparkSession.sparkContext.broadcast(frequent)      # 2**bits bits at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +204,7 @@ def counts(chunk_table: DataFrame, sizes: tuple[int, ...], most: int, frequent:
             yield from out(held)
 
     return chunk_table.select("lang", "chunk", "last", "n").mapInArrow(
-        count, "lang string, size int, phrase string, n long")
+        count, "phrase string, n long")
 
 
 def bitmap(phrases: DataFrame, bits: int = SLOT_BITS) -> bytes:
@@ -230,8 +231,11 @@ def frequent_phrases(spark: SparkSession, chunk_table: DataFrame, most: int = MO
     """For each length, (lang, phrase, n) of the phrases that occur ``least`` times or more: written tables."""
     folder, out, held = scratch_path(spark, "phrases"), [], None
     for sizes in [(1, 2), *[(k,) for k in range(3, most + 1)]]:
-        found = (counts(chunk_table, sizes, most, held, bits).groupBy("lang", "size", "phrase")
-                 .agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+        phrase = F.substring_index("named", "\t", 1)
+        found = (counts(chunk_table, sizes, most, held, bits).groupBy(F.col("phrase").alias("named"))
+                 .agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+                 .select(F.expr("substring(named, instr(named, '\t') + 1)").alias("lang"), phrase.alias("phrase"), "n",
+                         F.size(F.split(phrase, " ")).alias("size")))
         path = f"{folder}/{sizes[-1]}"
         found.write.partitionBy("size").parquet(path)
         kind = T.StructType([f for f in found.schema.fields if f.name != "size"] + [T.StructField("size", T.IntegerType())])

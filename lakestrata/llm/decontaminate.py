@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .keys import added, free
+from .memory import lean
 from .wordhash import Words, slices
 
 K1, B = 0.9, 0.4
@@ -228,7 +230,7 @@ def shards(benchmark: DataFrame, id_col: str, text_col: str, shard_bytes: int) -
 
     part = F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int")
     items = items.withColumn("shard", part)
-    rows = items.select("text", "shard").mapInArrow(terms, "term long, shard int")
+    rows = items.select("text", "shard").mapInArrow(lean(terms), "term long, shard int")
     df = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.collect_set("shard").alias("shards"))
     n_words = F.size(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != ""))
     mean = items.agg(F.avg(n_words)).first()[0]
@@ -244,10 +246,11 @@ def shards(benchmark: DataFrame, id_col: str, text_col: str, shard_bytes: int) -
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", out: str = "__leaks", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``docs`` and an array of its leaked items: (item_id, score, question, answer)."""
+    added(docs, out)
     found = docs.withColumn(out, F.array().cast(T.ArrayType(LEAK)))
     for k, index in enumerate(shards(benchmark, item_col, item_text_col, shard_bytes)):
-        found = _scan(found, index, text_col, f"{out}_{k}").withColumn(
-            out, F.concat(out, f"{out}_{k}")).drop(f"{out}_{k}")
+        part, = free(found, f"{out}_{k}")
+        found = _scan(found, index, text_col, part).withColumn(out, F.concat(out, part)).drop(part)
     return found
 
 
@@ -268,7 +271,7 @@ def _scan(docs: DataFrame, index: Index, text_col: str, out: str) -> DataFrame:
                                    for r in range(part.num_rows)], pa.list_(_LEAK))
                 yield pa.RecordBatch.from_arrays([*own.columns, column], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def leaked(column: str = "__leaks") -> Column:

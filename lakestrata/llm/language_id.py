@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .keys import added
+from .memory import lean
 from .wordhash import buffers, slices
 
 WINDOW = 256                # bytes
@@ -36,6 +38,7 @@ SAMPLE_CHARS = 1024         # of each sampled text, from a hashed position
 EPOCHS, BATCH, RATE = 5, 64, 0.01
 BLOCK = 16                  # windows scored at once
 UNKNOWN = "und"
+CHANCE = 1.05               # of the probability that each language has by chance
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -64,6 +67,11 @@ class Model:
         return softmax(np.maximum(top + self.bias, 0) @ self.weights + self.offset)
 
 
+def undecided(model: Model) -> float:
+    """Scores up to this one tell no language from the others: ``CHANCE`` times the mean probability (0: one language or none)."""
+    return CHANCE / len(model.languages) if len(model.languages) > 1 else 0.0
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -169,7 +177,7 @@ def classify(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     has = plain[offsets[1:]] > plain[offsets[:-1]]
     for i in np.flatnonzero(~has & (sizes > 0)):
         has[i] = LETTER.search(data[offsets[i]:offsets[i + 1]].tobytes().decode()) is not None
-    if not model.languages:
+    if not model.languages:                                 # nothing was learned: only the letters are known
         return [UNKNOWN] * n, np.zeros(n)
     count = np.where(has, -(-sizes // WINDOW), 0)
     first = np.concatenate([[0], np.cumsum(count)])
@@ -192,6 +200,7 @@ def classify(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
 def with_language(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "__lang",
                   score_out: str = "__score") -> DataFrame:
     """``docs`` and two columns: predicted language and score; the network goes to the tasks in the closure."""
+    added(docs, lang_out, score_out)
     schema = T.StructType([*docs.schema.fields, T.StructField(lang_out, T.StringType()),
                            T.StructField(score_out, T.DoubleType())])
     place = docs.columns.index(text_col)
@@ -207,4 +216,4 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text", lang_ou
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(langs, pa.string()), pa.array(scores)],
                                                  names=schema.names)
 
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(lean(score), schema)

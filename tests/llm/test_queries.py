@@ -5,6 +5,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -19,7 +20,10 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 COLUMNS = {1: "doc_id n_assign n_access n_hex base_sha256 spans", 3: "doc_id n_shingles component_id",
            5: "doc_id n_words n_removed kept_sha256", 6: "query_id rank vec_id score",
            7: "page_id payload_bytes payload_digest record_type refers_to", 8: "doc_id held_out lang_pred score",
-           9: "page_id url text n_chars", 10: "doc_id n_lines n_dropped kept_sha256"}
+           9: "page_id url text n_chars", 10: "doc_id n_lines n_dropped kept_sha256",
+           11: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+           12: "lang rank phrase a l r n score",
+           13: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars"}
 
 
 def key(n):
@@ -28,11 +32,11 @@ def key(n):
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = E.queries()
-    assert all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 11)) and "pipeline" in names
-    assert set(queries.ORACLE) == {key(n) for n in (1, 7, 10)} and len(corpus_pipeline.STAGES) == 5
+    assert all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 14)) and "pipeline" in names
+    assert set(queries.ORACLE) == {key(n) for n in (1, 7, 10, 11, 12, 13)} and len(corpus_pipeline.STAGES) == 5
 
 
-@pytest.mark.parametrize("n", [1, 7, 10])
+@pytest.mark.parametrize("n", [1, 7, 10, 11, 12, 13])
 def test_matches_oracle(spark, n):
     res = compare(spark, duck(SMOKE_DIR), key(n), queries.QUERIES[key(n)], queries.ORACLE[key(n)], SMOKE_DIR)
     assert res["status"] == "ok", res
@@ -42,7 +46,7 @@ def test_matches_oracle(spark, n):
 def test_columns(spark, n):
     df = queries.QUERIES[key(n)](spark, SMOKE_DIR)
     assert set(COLUMNS[n].split()) <= set(df.columns)
-    table, own = {6: ("embeddings", None), 7: ("pages", "page_id"), 9: ("pages", "page_id")}.get(n, ("documents", "doc_id"))
+    table, own = {6: ("embeddings", None), 12: ("documents", None), 13: ("conversations", None), 7: ("pages", "page_id"), 9: ("pages", "page_id")}.get(n, ("documents", "doc_id"))
     if own:
         rows = spark.read.parquet(f"{SMOKE_DIR}/{table}.parquet")
         assert sorted(r[0] for r in df.select(own).collect()) == sorted(r[0] for r in rows.select(own).collect())
@@ -93,3 +97,14 @@ def test_nothing_else_imports_the_subpackage():
                 if name.endswith(".py"):
                     with open(os.path.join(folder, name)) as f:
                         assert "llm" not in f.read(), name
+
+
+def test_a_pipeline_without_labels_and_with_clashing_names(spark, tmp_path, prose):
+    docs = frame(spark, [(1, prose(20)), (2, "12 34"), (3, prose(30)), (4, None)])
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in corpus_pipeline.languages(spark, bare, "").collect()) == [1, 3]
+    spark.createDataFrame([(1, prose(30))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    odd = docs.withColumnsRenamed({"pos": "lang_found", "h": "__kid", "node": "leaks", "key": "__lang"})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, str(tmp_path))
+        assert out.columns == odd.columns and {r["leaks"] for r in out.collect()} == {"node"}
