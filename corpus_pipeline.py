@@ -11,14 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm import decontaminate, language_id, line_dedup, ngram_join, sentence_pieces
+from lakestrata.llm.keys import free
 from lakestrata.session import ensure_utc, scratch_path
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learned from the labelled documents; those without any letter (``und``) go, all others stay as they are."""
+    """Learned from the labelled documents.  Those without any letter go, and those in which the network tells no
+    language from the others (``language_id.undecided``); all others stay as they are.  Where nothing could be
+    learned, the letters alone decide."""
     model = language_id.train(docs)
-    seen = language_id.with_language(docs, model)
-    return seen.filter(F.col("__lang") != language_id.UNKNOWN).drop("__lang", "__score")
+    lang, score = free(docs, "lang_found", "lang_score")
+    seen = language_id.with_language(docs, model, lang_out=lang, score_out=score)
+    if not model.languages:
+        keep = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    else:
+        keep = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) > language_id.undecided(model))
+    return seen.filter(keep).drop(lang, score)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +41,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item go."""
-    found = decontaminate.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter(~decontaminate.leaked()).drop("__leaks")
+    leaks, = free(docs, "leaks")
+    found = decontaminate.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=leaks)
+    return found.filter(~decontaminate.leaked(leaks)).drop(leaks)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every text as piece ids; a text that the ids don't give back would be an error."""
-    rows = sentence_pieces.encoded(docs, sentence_pieces.Vocabulary.load())
+    rows = sentence_pieces.encoded(docs.select("doc_id", "lang", "source", "text"), sentence_pieces.Vocabulary.load())
     whole = F.col("__decoded") == F.coalesce("text", F.lit(""))
     return rows.select("doc_id", "lang", "source", F.size("__ids").cast("long").alias("n_tokens"),
                        F.col("__piece_score").alias("score"),
