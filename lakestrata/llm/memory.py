@@ -10,10 +10,13 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
+from . import wordhash
+
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def give_back() -> None:
+    wordhash.forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only

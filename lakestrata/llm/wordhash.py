@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 SPACES = b" \t\n\x0b\x0c\r"
-MAX_BYTES = 1 << 21         # text handled at once by a task (one longer text: itself)
+MAX_BYTES = 1 << 19         # text handled at once by a task (one longer text: itself)
 
 _U = np.uint64
 _M64 = (1 << 64) - 1
@@ -47,6 +47,9 @@ class _Powers:
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.zeros(0, dtype=_U)
 
+    def forget(self) -> None:
+        self.up = self.down = np.zeros(0, dtype=_U)
+
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up), 1 << 16)
@@ -55,6 +58,14 @@ class _Powers:
 
 
 _BYTE_POWERS, _WORD_POWERS = _Powers(_BASE), _Powers(_WORD_BASE)
+
+
+def forget() -> None:
+    """Drop the powers kept for the next batch."""
+    _BYTE_POWERS.forget()
+    _WORD_POWERS.forget()
+
+
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=_U) * _U(0xD6E8FEB86659FD93))
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
