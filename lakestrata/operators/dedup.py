@@ -4,9 +4,10 @@
 the first row under an explicit order.  The default plan is an aggregate:
 ``min_by(struct(row), struct(order))`` grouped by the key.  A partial
 aggregate runs before the shuffle, so a hot key (even a third of all rows)
-is cut to one row per map task and the final reduce stays small.  The
-``row_number`` window form is kept for orders the aggregate cannot express
-(descending strings); it shuffles every row.
+is cut to one row per map task and the final reduce stays small.  Every order
+has such a struct: descending strings and bytes enter by their complement,
+structs, arrays and maps by their JSON text.  The ``row_number`` window form
+is there on request only; it shuffles every row.
 """
 
 from __future__ import annotations
@@ -34,8 +35,30 @@ def _norm(item: OrderItem) -> tuple[str, bool, bool]:
     return name, asc, bool(nulls_last)
 
 
-def _descending_value(col: Column, dtype: T.DataType) -> Column | None:
+HEX, COMPLEMENT = "0123456789ABCDEF", "FEDCBA9876543210"
+
+
+def _complex(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
+
+
+def _descending_bytes(col: Column) -> Column:
+    """Text whose ascending order is the descending order of the bytes of ``col``: their complement
+    as hex digits, and a sign above all digits, so that a longer value comes before its beginnings."""
+    return F.concat(F.translate(F.hex(col), HEX, COMPLEMENT), F.lit("G"))
+
+
+def _ascending_value(col: Column, dtype: T.DataType) -> Column:
+    """A value in whose order rows can be told apart; structs, arrays and maps by their JSON text."""
+    return F.to_json(col) if _complex(dtype) else col
+
+
+def _descending_value(col: Column, dtype: T.DataType) -> Column:
     """A value whose ascending order is the descending order of ``col``."""
+    if _complex(dtype):
+        return _descending_bytes(F.to_json(col))
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return _descending_bytes(col)
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return -col.cast("long")
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
@@ -46,20 +69,17 @@ def _descending_value(col: Column, dtype: T.DataType) -> Column | None:
         return -F.unix_date(col)
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         return -epoch_micros(col, ntz=isinstance(dtype, T.TimestampNTZType))
-    return None
+    raise TypeError(f"no descending order over {dtype.simpleString()}")
 
 
-def order_struct(df: DataFrame, order: Sequence[OrderItem]) -> Column | None:
-    """An ordering struct whose ascending order is ``order``; None if a
-    descending string (or other non-negatable type) is requested."""
+def order_struct(df: DataFrame, order: Sequence[OrderItem]) -> Column:
+    """An ordering struct whose ascending order is ``order``."""
     types = {f.name: f.dataType for f in df.schema.fields}
     parts: list[Column] = []
     for i, item in enumerate(order):
         name, asc, nulls_last = _norm(item)
         col = F.col(name)
-        value = col if asc else _descending_value(col, types[name])
-        if value is None:
-            return None
+        value = (_ascending_value if asc else _descending_value)(col, types[name])
         flag = col.isNull() if nulls_last else col.isNotNull()
         parts += [flag.alias(f"n{i}"), value.alias(f"v{i}")]
     return F.struct(*parts)
@@ -89,15 +109,13 @@ def dedup_first(df: DataFrame, keys: Sequence[str],
     """One row per ``keys`` -- the first under ``order``.
 
     All-null keys form one group (as ``dropDuplicates`` does).  ``method`` is
-    ``"aggregate"`` (min_by, skew-proof), ``"window"`` (row_number) or
-    ``"auto"`` (aggregate when the order allows it).
+    ``"auto"`` or ``"aggregate"`` (min_by, skew-proof, any order), or ``"window"``
+    (row_number: shuffles every row), which a caller must ask for.
     """
     keys = list(keys)
     order = list(order) if order is not None else default_order(df, keys)
-    ordering = order_struct(df, order) if method != "window" else None
-    if method == "aggregate" and ordering is None:
-        raise ValueError("order not expressible as an aggregate; use method='window'")
-    if ordering is not None:
+    if method != "window":
+        ordering = order_struct(df, order)
         payload = F.struct(*[F.col(c) for c in df.columns])
         return (df.groupBy(*keys)
                 .agg(F.min_by(payload, ordering).alias("_survivor"))
