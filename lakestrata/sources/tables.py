@@ -13,9 +13,9 @@ import functools
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.scalars import ts_lit
 from ..operators.dedup import dedup_first
@@ -97,31 +97,92 @@ def merge_partitions(df: DataFrame, path: str, partition_by: list[str], key: lis
     the same partition and ``key``; every other stored row stays.
 
     Of several rows of ``df`` with one key the one that comes last by the
-    ``latest`` columns wins (ties: the last by all columns, so a replay gives the
-    same rows).  Only the touched partitions are read (their values prune the
-    stored side) and rewritten; the merged rows are checkpointed first, for
-    a write may not read what it replaces.
+    ``latest`` columns wins (ties: the last by all columns, nested ones included,
+    so a replay gives the same rows).  Only the touched partitions are read
+    (``in_partitions``: their values are literals in the scan) and rewritten; the
+    merged rows are checkpointed first, for a write may not read what it
+    replaces.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
     names = [*partition_by, *key]
-    order = [(c, "desc") for c in [*(latest or []), *[c for c in df.columns if c not in names]]]
-    simple = [(c, d) for c, d in order if c in (latest or [])
-              or not isinstance(df.schema[c].dataType, (StructType, ArrayType, MapType))]
-    batch = dedup_first(df, names, simple).checkpoint()
+    order = [(c, "desc") for c in [*(latest or []), *[c for c in df.columns if c not in names and c not in (latest or [])]]]
+    batch = dedup_first(df, names, order).checkpoint()
     if batch.isEmpty():
         return
     merged = batch
     stored = stored_rows(spark, path, df.schema, fmt)
     if stored is not None:
-        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names]
-        touched = stored.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
-        untouched = touched.alias("s").join(batch.select(*names).alias("b"), functools.reduce(
-            lambda x, y: x & y, same), "left_anti")
+        touched = in_partitions(stored, batch, partition_by)
+        untouched = touched.alias("s").join(batch.select(*names).alias("b"), _same(names), "left_anti")
         merged = batch.unionByName(untouched.select(*batch.columns)).checkpoint()
     overwrite_partitions(merged.hint("rebalance", *partition_by), path, partition_by, fmt=fmt, **options)
 
 
+def _same(names: list[str]) -> Column:
+    """Equal values, nulls included, of the frames aliased ``s`` and ``b``."""
+    return functools.reduce(lambda x, y: x & y, [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names])
+
+
+def in_partitions(stored: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The stored rows of the partitions that ``batch`` touches.
+
+    The values of each partition column that occur in the batch (at most as many
+    as it has partitions) go into the scan as literals, so only these
+    folders are opened; a semi join then leaves out combinations that the
+    batch does not have.
+    """
+    combinations = batch.select(*partition_by).distinct().collect()
+    rows = stored
+    for c in partition_by:
+        kind = stored.schema[c].dataType
+        values = sorted({r[c] for r in combinations if r[c] is not None})
+        here = F.col(c).isin([F.lit(v).cast(kind) for v in values]) if values else F.lit(False)
+        rows = rows.where(here | F.col(c).isNull() if any(r[c] is None for r in combinations) else here)
+    if len(combinations) == 1:
+        return rows
+    wanted = stored.sparkSession.createDataFrame(
+        [tuple(r) for r in combinations], StructType([stored.schema[c] for c in partition_by]))
+    return rows.alias("s").join(wanted.alias("b"), _same(partition_by), "left_semi")
+
+
+def upsert_latest_rows(df: DataFrame, path: str, key: str, latest: list[str], parts: int,
+                       fmt: str = "parquet", **options) -> None:
+    """J1, latest wins, as a stored table: of the stored rows and those of ``df`` with one ``key`` the one
+    that comes last by the ``latest`` columns stays (ties: the last by all columns).
+
+    Rows lie in ``parts`` folders by a hash of the key (``part_of_<parts>``, a
+    number fixed for the table's life; another one is refused).  Only the folders that
+    the batch touches are read and rewritten, the files of the others stay.
+    Rows without a key are all kept, in a folder of their own choice by their content.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    part = part_column(parts)
+    whole = F.when(F.col(key).isNull(), F.xxhash64(*df.columns)).otherwise(F.xxhash64(key))
+    batch = df.withColumn(part, F.pmod(whole, F.lit(parts)).cast("int"))
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    order = [(c, "desc") for c in [*latest, *[c for c in df.columns if c != key and c not in latest]]]
+
+    def survivors(rows: DataFrame) -> DataFrame:
+        return dedup_first(rows.withColumn("_no_key", own), [key, "_no_key"], order).drop("_no_key")
+
+    batch = survivors(batch).checkpoint()
+    if batch.isEmpty():
+        return
+    merged = batch
+    stored = stored_rows(spark, path, batch.schema, fmt)
+    if stored is not None:
+        if part not in spark.read.format(fmt).load(path).columns:
+            raise ValueError(f"{path} has another number of parts than {parts}")
+        merged = survivors(batch.unionByName(in_partitions(stored, batch, [part]).select(*batch.columns))).checkpoint()
+    overwrite_partitions(merged.repartition(part), path, [part], fmt=fmt, **options)
+
+
+def part_column(parts: int) -> str:
+    return f"part_of_{parts}"
+
+
 def stored_rows(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame | None:
     """What a folder holds, or None if there is no such folder; only its absence is caught."""
     try:
