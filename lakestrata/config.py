@@ -98,7 +98,9 @@ class JobsConfig:
     state_id: str = DEFAULT_STATE_ID
     table_format: str = "parquet"
     quarantine_table: str = "quarantined_pages"
-    advance_over_quarantined: bool = False   # move the state on although pages were malformed
+    ledger_table: str = "landed_files"
+    advance_over_quarantined: bool = True    # move the state on although pages were malformed: what replaces
+                                             # their file is read for its window
     key_buckets: int | None = None   # bucket the postings table by job_id (large tables)
 
 

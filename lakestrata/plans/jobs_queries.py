@@ -155,6 +155,24 @@ def jobs_upsert_latest(spark, sf_dir):
     return J.upsert_latest(J.with_audit(a, RUN1_TS), J.with_audit(b, RUN2_TS))
 
 
+@register("jobs_upsert_stored", "WITH" + O.POSTINGS_CTE + "," + AUDIT_SQL + """,
+u AS (SELECT * FROM stored UNION ALL BY NAME SELECT * FROM batch)
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY job_id
+                               ORDER BY job_created DESC, extraction_timestamp DESC) AS rn FROM u)
+WHERE rn = 1""")
+def jobs_upsert_stored(spark, sf_dir):
+    """J1 latest-wins into a stored table: slice A, then slice B (the overlap re-fetched with later
+    times), then slice A again, which is older and changes nothing; the table as stored."""
+    a, b = standins.overlap_slices(clean_postings(spark, sf_dir))
+    a = a.withColumn("job_salary", F.lit(None).cast("double"))
+    path, parts = scratch_path(spark, "postings_latest"), key_buckets(spark)
+    for rows, run_ts in ((a, RUN1_TS), (b, RUN2_TS), (a, RUN1_TS)):
+        tables.upsert_latest_rows(J.with_audit(rows, run_ts), path, "job_id", ["job_created", "extraction_timestamp"], parts)
+    schema = J.with_audit(a, RUN1_TS).schema
+    return spark.read.schema(schema).parquet(path).drop(tables.part_column(parts))
+
+
 @register("load_receipt", "WITH" + O.POSTINGS_CTE + """,
 fresh AS (SELECT count(*) AS n FROM slice_b WHERE job_id NOT IN (SELECT job_id FROM slice_a))
 SELECT 1 AS run, (SELECT count(*) FROM slice_a) AS new_jobs, (SELECT count(*) FROM slice_a) > 0 AS wrote_files,
@@ -282,7 +300,7 @@ def jobs_quarantine(spark, sf_dir):
     pages.select(F.when(F.col("page_no") % 5 == 2, F.substring(text, 1, 40)).otherwise(text).alias("value")
                  ).write.text(landing)
     db = f"ls_quarantine_{uuid.uuid4().hex[:8]}"
-    cfg = JobsConfig(database=db)
+    cfg = JobsConfig(database=db, advance_over_quarantined=False)
     receipt = run_jobs(spark, cfg, landing, INC_RUN2, db_location=scratch_path(spark, db))
     lost = spark.table(f"{db}.{cfg.quarantine_table}").agg(F.count("record").alias("quarantined"))
     stored = spark.table(f"{db}.{cfg.table}").agg(F.count(F.lit(1)).alias("stored"))
@@ -290,3 +308,43 @@ def jobs_quarantine(spark, sf_dir):
     return spark.createDataFrame(
         [(counts["stored"], counts["quarantined"], receipt["rejected_postings"], receipt["state_advanced"])],
         "stored long, quarantined long, rejected long, state_advanced boolean")
+
+
+RETRY_RUN = dt.datetime(2024, 2, 10)
+
+
+@register("jobs_ledger_runs", "WITH" + O.POSTINGS_CTE + f""",
+pages AS (SELECT *, event_id // 50 AS page_no FROM ev),
+kept AS (SELECT * FROM pages WHERE k NOT IN (0, 1, 2, 4)),
+one AS (SELECT * FROM kept WHERE page_no % 5 <> 2 AND ts BETWEEN TIMESTAMP '{INC_RUN1}' - INTERVAL 180 HOUR AND TIMESTAMP '{INC_RUN1}'),
+two AS (SELECT * FROM kept WHERE page_no % 5 <> 2 AND ts > TIMESTAMP '{INC_RUN1}' AND ts <= TIMESTAMP '{INC_RUN2}'),
+three AS (SELECT * FROM kept WHERE page_no % 5 = 2 AND ts BETWEEN TIMESTAMP '{INC_RUN1}' - INTERVAL 180 HOUR AND TIMESTAMP '{RETRY_RUN}'
+          UNION ALL SELECT * FROM kept WHERE page_no % 5 <> 2 AND ts > TIMESTAMP '{INC_RUN2}' AND ts <= TIMESTAMP '{RETRY_RUN}'),
+bad AS (SELECT count(DISTINCT page_no) AS n FROM pages WHERE page_no % 5 = 2)
+SELECT 1 AS run, (SELECT count(*) FROM one) AS stored, (SELECT n FROM bad) AS quarantined, true AS read_files,
+       CAST(1 AS BIGINT) AS version, (SELECT n FROM bad) AS in_quarantine
+UNION ALL SELECT 2, (SELECT count(*) FROM two), 0, false, 2, (SELECT n FROM bad)
+UNION ALL SELECT 3, (SELECT count(*) FROM three), 0, true, 3, (SELECT n FROM bad)""")
+def jobs_ledger_runs(spark, sf_dir):
+    """C7 with the ledger: three runs over one landing.  Run 1 meets cut pages in their own files and quarantines
+    them, and the window moves on.  Run 2 opens no file, quarantines nothing again, and stores the postings that run 1 held
+    for it.  Then the bad pages are landed whole in place of their files: run 3 reads just these, for the window of run 1."""
+    from ..config import JobsConfig
+    from .jobs_job import run_jobs
+    landing = scratch_path(spark, "job_pages_ledger")
+    text = F.to_json(F.struct("results"))
+    pages = standins.job_pages(table(spark, sf_dir, "events"))
+    bad = F.col("page_no") % 5 == 2
+    pages.where(~bad).select(text.alias("value")).write.text(f"{landing}/good")
+    pages.where(bad).select(F.substring(text, 1, 40).alias("value")).write.text(f"{landing}/late")
+    db = f"ls_ledger_{uuid.uuid4().hex[:8]}"
+    cfg = JobsConfig(database=db)
+    location, out = scratch_path(spark, db), []
+    for run, run_ts in enumerate((INC_RUN1, INC_RUN2, RETRY_RUN), 1):
+        if run == 3:        # the bad pages are landed whole, in place of their files
+            pages.where(bad).select(text.alias("value")).write.mode("overwrite").text(f"{landing}/late")
+        receipt = run_jobs(spark, cfg, f"{landing}/*", run_ts, db_location=location)
+        lost = spark.table(f"{db}.{cfg.quarantine_table}").count()
+        out.append((run, receipt["jobs_processed"], receipt["quarantined_pages"], receipt["files_read"] > 0,
+                    receipt["version"], lost))
+    return spark.createDataFrame(out, "run int, stored long, quarantined long, read_files boolean, version long, in_quarantine long")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..schemas import CORRUPT_COLUMN, DAILY_RESPONSE, HOURLY_RESPONSE, JOB_PAGE
 
@@ -77,8 +77,13 @@ def split_corrupt(df: DataFrame, corrupt_column: str = CORRUPT_COLUMN) -> tuple[
     return good, bad
 
 
-def read_job_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Landed API pages ``{"results": [...]}``, one page per record."""
+def read_job_pages(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Landed API pages ``{"results": [...]}``, one page per record; no files give no rows
+    (with the metadata that the files' rows would have)."""
+    if isinstance(path, list) and not path:
+        meta = StructType([StructField("file_path", StringType()),
+                           StructField("file_modification_time", TimestampType())])
+        return spark.createDataFrame([], StructType([*JOB_PAGE.fields, StructField("_metadata", meta)]))
     return read_raw_json(spark, path, JOB_PAGE, multi_line=multi_line)
 
 
