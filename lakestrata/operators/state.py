@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from urllib.parse import quote
 
 from py4j.protocol import Py4JJavaError
@@ -98,11 +99,20 @@ def next_state_row(spark: SparkSession, current: dict | None, state_id: str,
         [(state_id, version, run_ts, total, created, updated_at)], PIPELINE_STATE)
 
 
+#: A claim without its state row counts as given up after this time.
+STALE_AFTER = dt.timedelta(hours=1)
+
+
 def commit_state(spark: SparkSession, table: str, state_id: str, expected_version: int,
-                 run_ts: dt.datetime, jobs_added: int, fmt: str = "parquet") -> int:
+                 run_ts: dt.datetime, jobs_added: int, fmt: str = "parquet", run_id: str | None = None,
+                 stale_after: dt.timedelta = STALE_AFTER) -> int:
     """K6: append version ``expected_version + 1`` unless someone else already
     did (conflict -> ``VersionConflict``).  Called only after the data write
-    succeeded (D6).  Returns the new version."""
+    succeeded (D6).  Returns the new version.
+
+    ``run_id`` names the run in its claim: a run that died after its claim and is
+    started again under the same name goes on with it; any other run may take
+    the claim over once it is ``stale_after`` old."""
     current = None
     if spark.catalog.tableExists(table):
         rows = (current_state(spark.table(table).where(F.col("state_id") == state_id))
@@ -112,7 +122,7 @@ def commit_state(spark: SparkSession, table: str, state_id: str, expected_versio
     if have != expected_version:
         raise VersionConflict(f"{state_id}: expected version {expected_version}, found {have}")
     append_claimed(next_state_row(spark, current, state_id, run_ts, jobs_added), table, state_id,
-                   expected_version + 1, fmt)
+                   expected_version + 1, fmt, owner=run_id, stale_after=stale_after)
     return expected_version + 1
 
 
@@ -123,8 +133,14 @@ def claim_path(spark: SparkSession, table: str, state_id: str, version: int) ->
     return f"{base.rstrip('/')}/_claims_{name}/{quote(state_id, safe='')}/{version}"
 
 
-def claim(spark: SparkSession, path: str) -> None:
-    """Create ``path`` or raise ``VersionConflict`` if it is there.
+def _file(spark: SparkSession, path: str) -> tuple:
+    """(file system, path) of the Hadoop client."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+
+
+def claim(spark: SparkSession, path: str, owner: str = "") -> None:
+    """Create ``path`` with the owner's name in it, or raise ``VersionConflict`` if it is there.
 
     Local folders: an exclusive open.  Other stores: the Hadoop client's
     create without overwrite, which HDFS does atomically.
@@ -133,35 +149,77 @@ def claim(spark: SparkSession, path: str) -> None:
         own = local_fs_path(path)
         os.makedirs(os.path.dirname(own), exist_ok=True)
         try:
-            os.close(os.open(own, os.O_CREAT | os.O_EXCL))
+            with open(own, "x", encoding="utf-8") as f:
+                f.write(owner)
         except FileExistsError as e:
             raise VersionConflict(f"{path} is claimed") from e
         return
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    store = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store, there = _file(spark, path)
     try:
-        store.create(there, False).close()
+        out = store.create(there, False)
+        out.write(bytearray(owner.encode()))
+        out.close()
     except Py4JJavaError as e:
         if "FileAlreadyExists" in str(e.java_exception):
             raise VersionConflict(f"{path} is claimed") from e
         raise
 
 
+def claimed_by(spark: SparkSession, path: str) -> tuple[str, dt.datetime] | None:
+    """Owner and time (UTC) of a claim, or None."""
+    if path.startswith("file:") or path.startswith("/"):
+        try:
+            with open(local_fs_path(path), encoding="utf-8") as f:
+                owner = f.read()
+            seconds = os.path.getmtime(local_fs_path(path))
+        except FileNotFoundError:
+            return None
+    else:
+        store, there = _file(spark, path)
+        if not store.exists(there):
+            return None
+        status = store.getFileStatus(there)
+        stream = store.open(there)
+        owner = bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        stream.close()
+        seconds = status.getModificationTime() / 1000
+    return owner, dt.datetime.fromtimestamp(seconds, dt.timezone.utc).replace(tzinfo=None)
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Give up a claim whose row was not written."""
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, False)
+    store, there = _file(spark, path)
+    store.delete(there, False)
+
 
+def has_version(spark: SparkSession, table: str, state_id: str, version: int) -> bool:
+    return spark.catalog.tableExists(table) and not spark.table(table).where(
+        (F.col("state_id") == state_id) & (F.col("version") == version)).isEmpty()
 
-def append_claimed(row: DataFrame, table: str, state_id: str, version: int, fmt: str = "parquet") -> None:
-    """Append a state row under the claim of its version.  A write that fails
-    gives the claim up; one whose run dies leaves it, and the next run is
-    refused until ``release`` is called for it."""
+
+def append_claimed(row: DataFrame, table: str, state_id: str, version: int, fmt: str = "parquet",
+                   owner: str | None = None, stale_after: dt.timedelta = STALE_AFTER) -> None:
+    """Append a state row under the claim of its version.
+
+    A write that fails gives the claim up.  One whose run dies leaves it: the same owner goes
+    on with it, another one takes it over once it is ``stale_after`` old and its row is
+    still not there.  Of several that take it over, one creates it anew.
+    """
     spark = row.sparkSession
+    owner = owner or uuid.uuid4().hex
     path = claim_path(spark, table, state_id, version)
-    claim(spark, path)
+    held = claimed_by(spark, path)
+    if held is not None:
+        if has_version(spark, table, state_id, version):
+            raise VersionConflict(f"{state_id}: version {version} is there")
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        if held[0] != owner:
+            if now - held[1] < stale_after:
+                raise VersionConflict(f"{path} is claimed")
+            release(spark, path)
+            held = None
+    if held is None:
+        claim(spark, path, owner)
     try:
         row.write.format(fmt).mode("append").saveAsTable(table)
     except BaseException:

@@ -20,8 +20,9 @@ from pyspark.sql.types import StructType
 
 from ..functions.scalars import ts_lit
 from ..operators.dedup import dedup_first
-from ..operators.state import append_claimed, current_state, next_state_row
-from ..sources import tables
+from ..operators.state import (append_claimed, claim_path, claimed_by, current_state, has_version,
+                               next_state_row)
+from ..sources import held, tables
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -78,9 +79,11 @@ def versioned_state_batch(state_table: str, state_id: str, ts: str, stream_id: s
     micro-batch.
 
     ``stream_id`` names the checkpoint: batch ids start anew with a new one.
-    What a batch is going to commit is logged under (stream id, batch id)
-    first; a replayed batch finds its entry and does nothing if that version
-    is there, or commits just that version if the run died in between.
+    The version that a batch is going to commit is logged under (stream id, batch
+    id) first, and its claim carries that name.  A replayed batch finds its entry: if
+    the claim is its own and the row is there, it is done; if the run died in
+    between, it goes on under its claim; if another run has taken the version,
+    it takes the next one.
     ``clock`` gives created_at / updated_at (default: now, UTC); the
     high-water mark is the batch's greatest ``ts`` and never falls.
     """
@@ -88,26 +91,29 @@ def versioned_state_batch(state_table: str, state_id: str, ts: str, stream_id: s
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        owner = f"{stream_id}#{batch_id}"
+        entries = []
+        if spark.catalog.tableExists(log):
+            entries = [r["version"] for r in spark.table(log).where(
+                (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)).select("version").distinct().collect()]
+        for version in entries:                             # one, and one more for each time that another run was first
+            mine = claimed_by(spark, claim_path(spark, state_table, state_id, version))
+            if mine is not None and mine[0] == owner and has_version(spark, state_table, state_id, version):
+                return  # replay of a committed batch
         current = None
         if spark.catalog.tableExists(state_table):
             rows = current_state(spark.table(state_table).where(F.col("state_id") == state_id)).collect()
             current = rows[0].asDict() if rows else None
-        have = (current or {}).get("version", 0)
-        entry = None
-        if spark.catalog.tableExists(log):
-            entry = spark.table(log).where((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
-                                           ).agg(F.max("version").alias("version")).first()["version"]
-        if entry is not None and have >= entry:
-            return  # replay of a committed batch
-        if entry is None:
-            spark.createDataFrame([(stream_id, batch_id, have + 1)], "stream_id string, batch_id long, version long"
+        version = (current or {}).get("version", 0) + 1
+        if version not in entries:
+            spark.createDataFrame([(stream_id, batch_id, version)], "stream_id string, batch_id long, version long"
                                   ).write.format(fmt).mode("append").saveAsTable(log)
         stats = batch.agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("hw")).first()
         known = (current or {}).get("last_extraction_time")
         mark = max([x for x in (known, stats["hw"]) if x is not None], default=None)
         now = (clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))()
         append_claimed(next_state_row(spark, current, state_id, mark, int(stats["n"]), updated_at=now),
-                       state_table, state_id, have + 1, fmt)
+                       state_table, state_id, version, fmt, owner=owner)
     return fn
 
 
@@ -121,27 +127,29 @@ def append_new_batch(table: str, key: str, partition_by: list[str],
     (the latest ``ts``), none whose id is stored: a replayed batch adds
     nothing and the stream ends where the batch load (C7) ends.
 
-    With ``ts`` and ``run_ts``, rows dated after the run (F1) wait in
-    ``<table>_held`` and are taken up by the first run that reaches them;
-    rows that arrive late are stored like any other.
+    With ``ts`` and ``run_ts``, rows dated after the run (F1) wait by day beside the table
+    (``sources.held``), all versions of them, and are taken up by the first run that
+    reaches them: the latest version is stored.  Days that are over are cleared.
+    Rows that arrive late are stored like any other.
     """
-    held = f"{table}_held"
-
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch
+        rows, path = batch, None
         if ts and run_ts is not None:
+            path = held.folder(spark, table)
             early = F.col(ts) > ts_lit(run_ts)
-            if tables.table_exists(spark, held):
-                waiting = spark.table(held).select(*batch.columns)
-                rows = rows.unionByName(waiting.where(~early))
             later = batch.where(early)
             if not later.isEmpty():
-                tables.append_new(later, held, key, partition_by=[], fmt=fmt)
-            rows = rows.where(~early | F.col(ts).isNull())
+                held.hold(later, path, ts, fmt=fmt)
+            rows = batch.where(~early | F.col(ts).isNull())
+            reached = held.waiting(spark, path, batch.schema, ts, run_ts, fmt=fmt)
+            if reached is not None:
+                rows = rows.unionByName(reached)
         if ts:
             rows = dedup_first(rows, [key], [(ts, "desc"), *[c for c in rows.columns if c not in (key, ts)]])
         rows = audit(rows) if audit else rows
         tables.append_new(rows, table, key, partition_by=partition_by, fmt=fmt,
                           bucket_by=bucket_by)
+        if path is not None:
+            held.clear(spark, path, run_ts)
     return fn
