@@ -180,9 +180,13 @@ def response_profile(responses: DataFrame, keep: Sequence[str] = (), series: str
 
 def asof_backward(anchors: DataFrame, events: DataFrame, by: Sequence[str], anchor_ts: str,
                   event_ts: str, bucket_seconds: int = 86400, partitioning: str = "time",
-                  num_ranges: int | None = None) -> DataFrame:
+                  num_ranges: int | None = None, forward: bool = False) -> DataFrame:
     """For each anchor row, the latest event with the same ``by`` keys and
-    ``event_ts <= anchor_ts`` (inner: anchors without one are dropped).
+    ``event_ts <= anchor_ts`` (inner: anchors without one are dropped, unless ``forward``:
+    they get the earliest event after them, and only keys without events go).
+
+    ``forward``: a second running pass over the same shuffled rows in the other
+    direction, and a second carry over the buckets' first events.
 
     No pairs are formed.  Anchors and events are tagged and sorted together
     within (``by``, bucket): a running ``last`` finds in-bucket matches.
@@ -236,24 +240,38 @@ def asof_backward(anchors: DataFrame, events: DataFrame, by: Sequence[str], anch
     w = (Window.partitionBy(*by, "_b").orderBy("_t", "_kind", "_ev")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     tagged = both.withColumn("_m", F.last("_ev", ignorenulls=True).over(w))
+    if forward:
+        # of events at one time the greatest payload comes last here too
+        back = (Window.partitionBy(*by, "_b").orderBy(F.col("_t").desc(), F.col("_kind").desc(), "_ev")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        tagged = tagged.withColumn("_n", F.last("_ev", ignorenulls=True).over(back))
+    else:
+        tagged = tagged.withColumn("_n", F.lit(None).cast(both.schema["_ev"].dataType))
     anchors_out = tagged.where(F.col("_kind") == 1)
     resolved = anchors_out.where(F.col("_m").isNotNull())
-    pending = anchors_out.where(F.col("_m").isNull()).select(*by, "_b", "_anchor")
-
-    # one row per (by, bucket) with events: the bucket's last event
-    last_in_bucket = (ev.groupBy(*by, "_b")
-                      .agg(F.max_by("_ev", F.struct("_t", "_ev")).alias("_last")))
-    need = pending.select(*by, "_b").distinct().withColumn("_last", F.lit(None).cast(
-        last_in_bucket.schema["_last"].dataType))
-    # within a bucket the "need" row sorts first, so it only sees earlier buckets
-    wb = (Window.partitionBy(*by).orderBy("_b", F.col("_need").desc())
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (last_in_bucket.withColumn("_need", F.lit(False))
-             .unionByName(need.withColumn("_need", F.lit(True)))
-             .withColumn("_prev", F.last("_last", ignorenulls=True).over(wb))
-             .where(F.col("_need") & F.col("_prev").isNotNull())
-             .select(*by, "_b", "_prev"))
-    fallback = pending.join(carry, [*by, "_b"]).select(*by, "_anchor", F.col("_prev").alias("_m"))
+    pending = anchors_out.where(F.col("_m").isNull()).select(*by, "_b", "_anchor", "_n")
+
+    # one row per (by, bucket) with events: the bucket's last event, and its first
+    ntz = isinstance(both.schema["_t"].dataType, T.TimestampNTZType)
+    ends = ev.groupBy(*by, "_b").agg(
+        F.max_by("_ev", F.struct("_t", "_ev")).alias("_last"),
+        F.max_by("_ev", F.struct((-epoch_micros("_t", ntz=ntz)).alias("t"), "_ev")).alias("_first"))
+    need = pending.select(*by, "_b").distinct()
+    carry = (ends.withColumn("_need", F.lit(False))
+             .unionByName(need.withColumn("_need", F.lit(True)), allowMissingColumns=True))
+
+    def carried(column: str, order: Column) -> Column:
+        # within a bucket the "need" row sorts first, so it only sees the buckets before it in this direction
+        over = (Window.partitionBy(*by).orderBy(order, F.col("_need").desc())
+                .rowsBetween(Window.unboundedPreceding, -1))
+        return F.last(column, ignorenulls=True).over(over)
+
+    carry = carry.withColumn("_prev", carried("_last", F.col("_b").asc()))
+    carry = carry.withColumn("_next", carried("_first", F.col("_b").desc()) if forward
+                             else F.lit(None).cast(both.schema["_ev"].dataType))
+    carry = carry.where("_need").select(*by, "_b", "_prev", "_next")
+    fallback = (pending.join(carry, [*by, "_b"])
+                .select(*by, "_anchor", F.coalesce("_prev", "_n", "_next").alias("_m")).where(F.col("_m").isNotNull()))
     out = resolved.select(*by, "_anchor", "_m").unionByName(fallback)
     return out.select(*by, F.col("_anchor").alias(anchor_ts),
                       *[F.col(f"_m.{c}").alias(c) for c in payload_cols])
