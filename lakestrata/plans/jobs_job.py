@@ -5,8 +5,8 @@
     -> ledger -> state (K6)
 
 A run opens only files that are new or changed since the ledger has them.
-Postings dated after the run are held and taken up by the run that reaches
-them.  Malformed pages go to a quarantine table, once; when their file has changed
+Postings dated after the run are held and taken up by the run over the same landing that
+reaches them.  Malformed pages go to a quarantine table, once; when their file has changed
 or gone, the files that landed since are read for its window.  Whether the state moves on over them
 is a setting; postings that the cleaning rejects are counted in the receipt.
 
@@ -66,14 +66,14 @@ def run_jobs(spark: SparkSession, cfg: JobsConfig, pages_path: str, run_ts: dt.d
     state_table = f"{cfg.database}.{cfg.state_table}"
     jobs_table = f"{cfg.database}.{cfg.table}"
     ledger_table = f"{cfg.database}.{cfg.ledger_table}"
-    held_path = held.folder(spark, jobs_table)
+    held_path = held.folder(spark, jobs_table, pages_path)
     checkpoint_root(spark)
 
     state = read_state(spark, state_table, cfg.state_id, run_ts, cfg.lookback_days)
     start = state["last_extraction_time"] - dt.timedelta(hours=cfg.overlap_hours)
     end = run_ts
 
-    known = ledger.entries(spark, ledger_table)
+    known = ledger.entries(spark, ledger_table, pages_path)
     files = ledger.listing(spark, pages_path)
     old_bad = ledger.still_bad(files, known).count()
     fresh = ledger.fresh(files, known).checkpoint()
@@ -107,7 +107,7 @@ def run_jobs(spark: SparkSession, cfg: JobsConfig, pages_path: str, run_ts: dt.d
                                             "extraction_timestamp": run_ts},
                                 fmt=cfg.table_format, max_records_per_file=cfg.max_rows_per_file,
                                 bucket_by=(cfg.key_buckets, "job_id") if cfg.key_buckets else None)
-    ledger.enter(fresh, bad_files, replaced, ledger_table, since, run_ts, fmt=cfg.table_format)
+    ledger.enter(fresh, bad_files, replaced, ledger_table, pages_path, since, run_ts, fmt=cfg.table_format)
     rejected = int(seen.get.get("n") or 0) - int(good.get.get("n") or 0)
     advance = cfg.advance_over_quarantined or not (quarantined or old_bad)
     version = commit_state(spark, state_table, cfg.state_id, state["version"], run_ts,

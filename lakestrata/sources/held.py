@@ -10,6 +10,7 @@ insert-if-new load makes harmless, and so does a crash between load and clearing
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,11 @@ from .tables import stored_rows
 DAY = "held_day"
 
 
-def folder(spark: SparkSession, table: str) -> str:
-    """Where the held rows of a table lie: beside it, in its database's folder."""
+def folder(spark: SparkSession, table: str, source: str = "") -> str:
+    """Where the held rows of a table from one source lie: beside the table, in its database's folder."""
     database, _, name = table.rpartition(".")
     base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    return f"{base.rstrip('/')}/_held_{name}"
+    return f"{base.rstrip('/')}/_held_{name}/{hashlib.sha256(source.encode()).hexdigest()[:16]}"
 
 
 def hold(rows: DataFrame, path: str, ts: str, fmt: str = "parquet") -> None:

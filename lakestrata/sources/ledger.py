@@ -1,6 +1,6 @@
 """Ledger of landed files: what was read, when, and with what outcome.
 
-One row a file, state (time and size) and run.  A run lists the landing and
+One row a landing, file, state (time and size) and run.  A run lists the landing and
 anti joins the listing with the ledger before any record is parsed, so it
 opens only files that are new or changed.  A file with malformed records is
 entered as ``quarantined`` with the start of the window that it was read for; it is not read again
@@ -23,7 +23,7 @@ from .tables import table_exists
 
 LOADED, QUARANTINED, REPLACED = "loaded", "quarantined", "replaced"
 LEDGER = T.StructType([
-    T.StructField("file", T.StringType()), T.StructField("modified", T.TimestampType()),
+    T.StructField("landing", T.StringType()), T.StructField("file", T.StringType()), T.StructField("modified", T.TimestampType()),
     T.StructField("bytes", T.LongType()), T.StructField("outcome", T.StringType()),
     T.StructField("window_start", T.TimestampNTZType()), T.StructField("run_ts", T.TimestampNTZType())])
 STATE = ["file", "modified", "bytes"]
@@ -36,9 +36,10 @@ def listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "path", *[F.col(f"_metadata.{m}").alias(c) for c, m in meta.items()])
 
 
-def entries(spark: SparkSession, name: str) -> DataFrame:
+def entries(spark: SparkSession, name: str, landing: str) -> DataFrame:
+    """What the ledger has of one landing: each is read by itself."""
     if table_exists(spark, name):
-        return spark.table(name)
+        return spark.table(name).where(F.col("landing") == landing)
     return spark.createDataFrame([], LEDGER)
 
 
@@ -70,13 +71,13 @@ def paths(files: DataFrame) -> list[str]:
     return sorted(re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in files.select("path").toLocalIterator())
 
 
-def enter(files: DataFrame, bad_files: DataFrame, replaced: DataFrame, name: str, window_start: dt.datetime,
-          run_ts: dt.datetime, fmt: str = "parquet") -> None:
+def enter(files: DataFrame, bad_files: DataFrame, replaced: DataFrame, name: str, landing: str,
+          window_start: dt.datetime, run_ts: dt.datetime, fmt: str = "parquet") -> None:
     """Enter the files that a run has read for a window, of which ``bad_files`` (file) had malformed records,
     and the bad states that they replace."""
     bad = bad_files.select("file", F.lit(True).alias("bad")).distinct()
     rows = files.join(bad, "file", "left").select(
         *STATE, F.when(F.col("bad"), F.lit(QUARANTINED)).otherwise(F.lit(LOADED)).alias("outcome"))
     rows = rows.unionByName(replaced.select(*STATE, F.lit(REPLACED).alias("outcome")))
-    rows.select("*", ts_lit(window_start).alias("window_start"), ts_lit(run_ts).alias("run_ts")
+    rows.select(F.lit(landing).alias("landing"), "*", ts_lit(window_start).alias("window_start"), ts_lit(run_ts).alias("run_ts")
                 ).write.format(fmt).mode("append").saveAsTable(name)

@@ -139,14 +139,14 @@ def test_dedup_properties(spark):
     assert rows(agg) == sorted(brute.values(), key=str)
 
 
-def test_dedup_descending_string_falls_back_to_window(spark):
-    import pytest as _pytest
+def test_dedup_descending_string_is_an_aggregate(spark):
     df = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (1, None, 3), (2, "a", 4)],
                                "k int, s string, v int")
     out = {r["k"]: r["v"] for r in dedup_first(df, ["k"], [("s", "desc")]).collect()}
     assert out == {1: 2, 2: 4}                     # 'c' wins; desc puts null last
-    with _pytest.raises(ValueError):
-        dedup_first(df, ["k"], [("s", "desc")], method="aggregate")
+    for method in ("aggregate", "window"):
+        same = {r["k"]: r["v"] for r in dedup_first(df, ["k"], [("s", "desc")], method=method).collect()}
+        assert same == out
     nulls_first = {r["k"]: r["v"] for r in dedup_first(df, ["k"], [("s", "desc", False)]).collect()}
     assert nulls_first == {1: 3, 2: 4}
 

@@ -97,10 +97,19 @@ def test_postings_of_later_days_are_held_and_leave(spark):
     for run, want in ((T(2024, 2, 2), ["a"]), (T(2024, 2, 5, 12), ["a", "b"]), (T(2024, 2, 7), ["a", "b", "c"])):
         run_jobs(spark, cfg, base, run)
         assert stored(spark, cfg) == want
-    path = held.folder(spark, f"{cfg.database}.{cfg.table}")
+    path = held.folder(spark, f"{cfg.database}.{cfg.table}", base)
     assert not [x for x in os.listdir(local_fs_path(path)) if x.startswith(held.DAY)]
 
 
+def test_each_landing_is_read_by_itself(spark):
+    one, two, cfg = folder(spark, "one"), folder(spark, "two"), config(spark)
+    land(one, "p.json", {"results": [posting("a", "2024-02-01T00:00:00Z"), posting("later", "2024-02-04T00:00:00Z")]}, '{"results": [')
+    land(two, "p.json", {"results": [posting("b", "2024-02-05T00:00:00Z"), posting("old", "2024-01-28T00:00:00Z")]})
+    run_jobs(spark, cfg, one, T(2024, 2, 3))
+    receipt = run_jobs(spark, cfg, two, T(2024, 2, 6))      # the other landing's bad file is not gone
+    assert (receipt["files_read"], receipt["files_still_bad"]) == (1, 0) and stored(spark, cfg) == ["a", "b"]
+
+
 def test_of_two_held_versions_the_later_one_is_stored(spark):
     table = f"{scratch_database(spark, 't_versions')}.jobs"
     rows = lambda *x: spark.createDataFrame(
