@@ -88,6 +88,12 @@ class Vocabulary:
         alone = "" if any("\n" in p for p in self.pieces) else "\n"
         return re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|{alone}" if alone else ""))
 
+    @cached_property
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids side by side, and where those of each begin."""
+        start = np.concatenate([[0], np.cumsum([len(x) for x in self.table])]).astype(np.int64)
+        return np.frombuffer(b"".join(self.table), dtype=np.uint8), start
+
     @cached_property
     def uncovered(self) -> re.Pattern:
         """A character without a piece of its own."""
@@ -312,6 +318,20 @@ class Encoder:
         return out[:plain] + out[plain + 1:]
 
 
+def decode_all(vocabulary: Vocabulary, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The texts of sequences of ids laid end to end (``sizes``: where each begins), like ``decode``."""
+    flat, start = vocabulary.flat
+    first, count = start[ids], (start[1:] - start[:-1])[ids]
+    ends = np.concatenate([[0], np.cumsum(count)])
+    data = flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], count)]
+    offsets = ends[sizes]
+    size = np.diff(offsets)
+    data = np.delete(data, offsets[:-1][size > 0])          # the space in front
+    offsets = np.concatenate([[0], np.cumsum(size - (size > 0))]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [
+        None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.large_string()).cast(pa.string())
+
+
 def decode(table: list[bytes], ids) -> str:
     """The text of a sequence of ids; the space in front goes."""
     return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace")[1:]
@@ -344,11 +364,11 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = N_BEST, text_col:
                 own = batch.slice(done, part.num_rows)
                 done += part.num_rows
                 sizes = np.concatenate([[0], np.cumsum([len(r[0]) for r in rows])])
-                ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(
-                    np.concatenate([r[0] for r in rows]), pa.int32()))
+                flat = np.concatenate([r[0] for r in rows])
+                ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
                 paths = pa.array([[{"score": s, "edits": [{"at": a, "n": k, "ids": i} for a, k, i in e]}
                                    for s, e in r[2]] for r in rows], _PATHS)
-                texts = pa.array([decode(vocabulary.table, r[0].tolist()) for r in rows], pa.string())
+                texts = decode_all(vocabulary, flat, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [*own.columns, ids, pa.array([r[1] for r in rows], pa.float64()), paths, texts],
                     names=schema.names)

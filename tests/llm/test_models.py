@@ -360,3 +360,11 @@ def test_clean_texts_are_not_undecided():
     import pyarrow as pa
     langs, scores = language_id.classify(pa.array(["the dog sat on the cat", "la table est avec le chat", "123"]), model)
     assert langs == ["aa", "bb", "und"] and (scores[:2] > language_id.undecided(model)).all()
+
+
+def test_decoding_all_texts_at_once(vocabulary, prose, odd):
+    texts = [t or "" for _, t in odd] + [prose(200), "▁ \U0001F600\x00 é", "", " lead", "日本語 text"]
+    rows = [r[0] for r in sentence_pieces.Encoder(vocabulary).encode(texts)]
+    sizes = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    assert sentence_pieces.decode_all(vocabulary, np.concatenate(rows), sizes).to_pylist() == texts
+    assert [sentence_pieces.decode(vocabulary.table, r.tolist()) for r in rows] == texts
