@@ -9,13 +9,16 @@ half the threshold are non-essential: a vectorised pass over the essential
 ones finds the passages that can reach the threshold at all, and only these
 enter the search.  A hit counts if the passage holds enough of the n-grams of
 the item's question (the first part of its words) and of its answer (the rest),
-or nearly all of the question.
+or nearly all of the question.  A few changed words break most n-grams of a short
+item; so a hit also counts if the words of question and answer stand in the passage
+one by one, in the item's order and about as far apart (``aligned``).
 
 The index goes to the tasks in shards of at most ``SHARD_BYTES`` of item text;
 with more items every shard is one more pass over the documents.
 
 Cases: null and empty texts and items match nothing; parts shorter than an
-n-gram must occur as a whole; equal items are all reported; repeated rows and
+n-gram must occur as a whole; items of fewer than ``EDIT_LEAST`` words must hold by
+their n-grams; equal items are all reported; repeated rows and
 null ids are handled row by row; empty tables give no leaks; columns pass.
 """
 
@@ -40,6 +43,9 @@ QUESTION = 0.7              # of an item's words; the rest is the answer
 NGRAM = 5
 OVERLAP = 0.5               # of question and of answer
 ALONE = 0.8                 # of the question, whatever the answer
+EDITED = 0.75               # of the question's words, in order, beside OVERLAP of the answer's
+EDIT_LEAST = 8              # words of an item that may be found by its words in order
+SHIFT = 2                   # words put in or left out between the item's words
 LEAST_WINDOW = 64           # words
 BLOCK = 32                  # postings under one block maximum
 SHARD_BYTES = 16 << 20
@@ -88,6 +94,7 @@ class Index:
         runs = words.runs()
         self.parts = [[grams(runs, words.first[i], words.first[i] + cut[i]),
                        grams(runs, words.first[i] + cut[i], words.first[i + 1])] for i in range(n)]
+        self.words = [(words.hash[words.first[i]:words.first[i + 1]], int(cut[i])) for i in range(n)]
         self.half = max(LEAST_WINDOW // 2, int(words.count.max(initial=0)))
 
     def search(self, terms: np.ndarray) -> list[tuple[int, float]]:
@@ -196,11 +203,38 @@ class Index:
                 for size, wanted in self.parts[item]:
                     own = runs(np.arange(a, b - size + 1), np.arange(a, b - size + 1) + size) if b - a >= size else []
                     shares.append(float(np.isin(wanted, own).mean()) if len(wanted) else 1.0)
-                if (min(shares) >= OVERLAP or shares[0] >= ALONE) and score > out[row].get(item, (-1.0,))[0]:
+                kept = min(shares) >= OVERLAP or shares[0] >= ALONE
+                if not kept and len(self.words[item][0]) >= EDIT_LEAST:
+                    shares = aligned(*self.words[item], words.hash[a:b])
+                    kept = shares[0] >= EDITED and shares[1] >= OVERLAP
+                if kept and score > out[row].get(item, (-1.0,))[0]:
                     out[row][item] = (score, *shares)
         return out
 
 
+def aligned(item: np.ndarray, cut: int, passage: np.ndarray) -> tuple[float, float]:
+    """Shares of the item's question (its first ``cut`` words) and of its answer that stand in the passage in order.
+
+    A word at ``i`` in the item and ``j`` in the passage lies on the diagonal ``j - i``; a replaced word
+    leaves the others on theirs, one put in or left out moves the rest by one.  Of all bands of ``SHIFT`` + 1
+    neighbouring diagonals the one with most words of the item counts.
+    """
+    order = np.argsort(passage, kind="stable")
+    low = np.searchsorted(passage, item, side="left", sorter=order)
+    n = np.searchsorted(passage, item, side="right", sorter=order) - low
+    if not n.sum():
+        return 0.0, 0.0
+    i = np.repeat(np.arange(len(item)), n)
+    j = order[np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(i))]
+    band = (j - i + len(item))[:, None] + np.arange(SHIFT + 1)
+    pair = np.unique(band * len(item) + i[:, None])
+    band, i = pair // len(item), pair % len(item)
+    best = np.argmax(np.bincount(band))
+    asked = np.count_nonzero(i[band == best] < cut)
+    answered = np.count_nonzero(band == best) - asked
+    return asked / cut, answered / (len(item) - cut) if len(item) > cut else 1.0
+
+
 def grams(runs, a: int, b: int) -> tuple[int, np.ndarray]:
     """(words in an n-gram, hashes) of a part; a part shorter than an n-gram is one."""
     size = min(NGRAM, int(b - a))

@@ -115,6 +115,48 @@ def test_planted_items_are_found_and_clean_documents_are_not(spark, prose, odd):
     assert found.columns[:-1] == frame(spark, []).columns
 
 
+def test_short_items_with_changed_words(prose):
+    """16 words with every one and every two of them replaced, and a word put in or left out at every place."""
+    index, own = index_of([prose(16) for _ in range(30)])
+    words = [own.word(k).decode() for k in range(16)]
+    texts = []
+    for a, b in itertools.combinations_with_replacement(range(16), 2):
+        texts.append([w if k not in (a, b) else f"other{k}" for k, w in enumerate(words)])
+    for a in range(16):
+        texts += [words[:a] + ["put", "in"] + words[a:], words[:a] + words[a + 1:]]
+    column = pa.array([" ".join([prose(90), *t, prose(90)]) for t in texts])
+    found = index.leaks(Words(column, lower=True))
+    assert [r for r in range(len(texts)) if 0 not in found.get(r, {})] == []
+    assert all(set(f) == {0} for f in found.values())
+
+
+def test_words_of_an_item_in_another_order_are_no_leak(prose):
+    index, own = index_of([prose(30) for _ in range(30)])
+    words = [own.word(k).decode() for k in range(30)]
+    texts = []
+    for _ in range(50):
+        prose.rng.shuffle(words)
+        texts.append(" ".join([prose(40), *words, prose(40)]))
+    assert not any(index.leaks(Words(pa.array(texts), lower=True)).values())
+
+
+def test_shares_in_order_equal_a_plain_count(prose):
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        item = rng.integers(0, 12, rng.integers(1, 20)).astype(np.uint64)
+        passage = rng.integers(0, 12, rng.integers(1, 40)).astype(np.uint64)
+        cut = int(np.ceil(0.7 * len(item)))
+        bands = {}
+        for d in range(-len(item) - 3, len(passage) + 3):
+            bands[d] = [i for i in range(len(item)) if any(
+                0 <= i + d + s < len(passage) and passage[i + d + s] == item[i] for s in range(-decontaminate.SHIFT, 1))]
+        most = max(map(len, bands.values()))
+        want = {(sum(i < cut for i in b) / cut, sum(i >= cut for i in b) / (len(item) - cut) if len(item) > cut else 1.0)
+                for b in bands.values() if len(b) == most}
+        got = decontaminate.aligned(item, cut, passage)
+        assert got in want or (most == 0 and got == (0.0, 0.0))
+
+
 def index_of(texts):
     words = Words(pa.array(texts), lower=True)
     df = {}
