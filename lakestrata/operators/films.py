@@ -131,3 +131,49 @@ def gold_grouping_sets(movies: DataFrame) -> DataFrame:
     return agg.select(set_name.alias("metric_set"), "genre", "studio", "release_year",
                       "movie_count", "avg_budget", "avg_box_office", "avg_rating",
                       "total_box_office")
+
+
+# ---------------------------------------------------------------------------
+# Mergeable states: gold kept up to date from what a batch changes
+# ---------------------------------------------------------------------------
+MEASURES = ("budget", "box_office", "vote_average")
+
+
+def gold_states(changes: DataFrame, weight: str = "_weight") -> DataFrame:
+    """Per gold group the counts and exact sums of ``changes``: rows that came in
+    (weight 1) and rows that they replaced (weight -1).
+
+    Counts and decimal sums can be added up and taken back without loss, so the
+    sum of the states of all batches is the state of the whole table, whatever
+    the batches are.  Groups whose state is zero are kept: a batch always leaves rows."""
+    w = F.col(weight)
+    sums = []
+    for m in MEASURES:
+        value = F.col(m).cast(EXACT)
+        sums += [F.sum(F.when(w < 0, -value).otherwise(value)).cast(EXACT).alias(f"sum_{m}"),
+                 F.sum(F.when(F.col(m).isNotNull(), w).otherwise(0)).alias(f"n_{m}")]
+    return (changes.groupingSets([[F.col(c)] for c in GOLD_SETS], *GOLD_SETS)
+            .agg(F.grouping_id(*GOLD_SETS).alias("_gid"), F.sum(w).alias("n_rows"),
+                 F.sum(F.when(F.col("id").isNotNull(), w).otherwise(0)).alias("n_ids"), *sums))
+
+
+def merge_gold(states: DataFrame) -> DataFrame:
+    """The rows of ``gold_grouping_sets`` from the states of all batches; groups without rows are gone."""
+    total = (states.groupBy("_gid", *GOLD_SETS)
+             .agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_ids", *[f"n_{m}" for m in MEASURES])],
+                  *[F.sum(f"sum_{m}").cast(EXACT).alias(f"sum_{m}") for m in MEASURES])
+             .where(F.col("n_rows") > 0))
+
+    def known(m: str, value: Column) -> Column:
+        return F.when(F.col(f"n_{m}") > 0, F.round(value, 2).cast("double"))
+
+    def mean(m: str) -> Column:
+        return known(m, F.col(f"sum_{m}") / F.when(F.col(f"n_{m}") > 0, F.col(f"n_{m}")))
+
+    g = F.col("_gid")
+    return total.select(
+        F.when(g == 3, F.lit("genre")).when(g == 5, F.lit("studio")).when(g == 6, F.lit("release_year"))
+        .alias("metric_set"),
+        *GOLD_SETS, F.col("n_ids").alias("movie_count"), mean("budget").alias("avg_budget"),
+        mean("box_office").alias("avg_box_office"), mean("vote_average").alias("avg_rating"),
+        known("box_office", F.col("sum_box_office")).alias("total_box_office"))

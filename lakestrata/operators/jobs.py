@@ -8,8 +8,9 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import operator
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_iso_timestamp, ts_lit
@@ -101,6 +102,50 @@ def latest_page(df: DataFrame, page: int = 1, page_size: int = 50,
         else ordered.limit(page_size)
 
 
+@dataclass(frozen=True)
+class Cursor:
+    """Where a page ended: its last row's time and key, and how many rows with just these came so far."""
+    ts: dt.datetime | None
+    key: object
+    seen: int
+
+
+def page_after(df: DataFrame, cursor: Cursor | None = None, page_size: int = 50,
+               ts: str = "job_created", key: str = "job_id") -> DataFrame:
+    """O4 by cursor: the rows that follow ``cursor`` in the order of ``latest_page``.
+
+    The cursor is a filter on (ts, key) that reaches the scan, then a top-k:
+    every task keeps ``page_size`` rows (and those of the cursor's own time and key),
+    whatever the page's number.  Rows that agree in both come in the order of
+    a hash of the other columns; none is lost or shown twice, equal rows included.
+    ``ts`` is a ``timestamp_ntz``.
+    """
+    rest = [c for c in df.columns if c not in (ts, key)]
+    order = [F.col(ts).desc_nulls_last(), F.col(key).asc_nulls_last(), *([F.xxhash64(*rest)] if rest else [])]
+    if cursor is None:
+        return df.orderBy(*order).limit(page_size)
+    no_key = F.col(key).isNull()
+    key_on = no_key if cursor.key is None else (F.col(key) >= F.lit(cursor.key)) | no_key
+    if cursor.ts is None:
+        on = F.col(ts).isNull() & key_on
+    else:
+        at = ts_lit(cursor.ts).cast(df.schema[ts].dataType)
+        on = (F.col(ts) < at) | F.col(ts).isNull() | ((F.col(ts) == at) & key_on)
+    return df.where(on).orderBy(*order).offset(cursor.seen).limit(page_size)
+
+
+def cursor_of(page: list[Row], before: Cursor | None = None, ts: str = "job_created",
+              key: str = "job_id") -> Cursor | None:
+    """The cursor behind a page (its collected rows, at most a page's size); ``before`` is the one that led to it."""
+    if not page:
+        return before
+    last = (page[-1][ts], page[-1][key])
+    own = sum((r[ts], r[key]) == last for r in page)
+    if before is not None and (before.ts, before.key) == last:
+        own += before.seen
+    return Cursor(*last, own)
+
+
 def union_pages(*frames: DataFrame) -> DataFrame:
     """Bag union by column name; columns missing on one side are null."""
     out = frames[0]

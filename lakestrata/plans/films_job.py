@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..config import BRONZE_DB, FILMS_TABLE, GOLD_DB, SILVER_DB
 from ..operators import films as ops
-from ..operators.dedup import OrderItem
+from ..operators.dedup import OrderItem, dedup_first
 from ..schemas import CORRUPT_COLUMN, FILMS_RAW
 from ..session import checkpoint_root
 from ..sources import raw_json, tables
@@ -96,3 +96,46 @@ def run_films(spark: SparkSession, cfg: FilmsConfig) -> dict:
     silver(spark, cfg)
     gold(spark, cfg)
     return {"quarantined": quarantine(spark, cfg).count()}
+
+
+@dataclass(frozen=True)
+class IncrementalConfig:
+    silver_path: str                    # survivors, in folders by a hash of the id
+    states_path: str                    # one folder of gold states a batch
+    order: Sequence[OrderItem]          # total order of the versions of a film, first wins
+    parts: int = 64                     # fixed for the table's life
+    fmt: str = "parquet"
+
+
+def run_films_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: IncrementalConfig) -> None:
+    """C3 + C4 for a batch of films: silver takes its new survivors, and the
+    change of gold is written as states; no other part of silver is read.
+
+    A film's stored version that a batch replaces enters its states with weight
+    -1.  The states are written before silver and only once for a batch (they are
+    complete when their folder holds ``_SUCCESS``, which the committer must be set to write), so a batch may be run
+    again after a crash at any point.  Batches run one after another, in any order.
+    """
+    checkpoint_root(spark)
+    part = tables.part_column(cfg.parts)
+    rows = (ops.silver(batch, "id", cfg.order)
+            .withColumn(part, F.pmod(F.xxhash64("id"), F.lit(cfg.parts)).cast("int")).checkpoint())
+    if rows.isEmpty():
+        return
+    stored = tables.stored_rows(spark, cfg.silver_path, rows.schema, cfg.fmt)
+    old = rows.limit(0) if stored is None else tables.in_partitions(stored, rows, [part]).select(*rows.columns)
+    survivors = dedup_first(rows.unionByName(old), ["id"], cfg.order).checkpoint()
+    states = f"{cfg.states_path}/batch={batch_id}"
+    if not tables.is_complete(spark, states):
+        asked = rows.select("id").alias("b")
+        same = F.col("s.id").eqNullSafe(F.col("b.id"))
+        changes = [side.alias("s").join(asked, same, "left_semi").select("id", *ops.GOLD_SETS, *ops.MEASURES,
+                                                                         F.lit(weight).alias("_weight"))
+                   for side, weight in ((survivors, 1), (old, -1))]
+        ops.gold_states(changes[0].unionByName(changes[1])).write.format(cfg.fmt).mode("overwrite").save(states)
+    tables.overwrite_partitions(survivors.repartition(part), cfg.silver_path, [part], fmt=cfg.fmt)
+
+
+def gold_of_batches(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
+    """Gold after the batches run so far: equal to ``gold_grouping_sets`` over silver, which isn't read."""
+    return ops.merge_gold(spark.read.format(cfg.fmt).load(cfg.states_path))

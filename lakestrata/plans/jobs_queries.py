@@ -105,6 +105,21 @@ def jobs_latest_topk(spark, sf_dir):
     return J.latest_page(clean_postings(spark, sf_dir), page=2, page_size=50)
 
 
+@register("jobs_cursor_pages", "WITH" + O.POSTINGS_CTE + """,
+n AS (SELECT *, row_number() OVER (ORDER BY job_created DESC, job_id) AS rn FROM clean)
+SELECT * EXCLUDE (rn), CAST((rn - 1) // 50 + 1 AS INTEGER) AS page FROM n WHERE rn <= 150""")
+def jobs_cursor_pages(spark, sf_dir):
+    """O4 by cursor: three pages of the stored postings, each found from the end of the one before."""
+    path = scratch_path(spark, "postings_pages")
+    clean_postings(spark, sf_dir).write.parquet(path)
+    stored, cursor, pages = spark.read.parquet(path), None, []
+    for n in (1, 2, 3):
+        page = J.page_after(stored, cursor)
+        cursor = J.cursor_of(page.collect(), cursor)
+        pages.append(page.withColumn("page", F.lit(n)))
+    return J.union_pages(*pages)
+
+
 @register("jobs_overlap_dedup", "WITH" + O.POSTINGS_CTE + """,
 u AS (SELECT * FROM slice_a UNION ALL BY NAME SELECT * FROM slice_b)
 SELECT * EXCLUDE (rn) FROM (

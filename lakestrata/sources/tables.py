@@ -193,6 +193,12 @@ def stored_rows(spark: SparkSession, path: str, schema: StructType, fmt: str) ->
         raise
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write into this folder has been committed."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def new_only(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """J1 insert-if-new: rows of ``batch`` whose key is not stored yet.
 
