@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import jobs as J
+from ..operators import phrases as PH
 from ..operators import state as ST
 from ..session import ensure_utc, scratch_path
 from ..sources import raw_json, tables
@@ -27,6 +28,7 @@ DEFAULT_RUN_TS = dt.datetime(2024, 2, 1)
 AGE_RUN_TS = dt.datetime(2024, 1, 31)
 AGE_START = dt.datetime(2024, 1, 20, 6)
 PHRASE = "of the"
+SENTENCE_END = "the. the"
 
 
 def key_buckets(spark: SparkSession) -> int:
@@ -99,6 +101,23 @@ def jobs_phrase(spark, sf_dir):
                        F.lower("text").rlike(J.phrase_pattern(PHRASE)).alias("whole_words"))
 
 
+@register("jobs_phrase_index", f"""
+SELECT doc_id, lang, source, n_chars, '{PHRASE}' AS phrase FROM documents
+WHERE regexp_matches(lower(text), '(^|[^a-z0-9_]){PHRASE}($|[^a-z0-9_])')
+UNION ALL
+SELECT doc_id, lang, source, n_chars, '{SENTENCE_END}' FROM documents
+WHERE regexp_matches(lower(text), '(^|[^a-z0-9_]){SENTENCE_END.replace(".", "[.]")}($|[^a-z0-9_])')""")
+def jobs_phrase_index(spark, sf_dir):
+    """F3 by positions: the index of all texts is built once and two phrases are looked up in it."""
+    docs = table(spark, sf_dir, "documents")
+    path, parts = scratch_path(spark, "phrases"), key_buckets(spark)
+    PH.write_index(docs, path, "doc_id", ["text"], parts)
+    return J.union_pages(*[
+        PH.holding(docs, PH.search(spark, path, phrase, parts, "long"), "doc_id", ["text"])
+        .select("doc_id", "lang", "source", "n_chars", F.lit(phrase).alias("phrase"))
+        for phrase in (PHRASE, SENTENCE_END)])
+
+
 @register("jobs_latest_topk", "WITH" + O.POSTINGS_CTE + """
 SELECT * FROM clean ORDER BY job_created DESC, job_id LIMIT 50 OFFSET 50""")
 def jobs_latest_topk(spark, sf_dir):
