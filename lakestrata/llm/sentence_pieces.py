@@ -28,6 +28,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -95,10 +96,20 @@ class Vocabulary:
         return np.frombuffer(b"".join(self.table), dtype=np.uint8), start
 
     @cached_property
-    def uncovered(self) -> re.Pattern:
-        """A character without a piece of its own."""
-        own = "".join(re.escape(p) for p in self.pieces if len(p) == 1)
-        return re.compile(f"[^{own}]" if own else r".", re.S)
+    def without_piece(self) -> np.ndarray:
+        """By code point: whether the character has no piece of its own."""
+        out = np.ones(0x110000, dtype=bool)
+        out[[ord(p) for p in self.pieces if len(p) == 1]] = False
+        return out
+
+    @cached_property
+    def first_states(self) -> np.ndarray:
+        """The trie's state after a first letter, by the letter's number (0: no piece begins so)."""
+        _, width, keys, states, _, _ = self.trie
+        out = np.zeros(width, dtype=np.int64)
+        top = keys < width
+        out[keys[top]] = states[top]
+        return out
 
     @cached_property
     def trie(self) -> tuple:
@@ -188,36 +199,48 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, n: int = N_BEST) -> None:
         self.v, self.n = vocabulary, n
-        self.known: dict[str, tuple[bytes, float, float]] = {}      # chunk: ids of its best path, score, gap; goes with the task
+        self._forget()
 
-    def _scalar(self, chunk: str) -> tuple[bytes, float, float]:
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}                             # chunk: its place in the arrays; goes with the task
+        self.ids = np.zeros(0, dtype=np.int32)                      # the best paths laid end to end
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.score, self.gap = np.zeros(0), np.zeros(0)
+
+    def _scalar(self, chunk: str) -> tuple[np.ndarray, float, float]:
+        if chunk == LITERAL:
+            return np.array([self.v.byte_ids[b] for b in SPACE.encode()], dtype=np.int32), self.v.fallback, np.inf
         paths = a_star(self.v, [chunk], 2)
-        return (np.array(paths[0][1][0], dtype=np.int32).tobytes(), paths[0][0],
-                paths[0][0] - paths[1][0] if len(paths) > 1 else float("inf"))
+        return (np.array(paths[0][1][0], dtype=np.int32), paths[0][0],
+                paths[0][0] - paths[1][0] if len(paths) > 1 else np.inf)
 
     def learn(self, chunks: set[str]) -> None:
         """Best path and gap of chunks not yet known."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
-        strange = self.v.uncovered.search
-        number = self.v.trie[0]
-        short = []
-        for c in new:
-            if c == LITERAL:
-                self.known[c] = (np.array([self.v.byte_ids[b] for b in SPACE.encode()], dtype=np.int32).tobytes(),
-                                 self.v.fallback, float("inf"))
-            elif len(c) > SHORT or strange(c):
-                self.known[c] = self._scalar(c)
-            else:
-                short.append(c)
-        short.sort(key=len)
-        for i in range(0, len(short), BLOCK):
-            self._block(short[i:i + BLOCK], number)
-
-    def _block(self, chunks: list[str], number: np.ndarray) -> None:
-        """Viterbi over many chunks at once: lanes are chunks, steps are places and piece lengths."""
-        _, width, keys, states, ids, scores = self.v.trie
+            self._forget()
+        new = sorted(chunks - self.known.keys(), key=len)
+        if not new:
+            return
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        letters = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32)
+        strange = np.bincount(np.repeat(np.arange(len(new)), size), self.v.without_piece[letters], len(new)) > 0
+        apart = strange | (size > SHORT) | (size == 0)
+        single = [self._scalar(new[i]) for i in np.flatnonzero(apart)]
+        short = [new[i] for i in np.flatnonzero(~apart)]
+        parts = [(np.concatenate([x for x, _, _ in single]), np.array([len(x) for x, _, _ in single]),
+                  np.array([x for _, x, _ in single]), np.array([x for _, _, x in single]))] if single else []
+        parts += [self._block(short[i:i + BLOCK]) for i in range(0, len(short), BLOCK)]
+        names = [new[i] for i in np.flatnonzero(apart)] + short
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+        ids, size, score, gap = (np.concatenate(x) for x in zip(*parts))
+        self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
+        self.first = np.cumsum(self.size) - self.size
+        self.score, self.gap = np.concatenate([self.score, score]), np.concatenate([self.gap, gap])
+
+    def _block(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Viterbi over many chunks at once: lanes are chunks by length, steps are places and piece lengths.
+        Every letter is a piece.  Returns the best paths laid end to end, their sizes, scores and gaps."""
+        number, width, keys, states, ids, scores = self.v.trie
         size = np.array([len(c) for c in chunks])
         n, most = len(chunks), int(size.max())
         code = np.zeros((n, most), dtype=np.int64)
@@ -225,26 +248,30 @@ class Encoder:
         code = np.ascontiguousarray(code.T)
         best = np.full((most + 1, n), -np.inf)
         best[0] = 0
-        back, back_id = np.zeros((most + 1, n), np.int64), np.zeros((most + 1, n), np.int64)
+        back, back_id = np.zeros((most + 1, n), np.int32), np.zeros((most + 1, n), np.int32)
         seen = []
         for a in range(most):
-            lane = np.flatnonzero(size > a)
-            state = np.zeros(len(lane), np.int64)
+            lane = np.arange(np.searchsorted(size, a, side="right"), n)
+            state = self.v.first_states[code[a, lane[0]:]]
             for b in range(a + 1, min(most, a + self.v.longest) + 1):
-                want = state * width + code[b - 1, lane]
-                at = np.searchsorted(keys, want)
-                ok = (keys[at] == want) & (code[b - 1, lane] > 0)
-                lane, state = lane[ok], states[at[ok]]
-                if not len(lane):
-                    break
+                if b > a + 1:
+                    want = code[b - 1][lane]                        # 0, behind a chunk's end, is no letter
+                    want += state * width
+                    at = np.searchsorted(keys, want)
+                    ok = np.flatnonzero(keys[at] == want)
+                    if not len(ok):
+                        break
+                    lane, state = lane[ok], states[at[ok]]
                 piece = ids[state]
-                hit = piece != FALLBACK
+                hit = np.flatnonzero(piece != FALLBACK)
+                if not len(hit):
+                    continue
                 x = lane[hit]
-                value = best[a, x] + scores[state[hit]]
-                seen.append((x, np.full(len(x), a), np.full(len(x), b), value))
-                better = value > best[b, x]
+                value = best[a][x] + scores[state[hit]]
+                seen.append((x, a, b, value))
+                better = np.flatnonzero(value > best[b][x])
                 y = x[better]
-                best[b, y], back[b, y], back_id[b, y] = value[better], a, piece[hit][better]
+                best[b][y], back[b][y], back_id[b][y] = value[better], a, piece[hit[better]]
         place = size.copy()
         lanes = np.arange(n)
         passed = np.zeros((most + 1, n), dtype=bool)
@@ -254,19 +281,14 @@ class Encoder:
             passed[place[live], lanes[live]] = True
             path.append(np.where(live, back_id[place, lanes], FALLBACK))
             place = np.where(live, back[place, lanes], 0)
-        lane, a, b, value = (np.concatenate(x) for x in zip(*seen))
-        other = passed[b, lane] & (back[b, lane] != a)
         gap = np.full(n, np.inf)
-        np.minimum.at(gap, lane[other], best[b[other], lane[other]] - value[other])
+        for x, a, b, value in seen:                                 # x has each lane once
+            other = np.flatnonzero(passed[b][x] & (back[b][x] != a))
+            y = x[other]
+            gap[y] = np.minimum(gap[y], best[b][y] - value[other])
         grid = np.array(path[::-1], dtype=np.int32).T               # padding first, then the path
-        length = (grid != FALLBACK).sum(axis=1)
-        flat = grid[grid != FALLBACK].tobytes()
-        end = (4 * np.cumsum(length)).tolist()
-        total = best[size, lanes].tolist()
-        start = 0
-        for c, e, s, g in zip(chunks, end, total, gap.tolist()):
-            self.known[c] = (flat[start:e], s, g)
-            start = e
+        on = grid != FALLBACK
+        return grid[on], on.sum(axis=1), best[size, lanes], gap
 
     def split(self, text: str) -> list[str]:
         if not text:
@@ -287,28 +309,34 @@ class Encoder:
         """
         split = [self.split(t) for t in texts]
         self.learn(set().union(*split))
-        for chunks in split:
-            paths, scores, gaps = zip(*map(self.known.__getitem__, chunks)) if chunks else ((), (), ())
-            score = float(sum(scores))
-            yield (np.frombuffer(b"".join(paths), dtype=np.int32), score,
-                   self._alternatives(chunks, paths, scores, gaps, score))
-
-    def _alternatives(self, chunks, paths, scores, gaps, score: float) -> list[tuple[float, list]]:
+        count = list(map(len, split))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, sum(count))
+        size, score, gap = self.size[at], self.score[at], self.gap[at]
+        end = np.cumsum(size)
+        ids = self.ids[np.arange(end[-1] if len(end) else 0) + np.repeat(self.first[at] - end + size, size)]
+        token = np.concatenate([[0], end])                          # where each chunk's tokens begin
+        done = 0
+        for chunks, k in zip(split, count):
+            here = slice(done, done + k)
+            total = float(score[here].sum())
+            yield (ids[token[done]:token[done + k]], total,
+                   self._alternatives(chunks, token[done:done + k] - token[done], at[here], score[here], gap[here], total))
+            done += k
+
+    def _alternatives(self, chunks, first, at, scores, gaps, score: float) -> list[tuple[float, list]]:
         if self.n < 2 or not chunks:
             return []
-        gaps = np.array(gaps)
         if len(gaps) >= self.n:
             limit = np.partition(gaps, self.n - 2)[self.n - 2]
             near = np.flatnonzero(gaps <= limit)
             near = near[np.argsort(gaps[near], kind="stable")][:self.n - 1]
         else:
             near = np.arange(len(gaps))
-        near = np.sort(near[np.isfinite(gaps[near])])
-        if not len(near):
+        near = np.sort(near[np.isfinite(gaps[near])]).tolist()
+        if not near:
             return []
-        first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, paths), np.int64, len(paths)) // 4)])
-        base = [tuple(np.frombuffer(paths[i], dtype=np.int32).tolist()) for i in near]
-        fixed = score - sum(scores[i] for i in near)
+        base = [tuple(self.ids[self.first[k]:self.first[k] + self.size[k]].tolist()) for k in at[near]]
+        fixed = score - float(scores[near].sum())
         out = []
         for s, own in a_star(self.v, [chunks[i] for i in near], self.n):
             edits = [(int(first[i]), len(b), list(o)) for i, b, o in zip(near, base, own) if o != b]

@@ -331,13 +331,26 @@ def test_n_best_equal_all_segmentations(vocabulary, text):
 
 def test_vectorised_and_scalar_passes_agree(vocabulary, prose):
     words = {"▁" + w for w in prose(400).split(" ")} | {"▁" + "".join(prose(6).split(" "))[:39]}
-    words = {w for w in words if not vocabulary.uncovered.search(w)}
+    words = {w for w in words if not any(vocabulary.without_piece[ord(c)] for c in w)}
     encoder = sentence_pieces.Encoder(vocabulary)
-    encoder.known = {}
+    encoder.learn(set(list(words)[::2]))
     encoder.learn(words)
+    assert encoder.known.keys() == words
     for w in words:
-        _, score, gap = encoder._scalar(w)
-        assert encoder.known[w][1:] == (score, gap)
+        ids, score, gap = encoder._scalar(w)
+        k = encoder.known[w]
+        assert (encoder.score[k], encoder.gap[k]) == (score, gap)
+        assert encoder.ids[encoder.first[k]:encoder.first[k] + encoder.size[k]].tolist() == ids.tolist()
+
+
+def test_what_is_forgotten_is_learned_again(vocabulary, prose, monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "REMEMBERED", 20)
+    texts = [prose(60) for _ in range(12)]
+    encoder = sentence_pieces.Encoder(vocabulary)
+    for t in texts + texts:
+        (ids, score, _), = encoder.encode([t])
+        (again, other, _), = sentence_pieces.Encoder(vocabulary).encode([t])
+        assert ids.tolist() == again.tolist() and score == other
 
 
 def test_round_trip_of_odd_texts(spark, vocabulary, prose, odd):
