@@ -317,3 +317,83 @@ def month_load_report(calendar: DataFrame, loaded: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list(F.when(~ok, F.col("month_label")))), ",").alias("failed_months"),
         F.count(F.lit(1)).alias("total_months_processed"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Outcome of every month of every run
+# ---------------------------------------------------------------------------
+
+LOADED, QUARANTINED, EMPTY, MISSING, OUTSIDE, UNKNOWN = "loaded", "quarantined", "empty", "missing", "outside", "unknown"
+ARRIVED = ("responses", "malformed", "days_in_time", "days_undated", "days_future")
+
+
+def month_arrivals(responses: DataFrame, run_ts: dt.datetime, corrupt_column: str, series: str = "daily",
+                   request_year: str | None = None, request_month: str | None = None) -> DataFrame:
+    """Per (year, month) what a landing holds: well-formed and malformed responses, and the
+    days of the former up to the run, undated or after it.
+
+    A response belongs to the month that it was requested for, else to that of its first
+    date; a malformed one to the month that its text still names.  Nothing to tell a month by: null.
+    One pass that reads the time series only.
+    """
+    text, times = F.col(corrupt_column), F.col(series).getField("time")
+    bad = text.isNotNull()
+
+    def asked(name: str | None) -> Column:
+        if not name:
+            return F.lit(None).cast("int")
+        said = F.regexp_extract(text, f'"{name}"\\s*:\\s*"?(\\d+)', 1)
+        return F.coalesce(F.col(name).cast("int"), said.try_cast("int"))
+
+    year, month = asked(request_year), asked(request_month)
+    first = F.coalesce(F.array_min(F.transform(times, lambda t: F.try_to_date(t))),
+                       F.try_to_date(F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1)))
+    whole = F.struct(F.coalesce(year, F.year(first)).alias("year"), F.coalesce(month, F.month(first)).alias("month"),
+                     F.when(bad, "malformed").otherwise("responses").alias("kind"))
+
+    def day(t: Column) -> Column:
+        date = F.try_to_date(t)
+        kind = (F.when(date.isNull(), "days_undated").when(date > F.lit(run_ts.date()), "days_future")
+                .otherwise("days_in_time"))
+        return F.struct(F.coalesce(year, F.year(date)).alias("year"), F.coalesce(month, F.month(date)).alias("month"),
+                        kind.alias("kind"))
+
+    days = F.when(~bad, F.transform(times, day))
+    items = responses.select(F.inline(F.concat(F.array(whole), F.coalesce(days, F.array().cast(
+        "array<struct<year:int,month:int,kind:string>>")))))
+    return items.groupBy("year", "month").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ARRIVED])
+
+
+def month_outcomes(calendar: DataFrame, arrivals: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """One row for each month of the calendar and each other month that something arrived for.
+
+    ``loaded``: days were stored; ``quarantined``: only malformed responses or undated
+    days; ``empty``: responses without days up to the run; ``missing``: nothing arrived;
+    ``outside``: not in the calendar, nothing stored; ``unknown``: no month can be told.
+    """
+    zero = {c: F.lit(0).cast("long") for c in ARRIVED}
+    both = (calendar.select("year", "month").withColumns(zero).withColumn("asked", F.lit(True))
+            .unionByName(arrivals.select("year", "month", *ARRIVED).withColumn("asked", F.lit(False))))
+    months = both.groupBy("year", "month").agg(F.max("asked").alias("asked"), *[F.sum(c).alias(c) for c in ARRIVED])
+    outcome = (F.when(F.col("year").isNull() | F.col("month").isNull(), UNKNOWN)
+               .when(~F.col("asked"), OUTSIDE)
+               .when(F.col("days_in_time") > 0, LOADED)
+               .when(F.col("malformed") + F.col("days_undated") > 0, QUARANTINED)
+               .when(F.col("responses") > 0, EMPTY).otherwise(MISSING))
+    return months.select(ts_lit(run_ts).alias("run_ts"), "year", "month", outcome.alias("outcome"), *ARRIVED)
+
+
+def month_history(ledger: DataFrame) -> DataFrame:
+    """A8 over several runs, one row a month: ``state`` is ``loaded`` once any run has loaded it, else
+    the reason of the last run that asked for it or met it; ``days_loaded`` is that of the last loading run.
+    A run that was repeated under its time counts once."""
+    runs = ledger.groupBy("year", "month", "run_ts").agg(
+        F.max_by(F.struct("outcome", *ARRIVED), F.struct((F.col("outcome") == LOADED).alias("l"), *ARRIVED)).alias("r"))
+    loaded = F.col("r.outcome") == LOADED
+    return runs.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("runs"), F.count_if(loaded).alias("loaded_runs"),
+        F.max_by("r.outcome", "run_ts").alias("last_outcome"), F.max("run_ts").alias("last_run"),
+        F.coalesce(F.max_by(F.when(loaded, F.col("r.days_in_time")), F.when(loaded, F.col("run_ts"))),
+                   F.lit(0).cast("long")).alias("days_loaded"),
+        F.sum("r.malformed").alias("malformed"), F.sum("r.days_undated").alias("days_undated")).withColumn(
+        "state", F.when(F.col("loaded_runs") > 0, LOADED).otherwise(F.col("last_outcome")))

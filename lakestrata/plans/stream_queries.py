@@ -12,6 +12,7 @@ from ..operators import jobs as J
 from ..session import ensure_utc, scratch_path
 from ..sources.testdata import table
 from ..streaming import streams as S
+from ..streaming import watermark as WM
 from . import oracle as O
 from . import standins
 from .jobs_queries import AUDIT_SQL, RUN1_TS, RUN2_TS, key_buckets, scratch_database
@@ -185,3 +186,41 @@ def stream_jobs_upsert(spark, sf_dir):
                                   bucket_by=(key_buckets(spark), "job_id"))
         S.run_available_now(stream, ckpt, foreach_batch=sink)
     return spark.table(name)
+
+
+WEEKS, LAST_WEEK, DELAYED = 7, 4, 40        # days a run fetches, the last of the five runs, every which id comes late
+
+
+@register("stream_jobs_watermark", "WITH" + O.POSTINGS_CTE + f""",
+weeks AS (SELECT *, least(datediff('day', TIMESTAMP '2024-01-01', job_created) // {WEEKS}, {LAST_WEEK}) AS week,
+                 CAST(substr(job_id, 2) AS BIGINT) % {DELAYED} = 0 AS delayed FROM clean),
+landed AS (SELECT *, CASE WHEN delayed THEN least(week + 2, {LAST_WEEK}) ELSE week END AS run FROM weeks),
+marks AS (SELECT r.run, (SELECT date_trunc('milliseconds', max(job_created)) - INTERVAL 12 HOUR FROM landed l
+                         WHERE l.run < r.run) AS mark
+          FROM (SELECT DISTINCT run FROM landed) r)
+SELECT l.* EXCLUDE (week, delayed, run), CASE WHEN l.job_created <= m.mark THEN 'late' ELSE 'stored' END AS outcome
+FROM landed l JOIN marks m USING (run)""")
+def stream_jobs_watermark(spark, sf_dir):
+    """T2 in the state store: five weekly runs, each fetching the last 12 h of
+    the week before again (edited); every 40th posting comes two runs late.  What is fetched
+    again is dropped by the state store, what lies behind the watermark is in the side
+    table: every posting once, with the folder that it is in."""
+    ensure_utc(spark)
+    landing, ckpt, sink = (scratch_path(spark, f"watermark_{x}") for x in ("landing", "ckpt", "sink"))
+    clean = J.clean_postings(J.flatten_postings(standins.postings(table(spark, sf_dir, "events"))))
+    day = F.datediff(F.to_date("job_created"), F.lit(dt.date(2024, 1, 1)))
+    week = F.least(F.floor(day / WEEKS), F.lit(LAST_WEEK)).cast("int")
+    delayed = F.substring("job_id", 2, 20).cast("long") % DELAYED == 0
+    weeks = clean.withColumns({"week": week, "run": F.when(delayed, F.least(week + 2, F.lit(LAST_WEEK))).otherwise(week),
+                               "delayed": delayed})
+    for run in range(LAST_WEEK + 1):
+        start = F.lit(dt.datetime(2024, 1, 1) + dt.timedelta(days=WEEKS * run)).cast("timestamp_ntz")
+        again = weeks.where(~F.col("delayed") & (F.col("week") == run - 1) & (F.col("job_created") < start)
+                            & (F.col("job_created") >= start - F.expr("INTERVAL 12 HOURS")))
+        fetched = weeks.where(F.col("run") == run).unionByName(
+            again.withColumn("job_title", F.concat("job_title", F.lit(" (updated)"))))
+        fetched.select(*clean.columns).write.mode("append").parquet(landing)
+        WM.dedup_run(S.file_stream(spark, landing, clean.schema), ckpt, sink, "job_id", "job_created", "12 hours")
+    parts = {WM.STORED: WM.stored_rows, WM.LATE: WM.late_rows}
+    stored, late = (read(spark, sink, clean.schema).withColumn(WM.OUTCOME, F.lit(name)) for name, read in parts.items())
+    return stored.unionByName(late)

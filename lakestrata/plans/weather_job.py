@@ -37,19 +37,21 @@ def run_weather_daily(spark: SparkSession, responses_path: str, out_path: str,
                       run_ts: dt.datetime, cfg: WeatherConfig = WeatherConfig(),
                       keep: list[str] | None = None, extra_fields=None,
                       multi_line: bool = True, request_year: str | None = None,
-                      request_month: str | None = None) -> DataFrame:
+                      request_month: str | None = None, ledger: str | None = None) -> DataFrame:
     """Landed daily responses -> daily records of the calendar's months
     (future days dropped) -> records of the same site and day replaced -> load
     report, with the counts of quarantined responses and rejected days.
 
     ``keep`` columns (declared by ``extra_fields``, e.g. a site id) ride
     along into the stored records and are part of their key.
-    ``request_year`` / ``request_month`` (P11) name the fields that carry the request."""
+    ``request_year`` / ``request_month`` (P11) name the fields that carry the request.
+    ``ledger`` names a table that gets one row for each month of the run, with its outcome
+    (``weather.month_outcomes``), after the records are stored; ``weather.month_history`` reads it."""
     ensure_utc(spark)
     keep = list(keep or [])
     cal = W.calendar_back(spark, run_ts, cfg.years_back)
-    resp, broken = raw_json.split_corrupt(raw_json.read_weather_responses(
-        spark, responses_path, multi_line=multi_line, extra_fields=extra_fields))
+    landed = raw_json.read_weather_responses(spark, responses_path, multi_line=multi_line, extra_fields=extra_fields)
+    resp, broken = raw_json.split_corrupt(landed)
     rows = W.weather_daily(resp, run_ts, keep=keep, location=W.site_struct(cfg.site),
                            request_year=request_year, request_month=request_month)
     n_broken = _quarantine(broken, out_path, run_ts, "malformed")
@@ -60,6 +62,10 @@ def run_weather_daily(spark: SparkSession, responses_path: str, out_path: str,
     rows = rows.checkpoint()
     tables.merge_partitions(rows, out_path, ["year", "month"], [*keep, "location", "date"],
                             fmt=cfg.table_format)
+    if ledger:
+        arrivals = W.month_arrivals(landed, run_ts, raw_json.CORRUPT_COLUMN, request_year=request_year,
+                                    request_month=request_month)
+        tables.write_table(W.month_outcomes(cal, arrivals, run_ts), ledger, mode="append", fmt=cfg.table_format)
     written = rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
     return W.month_load_report(cal, written).withColumns(
         {"quarantined": F.lit(n_broken), "rejected_days": F.lit(n_undated)})

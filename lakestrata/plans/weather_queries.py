@@ -336,3 +336,67 @@ def weather_sites_daily(spark, sf_dir):
                           request_month="request_month")
     schema = T.StructType([T.StructField("user_id", T.LongType()), *DAILY_RECORD.fields])
     return flat_daily(raw_json.read_partitioned_tree(spark, out, schema, fmt="parquet"))
+
+
+# two runs over the months of the orders: what lands for a month goes by its number
+OUTCOME_RUNS = (dt.datetime(2001, 6, 15, 9, 30), dt.datetime(2001, 9, 20, 9, 30))
+OUTCOME_YEARS = 3
+
+
+@register("weather_month_outcomes", f"""
+WITH days AS (SELECT DISTINCT o_custkey % 4 AS site, CAST(o_orderdate AS DATE) AS day,
+                     year(o_orderdate) AS y, month(o_orderdate) AS mo FROM orders),
+runs AS (SELECT * FROM (VALUES (1, TIMESTAMP '{OUTCOME_RUNS[0]}'), (2, TIMESTAMP '{OUTCOME_RUNS[1]}')) t(run, run_ts)),
+responses AS (
+  SELECT r.run, r.run_ts, site, y, mo, count(*) AS n, count(*) FILTER (WHERE day <= CAST(run_ts AS DATE)) AS past,
+         CASE WHEN run = 2 AND mo % 6 IN (1, 2) THEN 'days' WHEN mo % 6 = 1 THEN 'none' WHEN mo % 6 = 2 THEN 'broken'
+              WHEN mo % 6 = 3 THEN 'undated' WHEN mo % 6 = 4 THEN 'bare' ELSE 'days' END AS kind
+  FROM days JOIN runs r ON site // 2 = r.run - 1 GROUP BY ALL),
+arrived AS (
+  SELECT run, y, mo, count(*) FILTER (WHERE kind <> 'broken') AS ok, count(*) FILTER (WHERE kind = 'broken') AS broken,
+         coalesce(sum(past) FILTER (WHERE kind = 'days'), 0) AS past, coalesce(sum(n) FILTER (WHERE kind = 'undated'), 0) AS undated
+  FROM responses WHERE kind <> 'none' GROUP BY ALL),
+asked AS (SELECT run, year(m) AS y, month(m) AS mo FROM (
+  SELECT run, unnest(generate_series(date_trunc('month', run_ts) - INTERVAL {OUTCOME_YEARS} YEAR, date_trunc('month', run_ts),
+                                     INTERVAL 1 MONTH)) AS m FROM runs)),
+ledger AS (
+  SELECT run, y, mo, coalesce(past, 0) AS past, coalesce(broken, 0) AS broken, coalesce(undated, 0) AS undated,
+         CASE WHEN a.run IS NULL THEN 'outside' WHEN past > 0 THEN 'loaded' WHEN broken + undated > 0 THEN 'quarantined'
+              WHEN ok > 0 THEN 'empty' ELSE 'missing' END AS outcome
+  FROM (SELECT *, run AS r FROM arrived) FULL JOIN (SELECT *, run AS r FROM asked) a USING (run, y, mo)),
+history AS (
+  SELECT y, mo, count(*) AS runs, count(*) FILTER (WHERE outcome = 'loaded') AS loaded_runs, arg_max(outcome, run) AS last_outcome,
+         max(run) AS last, coalesce(arg_max(past, run) FILTER (WHERE outcome = 'loaded'), 0) AS days_loaded,
+         sum(broken) AS malformed, sum(undated) AS days_undated FROM ledger GROUP BY ALL)
+SELECT CAST(y AS INTEGER) AS year, CAST(mo AS INTEGER) AS month, h.runs, loaded_runs, last_outcome, run_ts AS last_run,
+       CAST(days_loaded AS BIGINT) AS days_loaded, CAST(malformed AS BIGINT) AS malformed,
+       CAST(days_undated AS BIGINT) AS days_undated, CASE WHEN loaded_runs > 0 THEN 'loaded' ELSE last_outcome END AS state
+FROM history h JOIN runs r ON r.run = h.last""")
+def weather_month_outcomes(spark, sf_dir):
+    """A8 / C9 over two daily runs that write the ledger of months: in the first some months
+    are missing, malformed (their text still names the month), undated or without days, or lie outside the
+    calendar; the second brings other sites and mends two kinds of them."""
+    from ..config import WeatherConfig
+    from .jobs_queries import scratch_database
+    from .weather_job import run_weather_daily
+    out, ledger = scratch_path(spark, "outcomes_out"), f"{scratch_database(spark, 'outcomes')}.months"
+    days = table(spark, sf_dir, "orders").groupBy(
+        (F.col("o_custkey") % 4).alias("site_id"), F.to_date("o_orderdate").alias("day")).agg(
+        F.max("o_totalprice").alias("temperature_2m_max")).withColumns(
+        {"y": F.year("day"), "mo": F.month("day"), "text": F.col("day").cast("string")})
+    kind = F.col("mo") % 6
+    for run, run_ts in enumerate(OUTCOME_RUNS):
+        landing = scratch_path(spark, "outcomes_responses")
+        mended = F.lit(run == 1) & kind.isin(1, 2)
+        sites = days.where((F.floor(F.col("site_id") / 2) == run) & (mended | (kind != 1)))
+        sites = sites.withColumn("text", F.when(kind == 3, "n/a").otherwise(F.col("text")))
+        responses = W.zip_series(sites, ["site_id", "y", "mo"], "text", ["temperature_2m_max"], out="daily")
+        whole = F.to_json(F.struct("y", "mo", "site_id", "daily"))
+        bare = F.to_json(F.struct("y", "mo", "site_id"))
+        cut = F.substring_index(whole, "\"temperature", 1)
+        text = F.when(mended, whole).when(kind == 2, cut).when(kind == 4, bare).otherwise(whole)
+        responses.select(text.alias("value")).write.text(landing)
+        fields = [T.StructField("site_id", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("mo", T.IntegerType())]
+        run_weather_daily(spark, landing, out, run_ts, WeatherConfig(years_back=OUTCOME_YEARS), keep=["site_id"],
+                          extra_fields=fields, multi_line=False, request_year="y", request_month="mo", ledger=ledger)
+    return W.month_history(spark.table(ledger))
