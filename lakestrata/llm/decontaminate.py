@@ -13,8 +13,9 @@ or nearly all of the question.  A few changed words break most n-grams of a shor
 item; so a hit also counts if the words of question and answer stand in the passage
 one by one, in the item's order and about as far apart (``aligned``).
 
-The index goes to the tasks in shards of at most ``SHARD_BYTES`` of item text;
-with more items every shard is one more pass over the documents.
+The index goes to the tasks in shards of about ``SHARD_BYTES`` of item text, one after
+the other: the driver never holds more than two.  Every further shard is one more
+pass over the documents.
 
 Cases: null and empty texts and items match nothing; parts shorter than an
 n-gram must occur as a whole; items of fewer than ``EDIT_LEAST`` words must hold by
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .keys import added, free
 from .memory import lean
 from .wordhash import Words, slices
@@ -244,13 +247,18 @@ def grams(runs, a: int, b: int) -> tuple[int, np.ndarray]:
     return size, np.unique(runs(at, at + size))
 
 
-def shards(benchmark: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> list[Index]:
-    """Indexes over all items, each of bounded size; term statistics are those of all items."""
+def shards(benchmark: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> Iterator[Index]:
+    """Indexes over all items, each of bounded size, one after the other; term statistics are those of all items.
+
+    Items and term counts are tables; with more than one shard they are written by shard, so that the driver reads
+    and holds one shard at a time.
+    """
     items = benchmark.select(F.col(id_col).cast("long").alias("id"),
                              F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size, n_items = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    n_words = F.size(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != ""))
+    size, n_items, mean = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1)), F.avg(n_words)).first()
     if not n_items:
-        return []
+        return
     n = -(-size // shard_bytes) or 1
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,30 +270,50 @@ def shards(benchmark: DataFrame, id_col: str, text_col: str, shard_bytes: int) -
                                                   pair[0].astype(np.int64), minlength=batch.num_rows)))],
                                              names=["term", "shard"])
 
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int")
-    items = items.withColumn("shard", part)
-    rows = items.select("text", "shard").mapInArrow(lean(terms), "term long, shard int")
-    df = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.collect_set("shard").alias("shards"))
-    n_words = F.size(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != ""))
-    mean = items.agg(F.avg(n_words)).first()[0]
-    out = []
+    items = items.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int"))
+    own = items.select("text", "shard").mapInArrow(lean(terms), "term long, shard int").groupBy("term", "shard").agg(
+        F.count(F.lit(1)).alias("n"))
+    counts = own.join(own.groupBy("term").agg(F.sum("n").alias("df")), "term") if n > 1 else own.withColumnRenamed("n", "df")
+    if n > 1:
+        spark, folder = benchmark.sparkSession, scratch_path(benchmark.sparkSession, "benchmark")
+        items.write.partitionBy("shard").parquet(f"{folder}/items")
+        counts.select("shard", "term", "df").write.partitionBy("shard").parquet(f"{folder}/terms")
+        items, counts = spark.read.parquet(f"{folder}/items"), spark.read.parquet(f"{folder}/terms")
     for s in range(n):
-        own = items.filter(F.col("shard") == s).orderBy("id", "text").collect()      # about shard_bytes
-        counts = {r.term: r.n for r in df.filter(F.array_contains("shards", s)).select("term", "n").collect()}
-        if own:
-            out.append(Index([r.id for r in own], [r.text for r in own], counts, n_items, mean))
-    return out
+        rows = items.filter(F.col("shard") == s).orderBy("id", "text").collect()     # about shard_bytes
+        if rows:
+            df = {r.term: r.df for r in counts.filter(F.col("shard") == s).select("term", "df").collect()}
+            yield Index([r.id for r in rows], [r.text for r in rows], df, n_items, mean)
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", out: str = "__leaks", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``docs`` and an array of its leaked items: (item_id, score, question, answer)."""
+    """``docs`` and an array of its leaked items: (item_id, score, question, answer).
+
+    With one shard, a pass over ``docs`` finds them.  With more, each shard is built, sent to the tasks, and its
+    pass over the texts written to the shared folder before the next one; leaks come back to the rows by the
+    hash of the text, on which alone they depend.
+    """
     added(docs, out)
-    found = docs.withColumn(out, F.array().cast(T.ArrayType(LEAK)))
-    for k, index in enumerate(shards(benchmark, item_col, item_text_col, shard_bytes)):
-        part, = free(found, f"{out}_{k}")
-        found = _scan(found, index, text_col, part).withColumn(out, F.concat(out, part)).drop(part)
-    return found
+    indexes = shards(benchmark, item_col, item_text_col, shard_bytes)
+    first, second = next(indexes, None), next(indexes, None)
+    none = F.array().cast(T.ArrayType(LEAK))
+    if first is None:
+        return docs.withColumn(out, none)
+    if second is None:
+        return _scan(docs, first, text_col, out)
+    folder = scratch_path(docs.sparkSession, "leaks")
+    texts = docs.select(F.col(text_col).alias("text")).filter(F.length("text") > 0)
+    for k, index in enumerate(chain([first, second], indexes)):
+        first = second = None
+        found = _scan(texts, index, "text", "leaks").filter(leaked("leaks"))
+        found.groupBy(F.sha2("text", 256).alias("hash")).agg(F.first("leaks").alias("leaks")).write.parquet(f"{folder}/{k}")
+    found = docs.sparkSession.read.parquet(*[f"{folder}/{i}" for i in range(k + 1)])
+    hash_, = free(docs, "text_hash")
+    found = found.select(F.col("hash").alias(hash_), F.explode("leaks").alias("leak")).groupBy(hash_).agg(
+        F.array_sort(F.collect_list("leak")).alias(out))
+    back = docs.withColumn(hash_, F.sha2(F.col(text_col), 256)).join(found, hash_, "left")
+    return back.select(*docs.columns, F.coalesce(out, none).alias(out))
 
 
 def _scan(docs: DataFrame, index: Index, text_col: str, out: str) -> DataFrame:

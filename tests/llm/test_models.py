@@ -115,6 +115,20 @@ def test_planted_items_are_found_and_clean_documents_are_not(spark, prose, odd):
     assert found.columns[:-1] == frame(spark, []).columns
 
 
+def test_many_shards_give_the_rows_of_one(spark, prose):
+    """One shard at a time, with repeated rows, null texts and columns of the operator's own names."""
+    items = [(i, prose(40), "x") for i in range(12)] + [(99, prose(20), "x")] * 2
+    texts = [(1, items[0][1] + " " + items[7][1]), (2, None), (None, items[3][1]), (4, ""), (5, prose(50)), (6, items[12][1])]
+    docs = spark.createDataFrame([(i, t, "a", n) for n in range(3) for i, t in texts], "doc_id long, text string, text_hash string, leaks int")
+    rows = lambda df: sorted(map(str, df.collect()))
+    one = decontaminate.with_leaks(docs, benchmark(spark, items), out="found")
+    many = decontaminate.with_leaks(docs, benchmark(spark, items), out="found", shard_bytes=500)
+    assert many.columns == one.columns and rows(many) == rows(one) and many.count() == 18
+    assert sum(len(r.found) for r in many.collect()) == 3 * (2 + 1 + 2)
+    held = [len(i.ids) for i in decontaminate.shards(benchmark(spark, items), "item_id", "text", 500)]
+    assert len(held) > 3 and sum(held) == 14
+
+
 def test_short_items_with_changed_words(prose):
     """16 words with every one and every two of them replaced, and a word put in or left out at every place."""
     index, own = index_of([prose(16) for _ in range(30)])
