@@ -88,7 +88,7 @@ def dedup_run(stream: DataFrame, checkpoint: str, sink: str, key: str, ts: str,
     A run that died is repeated by the next one from the same watermark.
     """
     spark = stream.sparkSession
-    if not re.fullmatch(r"\d+ (second|minute|hour|day)s?", overlap):
+    if not re.match(r"\d+ (second|minute|hour|day)s?\Z", overlap):
         raise ValueError(f"overlap must be a number of seconds, minutes, hours or days: {overlap!r}")
     if OUTCOME in stream.columns or "_event" in stream.columns:
         raise ValueError(f"the stream already has a column {OUTCOME} or _event")
