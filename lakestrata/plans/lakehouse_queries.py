@@ -34,7 +34,7 @@ def raw_json_scan(spark, sf_dir):
     raw_json.land_json_arrays(orders, landing, _n_files(orders))
     spark.createDataFrame([('[{"o_orderkey": 1, "o_custkey": ',)], "value string") \
         .write.text(f"{landing}/bucket=truncated")
-    raw = raw_json.read_raw_json(spark, f"{landing}/*/*.txt", orders.schema, multi_line=True)
+    raw = raw_json.read_raw_json(spark, f"{landing}/*/*.txt*", orders.schema, multi_line=True)
     good, _bad = raw_json.split_corrupt(raw)
     return good
 
@@ -50,7 +50,7 @@ def run_film_tables(spark, sf_dir) -> films_job.FilmsConfig:
     raw_json.land_json_arrays(films, landing, _n_files(films))
     tag = uuid.uuid4().hex[:8]
     cfg = films_job.FilmsConfig(
-        raw_glob=f"{landing}/*/*.txt", bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}",
+        raw_glob=f"{landing}/*/*.txt*", bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}",
         gold_db=f"gold_{tag}", schema=FILM_RAW_SCHEMA, dedup_order=standins.FILM_DEDUP_ORDER,
         db_root=scratch_path(spark, "lakehouse"))
     films_job.run_films(spark, cfg)

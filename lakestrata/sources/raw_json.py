@@ -30,7 +30,7 @@ def write_json(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.json(path)
 
 
-def land_json_arrays(df: DataFrame, path: str, n_files: int) -> None:
+def land_json_arrays(df: DataFrame, path: str, n_files: int, compression: str = "gzip") -> None:
     """Land ``df`` as ``n_files`` multi-line JSON files, each one JSON array,
     under ``path/bucket=<i>/`` (the two-level layout raw drops use).
 
@@ -38,14 +38,15 @@ def land_json_arrays(df: DataFrame, path: str, n_files: int) -> None:
     stable for a given input split), not by any key: each collected file
     body holds about ``rows / n_files`` rows even when one key or one
     repeated row is a third of the data.  ``n_files`` must grow with the
-    data."""
+    data.  A multi-line file is read by one task in any case, so the bodies
+    are compressed (``*.txt.gz``): JSON text is several times as large as its rows."""
     bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_files))
     bodies = (df.withColumn("bucket", bucket)
               .groupBy("bucket")
               .agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])),
                              {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT})
                    .alias("value")))
-    bodies.write.partitionBy("bucket").text(path)
+    bodies.write.partitionBy("bucket").option("compression", compression).text(path)
 
 
 def read_raw_json(spark: SparkSession, path: str | list[str], schema: StructType | None = None,

@@ -162,3 +162,20 @@ def test_landing_mode_infers_schema(spark, film_tables):
     assert "_corrupt_record" in raw.columns
     assert raw.where(F.col("_corrupt_record").isNotNull()).count() == 1
     assert raw.count() == len(ARRAY_FILE) + 2
+
+
+def test_raw_films_are_landed_compressed_and_read_back_whole(spark):
+    from lakestrata.sources import raw_json
+    landing = local_fs_path(scratch_path(spark, "landed_films"))
+    films = spark.range(3000).selectExpr("id", "'PG-13' AS rating", "cast(id % 7 AS string) AS studio", "id / 4D AS budget")
+    raw_json.land_json_arrays(films, landing, 4)
+    import glob
+    import os
+    files = glob.glob(f"{landing}/bucket=*/*.txt.gz")
+    assert len(files) == 4
+    text = sum(len(r[0]) + 1 for r in films.selectExpr("to_json(struct(*))").collect())
+    assert sum(map(os.path.getsize, files)) * 2 < text
+    raw = raw_json.read_raw_json(spark, f"{landing}/*/*.txt*", films.schema, multi_line=True)
+    good, bad = raw_json.split_corrupt(raw)
+    assert bad.count() == 0
+    assert sorted(map(tuple, good.collect())) == sorted(map(tuple, films.collect()))
