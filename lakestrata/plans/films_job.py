@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..config import BRONZE_DB, FILMS_TABLE, GOLD_DB, SILVER_DB
 from ..operators import films as ops
-from ..operators.dedup import OrderItem, dedup_first
+from ..operators.dedup import OrderItem, dedup_first, dedup_sides
 from ..schemas import CORRUPT_COLUMN, FILMS_RAW
 from ..session import checkpoint_root
 from ..sources import raw_json, tables
@@ -115,25 +115,37 @@ def run_films_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: I
     -1.  The states are written before silver and only once for a batch (they are
     complete when their folder holds ``_SUCCESS``, which the committer must be set to write), so a batch may be run
     again after a crash at any point.  Batches run one after another, in any order.
+
+    Batch and stored rows meet in one aggregate, without the columns that are made from others; it deals
+    rows out as silver's folders do, so they are written from where they are.
     """
     checkpoint_root(spark)
     part = tables.part_column(cfg.parts)
-    rows = (ops.silver(batch, "id", cfg.order)
-            .withColumn(part, F.pmod(F.xxhash64("id"), F.lit(cfg.parts)).cast("int")).checkpoint())
+    made = ("rating_category", "release_year")
+    if any((item if isinstance(item, str) else item[0]) == "release_date" for item in cfg.order):
+        batch = dedup_first(batch, ["id"], cfg.order)       # by its text, which silver doesn't keep
+    rows = ops.cleaned(batch).drop(*made).withColumn(part, tables.hash_part(["id"], cfg.parts)).checkpoint()
     if rows.isEmpty():
         return
-    stored = tables.stored_rows(spark, cfg.silver_path, rows.schema, cfg.fmt)
+    schema = ops.cleaned(rows).schema
+    stored = tables.stored_rows(spark, cfg.silver_path, schema, cfg.fmt)
+    if stored is not None:
+        tables.refuse_other_parts(spark, cfg.silver_path, part, cfg.fmt)
     old = rows.limit(0) if stored is None else tables.in_partitions(stored, rows, [part]).select(*rows.columns)
-    survivors = dedup_first(rows.unionByName(old), ["id"], cfg.order).checkpoint()
+    merged = ops.cleaned(dedup_sides(rows.drop(part), old.drop(part), ["id"], cfg.order)) \
+        .withColumn(part, tables.hash_part(["id"], cfg.parts)).checkpoint()
     states = f"{cfg.states_path}/batch={batch_id}"
     if not tables.is_complete(spark, states):
-        asked = rows.select("id").alias("b")
-        same = F.col("s.id").eqNullSafe(F.col("b.id"))
-        changes = [side.alias("s").join(asked, same, "left_semi").select("id", *ops.GOLD_SETS, *ops.MEASURES,
-                                                                         F.lit(weight).alias("_weight"))
-                   for side, weight in ((survivors, 1), (old, -1))]
+        came = merged.where("_came")
+        before = ops.with_release_year(came.where(F.col("_old").isNotNull()).select("id", "_old.*"))
+        changes = [side.select("id", *ops.GOLD_SETS, *ops.MEASURES, F.lit(weight).alias("_weight"))
+                   for side, weight in ((came, 1), (before, -1))]
         ops.gold_states(changes[0].unionByName(changes[1])).write.format(cfg.fmt).mode("overwrite").save(states)
-    tables.overwrite_partitions(survivors.repartition(part), cfg.silver_path, [part], fmt=cfg.fmt)
+    changed = merged.where("_changed")
+    if changed.isEmpty():               # the batch has been stored
+        return
+    survivors = tables.in_partitions(merged, changed, [part]).select(*schema.names)
+    tables.overwrite_partitions(tables.dealt_by(survivors, part, cfg.parts), cfg.silver_path, [part], fmt=cfg.fmt)
 
 
 def gold_of_batches(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:

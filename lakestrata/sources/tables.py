@@ -129,7 +129,7 @@ def in_partitions(stored: DataFrame, batch: DataFrame, partition_by: list[str])
 
     The values of each partition column that occur in the batch (at most as many
     as it has partitions) go into the scan as literals, so only these
-    folders are opened; a semi join then leaves out combinations that the
+    folders are opened; of several columns, a semi join then leaves out combinations that the
     batch does not have.
     """
     combinations = batch.select(*partition_by).distinct().collect()
@@ -139,7 +139,7 @@ def in_partitions(stored: DataFrame, batch: DataFrame, partition_by: list[str])
         values = sorted({r[c] for r in combinations if r[c] is not None})
         here = F.col(c).isin([F.lit(v).cast(kind) for v in values]) if values else F.lit(False)
         rows = rows.where(here | F.col(c).isNull() if any(r[c] is None for r in combinations) else here)
-    if len(combinations) == 1:
+    if len(combinations) == 1 or len(partition_by) == 1:      # the literals say it all
         return rows
     wanted = stored.sparkSession.createDataFrame(
         [tuple(r) for r in combinations], StructType([stored.schema[c] for c in partition_by]))
@@ -151,7 +151,7 @@ def upsert_latest_rows(df: DataFrame, path: str, key: str, latest: list[str], pa
     """J1, latest wins, as a stored table: of the stored rows and those of ``df`` with one ``key`` the one
     that comes last by the ``latest`` columns stays (ties: the last by all columns).
 
-    Rows lie in ``parts`` folders by a hash of the key (``part_of_<parts>``, a
+    Rows lie in ``parts`` folders by a hash of the key (``hash_of_<parts>``, a
     number fixed for the table's life; another one is refused).  Only the folders that
     the batch touches are read and rewritten, the files of the others stay.
     Rows without a key are all kept, in a folder of their own choice by their content.
@@ -180,7 +180,27 @@ def upsert_latest_rows(df: DataFrame, path: str, key: str, latest: list[str], pa
 
 
 def part_column(parts: int) -> str:
-    return f"part_of_{parts}"
+    return f"hash_of_{parts}"
+
+
+def hash_part(keys: list[str], parts: int) -> Column:
+    """The folder of a row by the hash that an aggregate by ``keys`` deals its rows out by."""
+    return F.pmod(F.hash(*keys), F.lit(parts))
+
+
+def dealt_by(df: DataFrame, part: str, parts: int) -> DataFrame:
+    """``df``, an aggregate by the keys of ``hash_part``, with each folder's rows in one task; they are
+    there already if the session shuffles to as many partitions as there are parts."""
+    conf = df.sparkSession.conf
+    shuffled_to = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) \
+        or conf.get("spark.sql.shuffle.partitions")
+    return df if int(shuffled_to) == parts else df.repartition(part)
+
+
+def refuse_other_parts(spark: SparkSession, path: str, part: str, fmt: str) -> None:
+    """A key of a table must have one folder: rows laid out otherwise would not be found."""
+    if part not in spark.read.format(fmt).load(path).columns:
+        raise ValueError(f"{path} has another number of parts than {part} tells, or another hash")
 
 
 def stored_rows(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame | None:
