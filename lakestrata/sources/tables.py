@@ -155,28 +155,25 @@ def upsert_latest_rows(df: DataFrame, path: str, key: str, latest: list[str], pa
     number fixed for the table's life; another one is refused).  Only the folders that
     the batch touches are read and rewritten, the files of the others stay.
     Rows without a key are all kept, in a folder of their own choice by their content.
+    Batch and stored rows meet in one aggregate, which deals them out as the folders do.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
     part = part_column(parts)
-    whole = F.when(F.col(key).isNull(), F.xxhash64(*df.columns)).otherwise(F.xxhash64(key))
-    batch = df.withColumn(part, F.pmod(whole, F.lit(parts)).cast("int"))
-    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    order = [(c, "desc") for c in [*latest, *[c for c in df.columns if c != key and c not in latest]]]
-
-    def survivors(rows: DataFrame) -> DataFrame:
-        return dedup_first(rows.withColumn("_no_key", own), [key, "_no_key"], order).drop("_no_key")
-
-    batch = survivors(batch).checkpoint()
+    no_key = F.col(key).isNull()
+    own = F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
+    batch = df.withColumn(part, F.when(no_key, own).otherwise(hash_part([key], parts))).checkpoint()
     if batch.isEmpty():
         return
-    merged = batch
+    order = [(c, "desc") for c in [*latest, *[c for c in df.columns if c != key and c not in latest]]]
+    rows = batch
     stored = stored_rows(spark, path, batch.schema, fmt)
     if stored is not None:
-        if part not in spark.read.format(fmt).load(path).columns:
-            raise ValueError(f"{path} has another number of parts than {parts}")
-        merged = survivors(batch.unionByName(in_partitions(stored, batch, [part]).select(*batch.columns))).checkpoint()
-    overwrite_partitions(merged.repartition(part), path, [part], fmt=fmt, **options)
+        refuse_other_parts(spark, path, part, fmt)
+        rows = batch.unionByName(in_partitions(stored, batch, [part]).select(*batch.columns))
+    with_key = dedup_first(rows.where(~no_key).drop(part), [key], order).withColumn(part, hash_part([key], parts))
+    merged = dealt_by(with_key, part, parts).unionByName(rows.where(no_key).repartition(part)).checkpoint()
+    overwrite_partitions(merged, path, [part], fmt=fmt, **options)
 
 
 def part_column(parts: int) -> str:

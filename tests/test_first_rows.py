@@ -80,3 +80,24 @@ def test_a_batch_of_films_is_dealt_out_twice_at_most(spark, monkeypatch):
     assert all("Exchange" not in p for p in written)
     files = spark.read.parquet(cfg.silver_path).groupBy(tables.part_column(parts)).agg(F.count_distinct("_metadata.file_path").alias("n"))
     assert {r.n for r in files.collect()} == {1}
+
+
+def test_an_upsert_deals_rows_out_once(spark, monkeypatch):
+    """Batch and stored rows meet in one aggregate over plain strings; rows without a key stay beside it, twice over."""
+    from lakestrata.sources import tables
+    path, parts = scratch_path(spark, "upsert"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(600).selectExpr("if(id < 3, null, concat('J', id)) job_id", "cast(id % 5 as string) title", "1 t").repartition(3)
+    found, whole = [], tables.dedup_first
+
+    def dedup(df, *args):
+        out = whole(df, *args)
+        found.append((exchanges(out), plan_of(out)))
+        return out
+    monkeypatch.setattr(tables, "dedup_first", dedup)
+    for t in (1, 3, 2):
+        tables.upsert_latest_rows(rows.withColumn("t", F.lit(t)), path, "job_id", ["t"], parts)
+    assert len(found) == 3 and all(n == 1 and "translate" not in p and "Join" not in p for n, p in found)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    assert stored.where("job_id is null").count() == 9
+    assert stored.where("job_id is not null").select("t").distinct().collect() == [(3,)]
+    assert stored.where("job_id is not null").count() == 597 == stored.select("job_id").where("job_id is not null").distinct().count()
