@@ -179,3 +179,16 @@ def test_raw_films_are_landed_compressed_and_read_back_whole(spark):
     good, bad = raw_json.split_corrupt(raw)
     assert bad.count() == 0
     assert sorted(map(tuple, good.collect())) == sorted(map(tuple, films.collect()))
+
+
+def test_silver_carries_an_ordering_column_once(spark):
+    from lakestrata.plans import standins
+    lines = [(k % 9, k % 5, str(k % 3), float(k % 4), f"2024-01-0{1 + k % 7}") for k in range(60)]
+    df = spark.createDataFrame(lines, "id long, seq long, studio string, budget double, ingested_at string") \
+        .selectExpr("id", "'G' rating", "studio", "'2020-01-01' release_date", "budget", "seq",
+                    "cast(ingested_at as timestamp_ntz) ingested_at")
+    best = dedup_first(df, ["id"], standins.FILM_DEDUP_ORDER)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "min_by" not in plan                  # which takes the row and its place
+    want = dedup_first(df, ["id"], standins.FILM_DEDUP_ORDER, method="window")
+    assert sorted(map(tuple, best.collect())) == sorted(map(tuple, want.select(*best.columns).collect()))
