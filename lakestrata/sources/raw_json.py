@@ -7,6 +7,8 @@ landing should be many moderate files; from silver on, data is Parquet.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -31,22 +33,37 @@ def write_json(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def land_json_arrays(df: DataFrame, path: str, n_files: int, compression: str = "gzip") -> None:
-    """Land ``df`` as ``n_files`` multi-line JSON files, each one JSON array,
-    under ``path/bucket=<i>/`` (the two-level layout raw drops use).
+    """Land ``df`` as about ``n_files`` multi-line JSON files, each one JSON array,
+    in the folder ``path/bucket=0/`` (the two-level layout raw drops use).
 
-    Rows are spread by position (a hash of ``monotonically_increasing_id``,
-    stable for a given input split), not by any key: each collected file
-    body holds about ``rows / n_files`` rows even when one key or one
-    repeated row is a third of the data.  ``n_files`` must grow with the
+    Each task writes its rows from where they are, in bodies of consecutive rows: nothing is shuffled, and
+    a task holds one body at a time.  No body has more than ``rows / n_files`` rows, even when one
+    key or one repeated row is a third of the data; the last one of a task may have fewer, so
+    there is at most one file more for each partition of ``df``.  ``n_files`` must grow with the
     data.  A multi-line file is read by one task in any case, so the bodies
     are compressed (``*.txt.gz``): JSON text is several times as large as its rows."""
-    bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_files))
-    bodies = (df.withColumn("bucket", bucket)
-              .groupBy("bucket")
-              .agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])),
-                             {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT})
-                   .alias("value")))
-    bodies.write.partitionBy("bucket").option("compression", compression).text(path)
+    rows = max(1, math.ceil(df.count() / n_files))
+
+    def bodies(batches):
+        import pyarrow as pa
+
+        def body(records):
+            return pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(records) + "]"], pa.string())], ["value"])
+
+        held = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            full = len(held) - len(held) % rows
+            for start in range(0, full, rows):
+                yield body(held[start:start + rows])
+            held = held[full:]
+        if held:
+            yield body(held)
+
+    records = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]),
+                                  {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT}))
+    (records.mapInArrow(bodies, "value string").write.option("compression", compression)
+     .option("maxRecordsPerFile", 1).text(f"{path}/bucket=0"))
 
 
 def read_raw_json(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
