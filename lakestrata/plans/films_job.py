@@ -18,7 +18,7 @@ from ..config import BRONZE_DB, FILMS_TABLE, GOLD_DB, SILVER_DB
 from ..operators import films as ops
 from ..operators.dedup import OrderItem, dedup_first, dedup_sides
 from ..schemas import CORRUPT_COLUMN, FILMS_RAW
-from ..session import checkpoint_root
+from ..session import checkpoint_root, scratch_folder, shuffles_dropped
 from ..sources import raw_json, tables
 
 
@@ -105,6 +105,7 @@ class IncrementalConfig:
     order: Sequence[OrderItem]          # total order of the versions of a film, first wins
     parts: int = 64                     # fixed for the table's life
     fmt: str = "parquet"
+    slices: int = 4                     # at most so many groups of folders are merged one after another
 
 
 def run_films_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: IncrementalConfig) -> None:
@@ -117,35 +118,51 @@ def run_films_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: I
     again after a crash at any point.  Batches run one after another, in any order.
 
     Batch and stored rows meet in one aggregate, without the columns that are made from others; it deals
-    rows out as silver's folders do, so they are written from where they are.
+    rows out as silver's folders do.  Folders are merged in up to ``slices`` groups, so that
+    only one group's shuffle lies on disk at a time; each has folders for all cores.  What is kept between steps
+    (the batch, the merged rows) are scratch files that go when the batch ends.
     """
-    checkpoint_root(spark)
-    part = tables.part_column(cfg.parts)
+    with scratch_folder(spark, "films_batch") as kept, shuffles_dropped(spark):
+        merged, schema = _merged_films(spark, batch, cfg, kept)
+        if merged is None:
+            return
+        part, states = tables.part_column(cfg.parts), f"{cfg.states_path}/batch={batch_id}"
+        if not tables.is_complete(spark, states):
+            came = merged.where("_came")
+            before = ops.with_release_year(came.where(F.col("_old").isNotNull()).select("id", "_old.*"))
+            changes = [side.select("id", *ops.GOLD_SETS, *ops.MEASURES, F.lit(weight).alias("_weight"))
+                       for side, weight in ((came, 1), (before, -1))]
+            ops.gold_states(changes[0].unionByName(changes[1])).write.format(cfg.fmt).mode("overwrite").save(states)
+        changed = merged.where("_changed")
+        if changed.isEmpty():               # the batch has been stored
+            return
+        survivors = tables.in_partitions(merged, changed, [part]).select(*schema.names)
+        tables.overwrite_partitions(tables.dealt_by(survivors, part, cfg.parts), cfg.silver_path, [part], fmt=cfg.fmt)
+
+
+def _merged_films(spark: SparkSession, batch: DataFrame, cfg: IncrementalConfig,
+                  kept: str) -> tuple[DataFrame | None, StructType | None]:
+    """``dedup_sides`` of a batch and the stored rows of its folders, kept below ``kept``, with the columns
+    that are made from others, and the schema of silver; None for a batch without rows."""
+    part, folder = tables.part_column(cfg.parts), tables.hash_part(["id"], cfg.parts)
     made = ("rating_category", "release_year")
     if any((item if isinstance(item, str) else item[0]) == "release_date" for item in cfg.order):
         batch = dedup_first(batch, ["id"], cfg.order)       # by its text, which silver doesn't keep
-    rows = ops.cleaned(batch).drop(*made).withColumn(part, tables.hash_part(["id"], cfg.parts)).checkpoint()
-    if rows.isEmpty():
-        return
-    schema = ops.cleaned(rows).schema
-    stored = tables.stored_rows(spark, cfg.silver_path, schema, cfg.fmt)
-    if stored is not None:
-        tables.refuse_other_parts(spark, cfg.silver_path, part, cfg.fmt)
-    old = rows.limit(0) if stored is None else tables.in_partitions(stored, rows, [part]).select(*rows.columns)
-    merged = ops.cleaned(dedup_sides(rows.drop(part), old.drop(part), ["id"], cfg.order)) \
-        .withColumn(part, tables.hash_part(["id"], cfg.parts)).checkpoint()
-    states = f"{cfg.states_path}/batch={batch_id}"
-    if not tables.is_complete(spark, states):
-        came = merged.where("_came")
-        before = ops.with_release_year(came.where(F.col("_old").isNotNull()).select("id", "_old.*"))
-        changes = [side.select("id", *ops.GOLD_SETS, *ops.MEASURES, F.lit(weight).alias("_weight"))
-                   for side, weight in ((came, 1), (before, -1))]
-        ops.gold_states(changes[0].unionByName(changes[1])).write.format(cfg.fmt).mode("overwrite").save(states)
-    changed = merged.where("_changed")
-    if changed.isEmpty():               # the batch has been stored
-        return
-    survivors = tables.in_partitions(merged, changed, [part]).select(*schema.names)
-    tables.overwrite_partitions(tables.dealt_by(survivors, part, cfg.parts), cfg.silver_path, [part], fmt=cfg.fmt)
+    with scratch_folder(spark, "films_rows") as path:
+        rows = tables.kept_rows(ops.cleaned(batch).drop(*made), path).withColumn(part, folder)
+        touched = sorted(r[0] for r in rows.select(part).distinct().collect())
+        if not touched:
+            return None, None
+        schema = ops.cleaned(rows).schema
+        stored = tables.stored_rows(spark, cfg.silver_path, schema, cfg.fmt)
+        if stored is not None:
+            tables.refuse_other_parts(spark, cfg.silver_path, part, cfg.fmt)
+        n = max(1, min(cfg.slices, len(touched) // spark.sparkContext.defaultParallelism))
+        for folders in (touched[i::n] for i in range(n)):
+            new, old = [None if side is None else side.where(F.col(part).isin(folders)).select(*rows.columns).drop(part)
+                        for side in (rows, stored)]
+            merged = tables.kept_rows(dedup_sides(new, new.limit(0) if old is None else old, ["id"], cfg.order), kept)
+    return ops.cleaned(merged).withColumn(part, folder), schema
 
 
 def gold_of_batches(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:

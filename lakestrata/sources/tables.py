@@ -216,6 +216,13 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
 
 
+def kept_rows(df: DataFrame, path: str) -> DataFrame:
+    """``df`` added to a scratch folder, and all rows of that folder.  The files are smaller than those of
+    ``checkpoint()``, and the caller can remove them (``scratch_folder``)."""
+    df.write.mode("append").option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_only(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """J1 insert-if-new: rows of ``batch`` whose key is not stored yet.
 

@@ -1,6 +1,7 @@
 """Gold kept up to date batch by batch, and pages found by cursor."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators import films as ops
 from lakestrata.operators import jobs as J
 from lakestrata.plans import films_job
-from lakestrata.session import scratch_path
+from lakestrata.session import checkpoint_root, local_fs_path, scratch_path
 from lakestrata.sources import tables
 
 FILM = ("id long, rating string, release_date string, genre string, studio string, budget double, "
@@ -98,6 +99,68 @@ def test_a_batch_opens_only_its_folders_and_gold_only_states(spark):
     assert all("/states/" in f for f in films_job.gold_of_batches(spark, cfg).inputFiles())
 
 
+def files_kept(spark):
+    """Files below the checkpoint folder, and shuffle files."""
+    root = local_fs_path(checkpoint_root(spark))
+    shuffles = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return ({os.path.join(d, f) for d, _, names in os.walk(root) for f in names},
+            {f for f in shuffles if "shuffle_" in f})
+
+
+def test_a_batch_leaves_nothing_on_disk_but_silver_and_states(spark, monkeypatch):
+    rng = random.Random(9)
+    cfg = config(spark)
+
+    def left(batch_id):
+        batch, before = spark.createDataFrame(films(rng, 40), FILM), files_kept(spark)
+        try:
+            films_job.run_films_batch(spark, batch, batch_id, cfg)
+        finally:
+            after = files_kept(spark)
+        own = tuple(local_fs_path(p) + "/" for p in (cfg.silver_path, cfg.states_path))
+        return [f for f in after[0] - before[0] if not f.startswith(own)] + sorted(after[1] - before[1])
+    assert left(0) == left(1) == left(1) == []
+
+    def dies(*args, **kw):
+        raise OSError("executor lost")
+    before = files_kept(spark)
+    monkeypatch.setattr(tables, "overwrite_partitions", dies)
+    with pytest.raises(OSError):
+        left(2)
+    gone = tuple(local_fs_path(p) + "/" for p in (cfg.silver_path, cfg.states_path))
+    after = files_kept(spark)
+    assert all(f.startswith(gone) for f in after[0] - before[0]) and after[1] <= before[1]
+
+
+def test_a_large_batch_is_merged_in_slices_of_the_folders(spark, monkeypatch):
+    """A group's shuffle holds its own folders only; together they hold every row once."""
+    rng = random.Random(10)
+    cores = spark.sparkContext.defaultParallelism
+    cfg, seen, merged, whole = config(spark, parts=8 * cores), [], [], films_job.dedup_sides
+
+    def sides(new, old, *args):
+        merged.append([{r.id for r in side.select("id").collect()} for side in (new, old)])
+        return whole(new, old, *args)
+    monkeypatch.setattr(films_job, "dedup_sides", sides)
+    for batch_id in range(3):
+        batch = [(None if i % 100 == 0 else rng.randint(0, 40 * cores), *films(rng, 1)[0][1:-1], v)
+                 for i, v in enumerate(rng.sample(range(10**6), 100 * cores))]
+        stored = {r[0] for r in seen}
+        seen += batch
+        films_job.run_films_batch(spark, spark.createDataFrame(batch, FILM), batch_id, cfg)
+        got, merged[:] = list(merged), []
+        assert len(got) == cfg.slices
+        for side, ids in ((0, {r[0] for r in batch}), (1, stored)):
+            met = set().union(*(g[side] for g in got))
+            assert sum(len(g[side]) for g in got) == len(met)
+            assert met == ids if side == 0 else met <= ids      # folders that the batch doesn't touch are not read
+            assert not batch_id or max(len(g[side]) for g in got) < 0.5 * len(ids)
+        assert rows_of(films_job.gold_of_batches(spark, cfg)) == rows_of(full(spark, seen))
+    names = [c.split()[0] for c in FILM.split(", ")]
+    silver = ops.silver(spark.createDataFrame(seen, FILM), "id", ORDER).select(names)
+    assert rows_of(spark.read.schema(silver.schema).parquet(cfg.silver_path).select(names)) == rows_of(silver)
+
+
 def pages_of(df, size):
     cursor, out = None, []
     while True:
